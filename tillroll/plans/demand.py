@@ -1 +1,88 @@
-"""Queries (filled in below)."""
+"""Queries for daily demand, spike labels and next-day spike features."""
+
+from __future__ import annotations
+
+from .. import schema as S
+from ..operators import demand as D
+from ..sources import fixtures
+from . import oracle as O
+from .catalog import register
+from .stages import clean_sales
+
+_MARKET = f"CASE WHEN country = {O.q(S.HOME_COUNTRY)} THEN 'UK' WHEN country IS NOT NULL THEN 'Non-UK' END"
+O.CTES["daily"] = (f"""
+  SELECT market, date,
+         CAST(month(date) AS INTEGER) AS month, CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_the_week,
+         CAST(quarter(date) AS INTEGER) AS quarter, dayofweek(date) IN (0, 6) AS is_weekend,
+         CAST(floor((dayofyear(date) - 1) / 7) + 1 AS INTEGER) AS week_of_the_year,
+         CAST(sum(quantity) AS BIGINT) AS total_quantity, CAST(sum(price) AS DECIMAL(38,2)) AS total_revenue,
+         count(DISTINCT invoice_no) AS n_order,
+         CAST(sum(price) AS DOUBLE) / count(DISTINCT invoice_no) AS revenue_per_order,
+         CAST(sum(quantity) AS DOUBLE) / count(DISTINCT invoice_no) AS avg_order_size
+  FROM (SELECT invoice_no, price, quantity, {_MARKET} AS market, CAST(invoice_date AS DATE) AS date FROM sales) l
+  GROUP BY market, date""", ("sales",))
+O.CTES["labelled"] = (f"""
+  SELECT * EXCLUDE (thr), CASE WHEN total_quantity >= thr THEN 'High' ELSE 'Normal' END AS demand_spike,
+         round(thr, 6) AS spike_threshold
+  FROM (SELECT *, quantile_cont(CAST(total_quantity AS DOUBLE), {S.SPIKE_QUANTILE})
+                    OVER (PARTITION BY market) AS thr FROM daily) d""", ("daily",))
+O.CTES["features"] = ("""
+  SELECT *, CAST(week_of_the_year * day_of_the_week AS DOUBLE) AS weekxday,
+         CAST(week_of_the_year * CAST(is_weekend AS INTEGER) AS DOUBLE) AS weekxweekend,
+         day7_roll_order * lag1_orders AS day7rollxlag1
+  FROM (
+    SELECT *, lag(total_quantity) OVER w AS lag1_quantity, lag(n_order) OVER w AS lag1_orders,
+           lag(total_revenue) OVER w AS lag1_revenue,
+           CASE WHEN row_number() OVER w >= 7 THEN CAST(sum(total_quantity) OVER w7 AS DOUBLE) / 7 END
+             AS day7_roll_quantity,
+           CASE WHEN row_number() OVER w >= 7 THEN CAST(sum(n_order) OVER w7 AS DOUBLE) / 7 END AS day7_roll_order,
+           lead(demand_spike) OVER w AS next_day_spike
+    FROM labelled
+    WINDOW w AS (PARTITION BY market ORDER BY date),
+           w7 AS (PARTITION BY market ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) f
+  WHERE lag1_quantity IS NOT NULL AND day7_roll_quantity IS NOT NULL AND next_day_spike IS NOT NULL""",
+                      ("labelled",))
+
+
+def daily(spark, sf):
+    return fixtures.memo(spark, ("daily", sf.rstrip("/")), lambda: D.daily_demand(clean_sales(spark, sf)))
+
+
+def features(spark, sf):
+    return fixtures.memo(spark, ("features", sf.rstrip("/")),
+                         lambda: D.demand_features(D.spike_label(daily(spark, sf))))
+
+
+@register("daily_demand", O.sql("SELECT * FROM daily", "daily"),
+          ids=("AGG-19", "DAT-3", "FLT-6", "NUM-4", "SRC-3"))
+def q_daily_demand(spark, sf):
+    return daily(spark, sf)
+
+
+@register("spike_label", O.sql("SELECT * FROM labelled", "labelled"), ids=("SPK-2", "AGG-20", "JOI-7", "CND-1"))
+def q_spike_label(spark, sf):
+    return D.spike_label(daily(spark, sf))
+
+
+@register("demand_features", O.sql("SELECT * FROM features", "features"),
+          ids=("SPK-1", "WIN-1", "WIN-2", "WIN-3", "NUM-5", "FLT-9", "PRJ-4"))
+def q_demand_features(spark, sf):
+    return features(spark, sf)
+
+
+@register("spike_revenue", O.sql("""
+SELECT CAST(sum(total_revenue) AS DOUBLE) / count(*) AS avg_spike_revenue, count(*) AS total_spike_days,
+       CAST(sum(total_revenue) AS DECIMAL(38,2)) AS total_spike_revenue
+FROM features WHERE market = 'UK' AND demand_spike = 'High'""", "features"), ids=("AGG-28",))
+def q_spike_revenue(spark, sf):
+    return D.spike_revenue(features(spark, sf))
+
+
+@register("market_means", O.sql("""
+SELECT market, CAST(sum(total_quantity) AS DOUBLE) / count(total_quantity) AS total_quantity,
+       CAST(sum(n_order) AS DOUBLE) / count(n_order) AS n_order,
+       CAST(sum(total_revenue) AS DOUBLE) / count(total_revenue) AS total_revenue,
+       round(avg(day7_roll_quantity), 6) AS day7_roll_quantity
+FROM features GROUP BY market""", "features"), ids=("AGG-29", "UDF-4", "SET-1"))
+def q_market_means(spark, sf):
+    return D.market_means(features(spark, sf))

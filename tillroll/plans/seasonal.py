@@ -1 +1,45 @@
-"""Queries (filled in below)."""
+"""Queries for product-month seasonality and bulk buying."""
+
+from __future__ import annotations
+
+from .. import schema as S
+from ..operators import season as N
+from ..sources import fixtures
+from . import oracle as O
+from .catalog import register
+from .stages import clean_sales
+
+_KEY = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in N.PM_KEY)
+O.CTES["pm"] = ("""
+  SELECT * FROM (
+    SELECT stock_code, description, CAST(month(invoice_date) AS INTEGER) AS month_num, country,
+           CAST(sum(quantity) AS BIGINT) AS total_qty, CAST(sum(price) AS DOUBLE) / count(price) AS avg_price,
+           count(DISTINCT invoice_no) AS num_invoices
+    FROM sales GROUP BY ALL HAVING sum(quantity) > 0) p
+  WHERE stock_code IS NOT NULL AND description IS NOT NULL AND month_num IS NOT NULL AND country IS NOT NULL
+    AND total_qty IS NOT NULL AND avg_price IS NOT NULL AND num_invoices IS NOT NULL""", ("sales",))
+O.CTES["pm_split"] = (f"""
+  SELECT *, CASE WHEN country <> {O.q(S.HOME_COUNTRY)} THEN 'nouk_test'
+                 WHEN substr(md5(concat_ws('|', {_KEY})), 1, 4) < 'cccd' THEN 'uk_train'
+                 ELSE 'uk_test' END AS part
+  FROM pm""", ("pm",))
+
+
+def product_months(spark, sf):
+    return fixtures.memo(spark, ("pm", sf.rstrip("/")),
+                         lambda: N.product_month_split(N.product_month(clean_sales(spark, sf))))
+
+
+@register("product_month", O.sql("SELECT * FROM pm_split", "pm_split"),
+          ids=("AGG-21", "FLT-9", "FLT-10", "SPL-1", "SPL-3", "SET-4", "JOI-8"))
+def q_product_month(spark, sf):
+    return product_months(spark, sf)
+
+
+@register("product_month_split_counts", O.sql(
+    "SELECT part, count(*) AS n, CAST(sum(total_qty) AS BIGINT) AS total_qty FROM pm_split GROUP BY part",
+    "pm_split"), ids=("AGG-31", "SPL-1"))
+def q_pm_split_counts(spark, sf):
+    from pyspark.sql import functions as F
+    return product_months(spark, sf).groupBy("part").agg(F.count(F.lit(1)).alias("n"),
+                                                          F.sum("total_qty").cast("long").alias("total_qty"))
