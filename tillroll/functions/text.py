@@ -28,7 +28,12 @@ def strip_ws(c) -> Column:
     Spark's ``trim`` only removes blanks, so a regex with the same character
     set as ``str.strip`` is used instead.
     """
-    return F.regexp_replace(_col(c), STRIP_PATTERN, "")
+    x = _col(c)
+    ws = list(PY_WHITESPACE)
+    # The regex only runs when an end character is whitespace (rare), so the
+    # common path is two one-character lookups inside generated code.
+    edge = F.substring(x, 1, 1).isin(ws) | F.substring(x, -1, 1).isin(ws)
+    return F.when(edge, F.regexp_replace(x, STRIP_PATTERN, "")).otherwise(x)
 
 
 def normalize_description(c="description") -> Column:

@@ -71,8 +71,8 @@ def customer_segments(spark, sf, n_start: int = S.KMEANS_STARTS):
         logged = G.log_features(customer_rfm(spark, sf))
         scores, variance, m = G.customer_pca(logged)
         points = G.first_components(scores, m).select("customer_id", "features").persist()
-        table, models = G.kmeans_sweep(points, n_start=n_start)
-        assigned = models[S.KMEANS_CHOSEN_K].transform(points).select("customer_id", "features", "cluster")
+        centers, _ = G.kmeans_best(points, S.KMEANS_CHOSEN_K, n_start=n_start)
+        assigned = G.assign_clusters(points, centers).select("customer_id", "features", "cluster")
         return G.relabel_by_spend(assigned, customer_rfm(spark, sf))
     return fixtures.memo(spark, ("segments", sf.rstrip("/"), n_start), build)
 

@@ -1,10 +1,11 @@
 """The stage tables every analysis starts from.
 
 raw lines -> cleaned + flagged (one lazy plan) -> clean product sales.
-Each stage is persisted once per session and folder: the reference hands the
-same tables from script to script through a database, we hand them over as
-cached DataFrames (rebuilt from lineage if an executor is lost) or, for
-long jobs, as Parquet written with ``tillroll.sources.io.materialize``.
+Each stage is written once per session and folder as a Parquet table in the
+shared checkpoint folder (``tillroll.sources.io.materialize``): the reference
+hands the same tables from script to script through a database; a stage table
+cuts the lineage (a lost executor re-reads files, it does not re-run joins),
+and later scans prune columns and push the mask filters down.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import clean_descriptions
 from ..operators.splits import add_masks
 from ..sources import fixtures
+from ..sources.io import materialize
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +29,9 @@ def build_cleaned(raw: DataFrame) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.memo(spark, ("cleaned", sf_dir.rstrip("/")),
-                         lambda: build_cleaned(raw_lines(spark, sf_dir)))
+    """``cleaned_retail_all``: written once as a Parquet stage table."""
+    return fixtures.stage(spark, ("cleaned", sf_dir.rstrip("/")),
+                          lambda: materialize(build_cleaned(raw_lines(spark, sf_dir)), "cleaned_retail_all"))
 
 
 def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
