@@ -133,7 +133,7 @@ def memo(spark: SparkSession, key: tuple, build) -> DataFrame:
 
 def clear(spark: SparkSession) -> None:
     for df in _CACHE.pop(spark, {}).values():
-        if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        if isinstance(df, DataFrame) and (df.storageLevel.useMemory or df.storageLevel.useDisk):
             df.unpersist()
 
 
@@ -176,3 +176,11 @@ FROM (
   JOIN nation n ON c.c_nationkey = n.n_nationkey
 ) j
 """
+
+
+def remember(spark: SparkSession, key: tuple, build):
+    """Keep any derived object (fitted models, result dicts) once per session."""
+    per_session = _CACHE.setdefault(spark, {})
+    if key not in per_session:
+        per_session[key] = build()
+    return per_session[key]
