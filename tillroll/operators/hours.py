@@ -78,3 +78,96 @@ def invoice_features(labelled: DataFrame) -> DataFrame:
 def hour_day_revenue(lines: DataFrame) -> DataFrame:
     """AGG-24: mean revenue by hour and weekday (heat-map data)."""
     return lines.groupBy("hour", "day_of_week").agg(ratio(F.sum("revenue"), F.count("revenue")).alias("avg_revenue"))
+
+
+# ----------------------------------------------------------------------------- models
+LOGIT_FEATURES = ("total_revenue", "total_qty", "num_items", "day_of_week", "month_num")
+LDA_FEATURES = ("total_revenue", "total_qty", "day_of_week", "month_num")
+
+
+def _as_double(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in cols}).withColumn(
+        "label", F.col("is_peak_hour").cast("double"))
+
+
+def peak_logistic(invoices: DataFrame, features=LOGIT_FEATURES, cut: float = 0.5):
+    """ML-13 / EVL-1 / EVL-2: binomial GLM (logit) of the peak label on the basket
+    features, fitted on uk_train by IRLS; class = probability > cut.
+    Returns (coefficients DF[term, estimate, std_error, z_value, p_value],
+    confusion DF[part, predicted, actual, n], errors DF[part, error_rate, n])."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GeneralizedLinearRegression
+
+    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(_as_double(invoices, features))
+    model = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50).fit(
+        data.where(F.col("part") == "uk_train"))
+    s = model.summary
+    terms = [*features, "intercept"]
+    est = [*model.coefficients.toArray().tolist(), model.intercept]
+    rows = list(zip(terms, est, s.coefficientStandardErrors, s.tValues, s.pValues))
+    spark = invoices.sparkSession
+    coefs = spark.createDataFrame([(t, float(a), float(b), float(c), float(d)) for t, a, b, c, d in rows],
+                                  "term string, estimate double, std_error double, z_value double, p_value double")
+    pred = (model.transform(data.where(F.col("part") != "uk_train"))
+                 .withColumn("predicted", (F.col("prediction") > cut).cast("int")))
+    return coefs, *_class_tables(pred)
+
+
+def _class_tables(pred: DataFrame):
+    conf = pred.groupBy("part", "predicted", F.col("is_peak_hour").alias("actual")).agg(
+        F.count(F.lit(1)).alias("n"))
+    err = pred.groupBy("part").agg((F.count_if(F.col("predicted") != F.col("is_peak_hour")) / F.count(F.lit(1)))
+                                   .alias("error_rate"), F.count(F.lit(1)).alias("n"))
+    return conf, err
+
+
+def lda_class_stats(invoices: DataFrame, features=LDA_FEATURES) -> DataFrame:
+    """ML-14 statistics: per class n and feature means on uk_train (one aggregate)."""
+    train = invoices.where(F.col("part") == "uk_train")
+    return train.groupBy("is_peak_hour").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.round(F.avg(F.col(c).cast("double")), 6).alias(f"mean_{c}") for c in features])
+
+
+def peak_lda(invoices: DataFrame, features=LDA_FEATURES):
+    """ML-14: linear discriminant analysis with priors = class shares.
+
+    Class counts, sums and cross-products come from one grouped aggregate on
+    uk_train; the pooled covariance and discriminant weights are a p x p solve
+    on the driver (p = 4); scoring is a linear Column expression.
+    Returns (weights DF[class, term, weight], confusion DF, errors DF)."""
+    import numpy as np
+
+    train = invoices.where(F.col("part") == "uk_train")
+    x = [F.col(c).cast("double") for c in features]
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(v).alias(f"s{i}") for i, v in enumerate(x)]
+    aggs += [F.sum(x[i] * x[j]).alias(f"q{i}_{j}") for i in range(len(x)) for j in range(i, len(x))]
+    rows = train.groupBy("is_peak_hour").agg(*aggs).collect()
+    p, n_total = len(features), sum(r["n"] for r in rows)
+    means, scatter = {}, np.zeros((p, p))
+    for r in rows:
+        s = np.array([r[f"s{i}"] for i in range(p)])
+        q = np.zeros((p, p))
+        for i in range(p):
+            for j in range(i, p):
+                q[i, j] = q[j, i] = r[f"q{i}_{j}"]
+        mu = s / r["n"]
+        means[r["is_peak_hour"]] = (mu, r["n"])
+        scatter += q - r["n"] * np.outer(mu, mu)
+    cov = scatter / max(n_total - len(rows), 1)
+    inv = np.linalg.pinv(cov)
+    scores, wrows = {}, []
+    for k, (mu, n) in sorted(means.items()):
+        w = inv @ mu
+        b = float(-0.5 * mu @ inv @ mu + np.log(n / n_total))
+        scores[k] = F.lit(b) + sum((F.lit(float(wi)) * xi for wi, xi in zip(w, x)), F.lit(0.0))
+        wrows += [(int(k), t, float(v)) for t, v in zip([*features, "constant"], [*w, b])]
+    keys = sorted(scores)
+    best = F.lit(keys[0])
+    top = scores[keys[0]]
+    for k in keys[1:]:
+        best = F.when(scores[k] > top, F.lit(k)).otherwise(best)
+        top = F.greatest(top, scores[k])
+    pred = invoices.where(F.col("part") != "uk_train").withColumn("predicted", best.cast("int"))
+    weights = invoices.sparkSession.createDataFrame(wrows, "class int, term string, weight double")
+    return weights, *_class_tables(pred)

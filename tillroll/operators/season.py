@@ -30,3 +30,105 @@ def product_month_split(pm: DataFrame, share: float = S.TRAIN_SHARE, home: str =
     s = hash_split(pm, PM_KEY, share, "_train")
     return s.withColumn("part", F.when(market("country", home) != "UK", "nouk_test")
                                  .when(F.col("_train"), "uk_train").otherwise("uk_test")).drop("_train")
+
+
+# ----------------------------------------------------------------------------- models
+FEATURES = ("month_num", "avg_price", "num_invoices")
+
+
+def _mse(df: DataFrame, y: str = "total_qty", p: str = "prediction") -> float:
+    return float(df.agg(F.avg((F.col(y).cast("double") - F.col(p)) ** 2)).first()[0] or 0.0)
+
+
+def bulk_forest(split: DataFrame, n_trees: int = S.BULK_FOREST_TREES, mtry: int = S.BULK_FOREST_MTRY,
+                seed: int = 1, depth: int = 12, permutation: bool = True):
+    """ML-10 / ML-7 / ML-8 / EVL-3: forest regression of monthly quantity on month,
+    mean price and invoice count (``mtry`` features per split), trained on
+    uk_train; MSE on uk_test and nouk_test; impurity importance and the MSE
+    increase when one feature is permuted (on uk_test, MLlib has no OOB rows).
+    Returns (mse DF[part, mse, n], importance DF[feature, impurity, mse_increase])."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from .evaluate import impurity_importance, permutation_importance
+
+    asm = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    train = asm.transform(split.where(F.col("part") == "uk_train"))
+    model = RandomForestRegressor(numTrees=n_trees, featureSubsetStrategy=str(mtry), maxDepth=depth,
+                                  minInstancesPerNode=5, seed=seed, labelCol="total_qty").fit(train)
+    scored = model.transform(asm.transform(split.where(F.col("part") != "uk_train")))
+    mse = scored.groupBy("part").agg(F.avg((F.col("total_qty").cast("double") - F.col("prediction")) ** 2)
+                                     .alias("mse"), F.count(F.lit(1)).alias("n"))
+    imp = dict(impurity_importance(model, list(FEATURES)))
+    perm = {}
+    if permutation:
+        test = split.where(F.col("part") == "uk_test")
+        perm = dict(permutation_importance(model, test, list(FEATURES), "total_qty",
+                                           lambda d: -_mse(d), seed=seed, assembler=asm))
+    spark = split.sparkSession
+    importance = spark.createDataFrame([(f, float(imp[f]), float(perm.get(f, float("nan")))) for f in FEATURES],
+                                       "feature string, impurity_importance double, mse_increase double")
+    return mse, importance
+
+
+def _additive_design(df: DataFrame, specs) -> tuple[DataFrame, list[str]]:
+    from .linear import spline_basis
+    cols = []
+    for name, (knots, m, s) in specs.items():
+        cols += spline_basis(F.col(name), knots, m, s, name)
+    out = df.select("*", *cols)
+    return out, [c for c in out.columns if c not in df.columns]
+
+
+def additive_model(split: DataFrame, dof: int = S.GAM_DF, features=FEATURES):
+    """ML-11 (re-aimed): additive model with one cubic regression spline of
+    ``dof`` degrees of freedom per feature, fitted by least squares from
+    executor-side Gramians. A smoothing spline s(x, 4) has 4 *effective*
+    degrees of freedom; a regression spline with 4 has exactly 4, without the
+    penalty search. Returns (coefficients DF, mse DF[part, mse, n])."""
+    from . import linear as L
+    train = split.where(F.col("part") == "uk_train")
+    specs = {f: L.knots_for(train, f, dof) for f in features}
+    design, names = _additive_design(split, specs)
+    g = L.gramian(design.where(F.col("part") == "uk_train"), names, "total_qty")[None]
+    beta = L.solve(g[0], g[1])
+    pred = design.withColumn("prediction", L.linear_column(beta, names))
+    mse = (pred.where(F.col("part") != "uk_train").groupBy("part")
+               .agg(F.avg((F.col("total_qty").cast("double") - F.col("prediction")) ** 2).alias("mse"),
+                    F.count(F.lit(1)).alias("n")))
+    spark = split.sparkSession
+    coefs = spark.createDataFrame([(n, float(b)) for n, b in zip(["intercept", *names], beta)],
+                                  "term string, estimate double")
+    return coefs, mse
+
+
+def spline_cv(split: DataFrame, dofs=S.SPLINE_DFS, folds: int = S.SPLINE_FOLDS, feature: str = "month_num"):
+    """ML-12: k-fold CV error of a regression spline of month for each df.
+
+    One aggregate per df yields every fold's Gramian (groupBy fold); the
+    leave-one-fold-out fit is total minus fold, and the held-out error comes
+    from the fold's own sums, so no model is refit over the rows. Knots come
+    from all training rows. Month has 12 distinct values: coinciding knots make
+    collinear columns, solved by minimum-norm least squares.
+    Returns DF[dof, cv_mse, is_best]."""
+    from . import linear as L
+    train = split.where(F.col("part") == "uk_train").withColumn(
+        "_fold", F.pmod(F.xxhash64(*PM_KEY), F.lit(folds)))
+    rows = []
+    for d in dofs:
+        knots, m, s = L.knots_for(train, feature, d)
+        cols = L.spline_basis(F.col(feature), knots, m, s, "b")
+        design = train.select("total_qty", "_fold", *cols)
+        names = [c for c in design.columns if c.startswith("b_")]
+        per_fold = L.gramian(design, names, "total_qty", group="_fold")
+        tot_xx = sum(v[0] for v in per_fold.values())
+        tot_xy = sum(v[1] for v in per_fold.values())
+        n_all = sum(v[3] for v in per_fold.values())
+        err = 0.0
+        for xx, xy, yy, n in per_fold.values():
+            beta = L.solve(tot_xx - xx, tot_xy - xy)
+            err += L.sse(beta, xx, xy, yy)
+        rows.append((int(d), err / max(n_all, 1)))
+    best = min(rows, key=lambda r: r[1])[0]
+    return split.sparkSession.createDataFrame([(d, e, d == best) for d, e in rows],
+                                              "dof int, cv_mse double, is_best boolean")

@@ -71,3 +71,52 @@ SELECT hour, day_of_week, CAST(sum(revenue) AS DOUBLE) / count(revenue) AS avg_r
 FROM hsplit GROUP BY hour, day_of_week""", "hsplit"), ids=("AGG-24",))
 def q_hour_day_revenue(spark, sf):
     return H.hour_day_revenue(split(spark, sf))
+
+
+def _logit(spark, sf):
+    return fixtures.remember(spark, ("peak_logistic", sf.rstrip("/")), lambda: H.peak_logistic(invoices(spark, sf)))
+
+
+def _lda(spark, sf):
+    return fixtures.remember(spark, ("peak_lda", sf.rstrip("/")), lambda: H.peak_lda(invoices(spark, sf)))
+
+
+@register("peak_logistic_coefficients", None, ids=("ML-13",))
+def q_peak_logistic_coefficients(spark, sf):
+    return _logit(spark, sf)[0]
+
+
+@register("peak_logistic_confusion", None, ids=("ML-13", "EVL-1", "AGG-6"))
+def q_peak_logistic_confusion(spark, sf):
+    return _logit(spark, sf)[1]
+
+
+@register("peak_logistic_error", None, ids=("ML-13", "EVL-2"))
+def q_peak_logistic_error(spark, sf):
+    return _logit(spark, sf)[2]
+
+
+@register("lda_class_stats", O.sql("""
+SELECT is_peak_hour, count(*) AS n,
+       round(avg(CAST(total_revenue AS DOUBLE)), 6) AS mean_total_revenue,
+       round(avg(CAST(total_qty AS DOUBLE)), 6) AS mean_total_qty,
+       round(avg(CAST(day_of_week AS DOUBLE)), 6) AS mean_day_of_week,
+       round(avg(CAST(month_num AS DOUBLE)), 6) AS mean_month_num
+FROM inv_features WHERE part = 'uk_train' GROUP BY is_peak_hour""", "inv_features"), ids=("ML-14",))
+def q_lda_class_stats(spark, sf):
+    return H.lda_class_stats(invoices(spark, sf))
+
+
+@register("peak_lda_weights", None, ids=("ML-14",))
+def q_peak_lda_weights(spark, sf):
+    return _lda(spark, sf)[0]
+
+
+@register("peak_lda_confusion", None, ids=("ML-14", "EVL-1"))
+def q_peak_lda_confusion(spark, sf):
+    return _lda(spark, sf)[1]
+
+
+@register("peak_lda_error", None, ids=("ML-14", "EVL-2"))
+def q_peak_lda_error(spark, sf):
+    return _lda(spark, sf)[2]

@@ -43,3 +43,36 @@ def q_pm_split_counts(spark, sf):
     from pyspark.sql import functions as F
     return product_months(spark, sf).groupBy("part").agg(F.count(F.lit(1)).alias("n"),
                                                           F.sum("total_qty").cast("long").alias("total_qty"))
+
+
+def _bulk(spark, sf):
+    from ..operators.season import bulk_forest
+    return fixtures.remember(spark, ("bulk_forest", sf.rstrip("/")), lambda: bulk_forest(product_months(spark, sf)))
+
+
+@register("bulk_forest_mse", None, ids=("ML-10", "EVL-3"))
+def q_bulk_forest_mse(spark, sf):
+    return _bulk(spark, sf)[0]
+
+
+@register("bulk_importance", None, ids=("ML-7", "ML-8"))
+def q_bulk_importance(spark, sf):
+    return _bulk(spark, sf)[1]
+
+
+@register("additive_model", None, ids=("ML-11",))
+def q_additive_model(spark, sf):
+    from ..operators.season import additive_model
+    return additive_model(product_months(spark, sf))[0]
+
+
+@register("additive_model_mse", None, ids=("ML-11", "EVL-3"))
+def q_additive_model_mse(spark, sf):
+    from ..operators.season import additive_model
+    return additive_model(product_months(spark, sf))[1]
+
+
+@register("spline_cv", None, ids=("ML-12",))
+def q_spline_cv(spark, sf):
+    from ..operators.season import spline_cv
+    return spline_cv(product_months(spark, sf))
