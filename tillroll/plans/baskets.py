@@ -226,3 +226,12 @@ def q_browse_products(spark, sf):
     kw = (fixtures.read_table(spark, sf, "part")
           .select(F.split("p_name", " ").getItem(0).alias("keyword")).where(F.col("keyword") != "").distinct())
     return R.browse_products(R.rule_products(rules(spark, sf)), kw)
+
+
+@register("rules_export_roundtrip", O.sql(f"SELECT {_R} FROM rules_fx", "rules_fx"), ids=("SNK-3", "SRC-4", "SNK-1"))
+def q_rules_export_roundtrip(spark, sf):
+    """Export the rules as CSV into the shared folder and read them back."""
+    from ..sources.io import read_rules, stage_path, write_rules
+    path = stage_path(spark, "association_rules_csv")
+    write_rules(rules(spark, sf), path)
+    return read_rules(spark, path).select(*A.RULE_COLUMNS)
