@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # A lookup side is broadcast only when its counted size stays below this many
 # rows; above it the join falls back to a shuffle join (sort-merge, with AQE's
 # skew-join splitting a hot key).
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def sized_broadcast(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
