@@ -227,14 +227,19 @@ def invoice_qty_mismatch(df: DataFrame) -> DataFrame:
 
 
 def mismatch_examples(df: DataFrame, n: int = 20) -> DataFrame:
-    """FLT-2 / TOP-2: first n rows of each mismatch kind in the total row order."""
+    """FLT-2 / TOP-2: first n rows of each mismatch kind in the total row order.
+
+    One ordered limit per kind (per-partition top n, then a merge of
+    partitions x n rows), so the mismatching lines are never gathered in one
+    window partition however many there are."""
     c, neg = starts("invoice_no", "C"), F.coalesce(F.col("quantity") < 0, F.lit(False))
-    kind = F.when(neg & ~c, "negative_not_c").when(c & ~neg, "c_not_negative")
     order = [F.col(x).asc_nulls_last() for x in S.RAW_COLUMNS]
-    w = Window.partitionBy("kind").orderBy(*order)
-    # Rows of the two kinds are few; the window runs on the filtered rows only.
-    return (df.withColumn("kind", kind).where(F.col("kind").isNotNull())
-              .withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= n))
+    parts = []
+    for kind, cond in (("negative_not_c", neg & ~c), ("c_not_negative", c & ~neg)):
+        top = df.where(cond).orderBy(*order).limit(n)
+        parts.append(top.withColumn("kind", F.lit(kind))
+                        .withColumn("rk", F.row_number().over(Window.partitionBy("kind").orderBy(*order))))
+    return parts[0].unionByName(parts[1])
 
 
 def eda_groups(df: DataFrame) -> DataFrame:

@@ -127,9 +127,9 @@ def _points_array(points: DataFrame, features: str) -> DataFrame:
 
 def _initial_centers(arr: DataFrame, runs: list[tuple[int, int]], seed: int) -> dict:
     """For every run (k, start): its k points with the smallest seeded hash of
-    the customer id (a random pick of k rows, as R's kmeans starts). One job:
-    each partition keeps its local k smallest per run, the driver merges
-    (partitions x runs x k rows)."""
+    the customer id (a random pick of k rows, as R's kmeans starts). Each
+    partition keeps its local k smallest per run; a per-run rank in Spark keeps
+    the global k, so only runs x k rows reach the driver."""
     import numpy as np
     import pandas as pd
 
@@ -148,10 +148,15 @@ def _initial_centers(arr: DataFrame, runs: list[tuple[int, int]], seed: int) ->
                     rows.append((r, int(h[j]), [float(v) for v in xs[j]]))
         yield pd.DataFrame(rows, columns=["run", "h", "x"])
 
-    cand = arr.mapInPandas(local_top, schema).collect()
+    from pyspark.sql import Window
+    # per-partition candidates -> per-run rank in Spark -> only runs x k rows reach the driver
+    cand = arr.mapInPandas(local_top, schema)
+    k_of_run = F.element_at(F.array(*[F.lit(k) for k, _ in runs]), F.col("run") + 1)
+    picked = (cand.withColumn("_rk", F.row_number().over(Window.partitionBy("run").orderBy("h")))
+                  .where(F.col("_rk") <= k_of_run).collect())
     centers = {}
     for r, (k, _) in enumerate(runs):
-        mine = sorted((c for c in cand if c["run"] == r), key=lambda c: c["h"])[:k]
+        mine = sorted((c for c in picked if c["run"] == r), key=lambda c: c["h"])[:k]
         centers[r] = np.array([c["x"] for c in mine], dtype=float)
     return centers
 
