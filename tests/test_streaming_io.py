@@ -47,3 +47,16 @@ def test_rules_csv_roundtrip(spark):
     back = read_rules(spark, path)
     assert [r["LHS"] for r in back.orderBy(F.col("lift").desc()).collect()] == ["A", "A,B"]
     assert back.where("LHS = 'A,B'").first()["antecedent"] == ["A", "B"]
+
+
+def test_write_splits_partitions_by_table(spark):
+    from tillroll.operators.splits import write_splits
+    from tillroll.plans.stages import cleaned
+    df = cleaned(spark, SF)
+    base = tempfile.mkdtemp(prefix="tillroll-test-", dir="/tmp")
+    write_splits(df, base)
+    back = spark.read.parquet(os.path.join(base, "splits"))
+    want = {r["split"]: r["n"] for r in split_counts(df).collect() if r["n"]}
+    assert {r["split"]: r["count"] for r in back.groupBy("split").count().collect()} == want
+    assert spark.read.parquet(os.path.join(base, "cleaned_retail_all")).count() == df.count()
+    assert back.where("split = 'free_items'").count() == want["free_items"]
