@@ -110,10 +110,13 @@ def search_terms(spark, sf):
 _R = "LHS, RHS, support, confidence, lift"
 
 
-@register("baskets", O.sql("SELECT invoice_no, list(item ORDER BY item) AS items, count(*) AS n_items "
-                           "FROM uk_b GROUP BY invoice_no", "uk_b"), ids=("AGG-25", "NST-1", "FLT-6"))
+@register("baskets", O.sql("SELECT invoice_no, array_to_string(list(item ORDER BY item), ' | ') AS items, "
+                           "count(*) AS n_items FROM uk_b GROUP BY invoice_no", "uk_b"),
+          ids=("AGG-25", "NST-1", "FLT-6"))
 def q_baskets(spark, sf):
-    return uk_baskets(spark, sf)
+    # the operator keeps array<string> (FP-growth input); the registered query
+    # shows the sorted items as text so any row hash can compare it
+    return uk_baskets(spark, sf).select("invoice_no", F.array_join("items", " | ").alias("items"), "n_items")
 
 
 @register("basket_sizes", O.sql("SELECT size, count(*) AS n_baskets FROM (SELECT invoice_no, count(*) AS size "
