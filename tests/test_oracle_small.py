@@ -13,7 +13,7 @@ from oracle_harness import compare, duck, rows_key
 
 SF = "/root/testdata/sf0.001"
 RULE_SET_QUERIES = {"association_rules_fixture", "top_rules", "rules_summary", "rule_lengths", "rule_transfer",
-                    "rule_products", "browse_products"}
+                    "rule_products", "browse_products", "rules_export_roundtrip"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
