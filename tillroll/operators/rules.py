@@ -11,14 +11,18 @@ from .demand import market
 RULE_COLUMNS = ("LHS", "RHS", "support", "confidence", "lift")
 
 
-def basket_lines(sales: DataFrame, market_name: str = "UK", home: str = S.HOME_COUNTRY) -> DataFrame:
-    """Distinct (invoice, item) pairs of one market; missing descriptions are no item."""
-    return (sales.where((market("country", home) == market_name) & F.col("description").isNotNull())
-                 .select("invoice_no", F.col("description").alias("item")).distinct())
+def basket_lines(sales: DataFrame, market_name: str = "UK", home: str = S.HOME_COUNTRY,
+                 distinct: bool = True) -> DataFrame:
+    """(invoice, item) pairs of one market, distinct unless the consumer
+    de-duplicates itself; missing descriptions are no item."""
+    lines = (sales.where((market("country", home) == market_name) & F.col("description").isNotNull())
+                  .select("invoice_no", F.col("description").alias("item")))
+    return lines.distinct() if distinct else lines
 
 
 def baskets(lines: DataFrame) -> DataFrame:
-    """AGG-25 / NST-1: one row per invoice with its sorted distinct items."""
+    """AGG-25 / NST-1: one row per invoice with its sorted distinct items
+    (``collect_set`` de-duplicates map-side, so raw lines may be passed)."""
     return (lines.groupBy("invoice_no").agg(F.sort_array(F.collect_set("item")).alias("items"))
                  .withColumn("n_items", F.size("items")))
 

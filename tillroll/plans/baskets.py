@@ -89,7 +89,8 @@ def nouk_lines(spark, sf):
 
 
 def uk_baskets(spark, sf):
-    return fixtures.memo(spark, ("uk_baskets", sf.rstrip("/")), lambda: A.baskets(uk_lines(spark, sf)))
+    return fixtures.memo(spark, ("uk_baskets", sf.rstrip("/")),
+                         lambda: A.baskets(A.basket_lines(clean_sales(spark, sf), "UK", distinct=False)))
 
 
 def rules(spark, sf, support=FIXTURE_SUPPORT, confidence=FIXTURE_CONFIDENCE):
