@@ -35,7 +35,7 @@ def spike_sets(features: DataFrame, share: float = S.TRAIN_SHARE) -> DataFrame:
     return uk.unionByName(enc.where(F.col("market") == "Non-UK").withColumn("part", F.lit("nouk_test")))
 
 
-def _pipeline_stages():
+def _feature_stages():
     from pyspark.ml.feature import VectorAssembler, VectorIndexer
     cols = [f"f_{c}" for c in MODEL_COLUMNS]
     # quarter (4 levels) and weekend (2 levels) become categorical splits
@@ -55,7 +55,7 @@ def fit_tree(train: DataFrame, depth: int = S.SPIKE_TREE_DEPTH, min_split: int =
     w = F.when(F.col("label") == 0.0, F.lit(cost_normal_as_high / cost_high_as_normal)).otherwise(F.lit(1.0))
     clf = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=max(1, round(min_split / 3)),
                                  weightCol="weight", seed=seed)
-    return Pipeline(stages=_pipeline_stages() + [clf]).fit(train.withColumn("weight", w))
+    return Pipeline(stages=_feature_stages() + [clf]).fit(train.withColumn("weight", w))
 
 
 def fit_forest(train: DataFrame, n_trees: int = S.SPIKE_FOREST_TREES, depth: int = 10, seed: int = 194):
@@ -63,7 +63,7 @@ def fit_forest(train: DataFrame, n_trees: int = S.SPIKE_FOREST_TREES, depth: int
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     clf = RandomForestClassifier(numTrees=n_trees, maxDepth=depth, seed=seed)
-    return Pipeline(stages=_pipeline_stages() + [clf]).fit(train)
+    return Pipeline(stages=_feature_stages() + [clf]).fit(train)
 
 
 def fit_boost(train: DataFrame, max_iter: int = S.BOOST_TREES, step: float = S.BOOST_RATE,
@@ -81,7 +81,7 @@ def fit_boost(train: DataFrame, max_iter: int = S.BOOST_TREES, step: float = S.B
     def gbt(n):
         return GBTClassifier(maxIter=n, stepSize=step, maxDepth=depth, subsamplingRate=0.5, seed=seed)
 
-    prep = Pipeline(stages=_pipeline_stages()).fit(train)
+    prep = Pipeline(stages=_feature_stages()).fit(train)
     data = prep.transform(train).withColumn("_fold", F.pmod(F.xxhash64("date"), F.lit(folds))).persist()
 
     def fold_loss(k):
@@ -95,7 +95,7 @@ def fit_boost(train: DataFrame, max_iter: int = S.BOOST_TREES, step: float = S.B
     total_n = sum(n for _, n in res) or 1
     mean = [sum(r[0][i] for r in res) / total_n for i in range(max_iter)]
     best = min(range(max_iter), key=lambda i: mean[i]) + 1
-    model = Pipeline(stages=_pipeline_stages() + [gbt(best)]).fit(train)
+    model = Pipeline(stages=_feature_stages() + [gbt(best)]).fit(train)
     data.unpersist()
     return model, best, mean
 

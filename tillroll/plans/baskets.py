@@ -80,11 +80,12 @@ O.CTES["recs"] = (f"""
 
 
 def uk_lines(spark, sf):
-    return fixtures.memo(spark, ("uk_lines", sf.rstrip("/")), lambda: A.basket_lines(clean_sales(spark, sf), "UK"))
+    # (invoice, item) pairs are near line-level: recomputed from the stage table, not cached
+    return fixtures.stage(spark, ("uk_lines", sf.rstrip("/")), lambda: A.basket_lines(clean_sales(spark, sf), "UK"))
 
 
 def nouk_lines(spark, sf):
-    return fixtures.memo(spark, ("nouk_lines", sf.rstrip("/")),
+    return fixtures.stage(spark, ("nouk_lines", sf.rstrip("/")),
                          lambda: A.basket_lines(clean_sales(spark, sf), "Non-UK"))
 
 

@@ -38,8 +38,10 @@ O.CTES["inv_features"] = ("""
 
 
 def split(spark, sf, unit: str = "row"):
-    return fixtures.memo(spark, ("hsplit", sf.rstrip("/"), unit),
-                         lambda: H.peak_split(H.shopping_lines(clean_sales(spark, sf)), unit=unit))
+    # line-level: a projection of the Parquet stage table, recomputed rather
+    # than cached (only aggregated tables are persisted)
+    return fixtures.stage(spark, ("hsplit", sf.rstrip("/"), unit),
+                          lambda: H.peak_split(H.shopping_lines(clean_sales(spark, sf)), unit=unit))
 
 
 def invoices(spark, sf, unit: str = "row"):
