@@ -48,3 +48,12 @@ def test_splits_are_deterministic_and_complementary(spark):
                                                                      F.count(F.lit(1)).alias("n")).collect()}
     for t, n in per.values():
         assert t == -(-n * 8 // 10)
+
+
+def test_penalty_bisection_hits_target_df():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 6))
+    g = x.T @ x
+    pen = np.diag([0, 0, 0, 1, 1, 1.0])
+    lam = L.lambda_for_df(g, pen, 4.0)
+    assert abs(L.effective_df(g, pen, lam) - 4.0) < 1e-6

@@ -84,3 +84,26 @@ def linear_column(beta: Sequence[float], x_cols: Sequence[str]) -> Column:
     for b, c in zip(beta[1:], x_cols):
         expr = expr + F.lit(float(b)) * F.col(c).cast("double")
     return expr
+
+
+def effective_df(g: np.ndarray, penalty: np.ndarray, lam: float) -> float:
+    """trace((G + lam P)^-1 G): degrees of freedom of a penalized fit."""
+    return float(np.trace(np.linalg.pinv(g + lam * penalty) @ g))
+
+
+def lambda_for_df(g: np.ndarray, penalty: np.ndarray, target: float, lo: float = 1e-8, hi: float = 1e8,
+                  steps: int = 80) -> float:
+    """Bisect log(lambda) until the effective df equals ``target`` (df falls
+    monotonically as the penalty grows)."""
+    if effective_df(g, penalty, lo) <= target:
+        return lo
+    if effective_df(g, penalty, hi) >= target:
+        return hi
+    a, b = np.log(lo), np.log(hi)
+    for _ in range(steps):
+        m = 0.5 * (a + b)
+        if effective_df(g, penalty, float(np.exp(m))) > target:
+            a = m
+        else:
+            b = m
+    return float(np.exp(0.5 * (a + b)))

@@ -60,19 +60,28 @@ def q_bulk_importance(spark, sf):
     return _bulk(spark, sf)[1]
 
 
+def _additive(spark, sf):
+    from ..operators.season import additive_model
+    return fixtures.remember(spark, ("additive", sf.rstrip("/")), lambda: additive_model(product_months(spark, sf)))
+
+
 @register("additive_model", None, ids=("ML-11",))
 def q_additive_model(spark, sf):
-    from ..operators.season import additive_model
-    return additive_model(product_months(spark, sf))[0]
+    return _additive(spark, sf)[0]
 
 
 @register("additive_model_mse", None, ids=("ML-11", "EVL-3"))
 def q_additive_model_mse(spark, sf):
-    from ..operators.season import additive_model
-    return additive_model(product_months(spark, sf))[1]
+    return _additive(spark, sf)[1]
 
 
 @register("spline_cv", None, ids=("ML-12",))
 def q_spline_cv(spark, sf):
     from ..operators.season import spline_cv
     return spline_cv(product_months(spark, sf))
+
+
+@register("additive_model_df", None, ids=("ML-11",))
+def q_additive_model_df(spark, sf):
+    from ..operators.season import additive_model_df
+    return additive_model_df(product_months(spark, sf))
