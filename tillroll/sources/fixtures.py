@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 
+# Join strategy for the line-level fact join (see build_retail_lines).
+FACT_JOIN_STRATEGY = "merge"
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -51,11 +54,13 @@ def build_retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_attrs = (orders
                    .join(cust, orders.o_custkey == cust.c_custkey)
                    .join(nation, cust.c_nationkey == nation.n_nationkey))
-    # The fact join is a shuffle join on the order key at any size: it is the
-    # exchange a large deployment needs anyway, and it spreads the per-line
-    # work over the shuffle partitions even when an input is one row group.
+    # The fact join is a sort-merge join on the order key at any size: it is
+    # the exchange a large deployment needs anyway (and sorts spill, where a
+    # hash table of a big orders partition would not), and it spreads the
+    # per-line work over the shuffle partitions even when an input is one row
+    # group.
     # part/customer/nation are left to the planner's size-checked broadcast.
-    joined = (li.join(order_attrs.hint("shuffle_hash"), li.l_orderkey == order_attrs.o_orderkey)
+    joined = (li.join(order_attrs.hint(FACT_JOIN_STRATEGY), li.l_orderkey == order_attrs.o_orderkey)
                 .join(part, li.l_partkey == part.p_partkey))
 
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
