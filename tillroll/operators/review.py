@@ -19,7 +19,7 @@ def review_order(df: DataFrame, keys=REVIEW_KEYS) -> list:
 def first_per_code(df: DataFrame, keys=REVIEW_KEYS) -> DataFrame:
     """WIN-5: first row per stock_code (NULL code is its own group).
 
-    Written as ``min(struct(sort keys, row))`` per code: a partial aggregate, so
+    Written as ``min_by(row, struct(sort keys))`` per code: a partial aggregate, so
     a stock code holding a third of all rows is combined map-side instead of
     being sorted in one window partition.
     """
@@ -27,9 +27,9 @@ def first_per_code(df: DataFrame, keys=REVIEW_KEYS) -> DataFrame:
     sort_fields = []
     for c in (*keys, *rest):
         sort_fields += [F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(f"_k_{c}")]
-    packed = F.struct(*sort_fields, F.struct(*df.columns).alias("_row"))
-    return (df.groupBy("stock_code").agg(F.min(packed).alias("_first"))
-              .select("_first._row.*"))
+    return (df.groupBy("stock_code")
+              .agg(F.min_by(F.struct(*df.columns), F.struct(*sort_fields)).alias("_row"))
+              .select("_row.*"))
 
 
 def changed_rows(df: DataFrame, n: int = S.REVIEW_CHANGED_ROWS) -> DataFrame:
