@@ -1,7 +1,7 @@
 """When customers shop: peak-hour labels and invoice roll-ups (PEAK-1, AGG-22..24, JOI-6).
 
 The hour table has at most 24 rows, so joining it back is a broadcast with a
-fixed bound; the 0.67-quantile over those hours is a scalar subquery.
+fixed bound; the 0.67-quantile over those hours is a window over that table.
 """
 
 from __future__ import annotations
@@ -46,13 +46,15 @@ def hour_revenue(lines: DataFrame) -> DataFrame:
 def peak_label(split: DataFrame, p: float = S.PEAK_QUANTILE) -> DataFrame:
     """PEAK-1 / JOI-6: hours learned on uk_train rows only; a row is peak when
     its hour's training mean >= the p-quantile over hours (unseen hour -> 0)."""
-    hours = hour_revenue(split.where(F.col("part") == "uk_train"))
-    thr = hours.select(F.percentile("avg_revenue", p)).scalar()
-    # at most 24 rows: a fixed-size broadcast
+    from pyspark.sql import Window
+    # One aggregate gives the hour table (at most 24 rows); its quantile is a
+    # window over those rows, and the table joins back as a fixed-size broadcast.
+    hours = (hour_revenue(split.where(F.col("part") == "uk_train"))
+             .withColumn("_thr", F.percentile("avg_revenue", p).over(Window.partitionBy())))
     labelled = split.join(F.broadcast(hours), "hour", "left")
     return labelled.withColumn("is_peak_hour",
-                               F.when(F.col("avg_revenue").isNotNull() & (F.col("avg_revenue") >= thr), 1)
-                                .otherwise(0))
+                               F.when(F.col("avg_revenue").isNotNull() & (F.col("avg_revenue") >= F.col("_thr")), 1)
+                                .otherwise(0)).drop("_thr")
 
 
 def peak_threshold(split: DataFrame, p: float = S.PEAK_QUANTILE) -> DataFrame:
