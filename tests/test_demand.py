@@ -41,3 +41,21 @@ def test_market_thresholds_are_separate(spark):
     thr = {r["market"]: r["spike_threshold"] for r in lab.select("market", "spike_threshold").distinct().collect()}
     assert thr["UK"] < thr["Non-UK"]
     assert lab.where(F.col("demand_spike") == "High").count() == 4
+
+
+def test_revenue_switch(spark):
+    rows = [("100001", "20001", "X", 3, 2.0), ("100001", "20002", "Y", 2, 5.0)]
+    by_price = daily_demand(lines(spark, rows)).first()
+    by_line = daily_demand(lines(spark, rows), revenue="line").first()
+    assert float(by_price["total_revenue"]) == 7.0        # sum of unit prices, as the workflow does
+    assert float(by_line["total_revenue"]) == 16.0        # price x quantity
+
+
+def test_peak_split_by_invoice_has_no_leak(spark):
+    from tillroll.operators.hours import peak_split, shopping_lines
+    rows = [(f"{100000 + i // 5}", f"{20000 + i}", "X", 1 + i % 3, 2.0) for i in range(500)]
+    s = peak_split(shopping_lines(lines(spark, rows)), unit="invoice")
+    sides = s.groupBy("invoice_no").agg(F.countDistinct("part").alias("k"))
+    assert sides.where("k > 1").count() == 0
+    row_level = peak_split(shopping_lines(lines(spark, rows)), unit="row")
+    assert row_level.groupBy("invoice_no").agg(F.countDistinct("part").alias("k")).where("k > 1").count() > 0
