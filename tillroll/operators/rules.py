@@ -87,17 +87,22 @@ def rule_holdout_confidence(rules: DataFrame, holdout_lines: DataFrame, strict:
 
     NULL when an item never occurs in the holdout baskets or the LHS never
     occurs; with ``strict`` a multi-item LHS is NULL as in the analysed
-    workflow, otherwise its items must all be in the basket. ``rules`` is a
-    short list (a top-n), so its exploded side is broadcast with that bound.
+    workflow, otherwise its items must all be in the basket. The rule side is
+    broadcast only when its counted size is small (a top-n list is).
     """
-    r = rules.withColumn("_rid", F.concat_ws("\u0001", "LHS", "RHS"))
+    from .joins import DEFAULT_MAX_BROADCAST_ROWS
+    r = rules.withColumn("_rid", F.concat_ws("\u0001", "LHS", "RHS")).persist()
+    # rule-side tables hold at most rules x (max_len + 1) rows: broadcast them
+    # only when that counted bound is small, else plain shuffle joins
+    small = r.count() * (S.RULE_MAX_LEN + 1) <= DEFAULT_MAX_BROADCAST_ROWS
+    bc = F.broadcast if small else (lambda d: d)
     ante = r.select("_rid", F.explode("antecedent").alias("item"), F.size("antecedent").alias("_k"))
-    lhs_hits = (holdout_lines.join(F.broadcast(ante), "item")
+    lhs_hits = (holdout_lines.join(bc(ante), "item")
                 .groupBy("_rid", "invoice_no", "_k").agg(F.count(F.lit(1)).alias("_m"))
                 .where(F.col("_m") == F.col("_k")).select("_rid", "invoice_no"))
     lhs_n = lhs_hits.groupBy("_rid").agg(F.count(F.lit(1)).alias("_lhs_n"))
     rhs = r.select("_rid", F.col("RHS").alias("item"))
-    both_n = (lhs_hits.join(F.broadcast(rhs), "_rid")
+    both_n = (lhs_hits.join(bc(rhs), "_rid")
               .join(holdout_lines, ["invoice_no", "item"], "left_semi")
               .groupBy("_rid").agg(F.count(F.lit(1)).alias("_both_n")))
     items = r.select("_rid", F.explode(F.array_distinct(F.array_union("antecedent", F.array("RHS"))))
@@ -105,7 +110,7 @@ def rule_holdout_confidence(rules: DataFrame, holdout_lines: DataFrame, strict:
     n_items = items.groupBy("_rid").agg(F.count(F.lit(1)).alias("_n_items"))
     # items of the rules that occur in the holdout: broadcast probe, then a
     # map-side distinct, so a hot item never gathers its rows in one task
-    n_known = (holdout_lines.join(F.broadcast(items), "item").select("_rid", "item").distinct()
+    n_known = (holdout_lines.join(bc(items), "item").select("_rid", "item").distinct()
                .groupBy("_rid").agg(F.count(F.lit(1)).alias("_n_known")))
     out = (r.join(n_items, "_rid").join(lhs_n, "_rid", "left").join(both_n, "_rid", "left")
             .join(n_known, "_rid", "left"))

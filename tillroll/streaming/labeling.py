@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.masks import mask_columns
 from ..functions.text import is_noise, normalize_description
+from ..operators.joins import sized_broadcast
 from ..operators.splits import split_long
 from ..session import ensure_checkpoint_dir
 
@@ -26,9 +27,9 @@ def label_lines(raw: DataFrame, code_map: DataFrame) -> DataFrame:
 
     Works on a batch or a streaming DataFrame (stream-static left join)."""
     d0 = normalize_description("description")
-    joined = (raw.withColumn("description", d0)
-                 .join(F.broadcast(code_map.select("stock_code", "fill_description", "canonical_description")),
-                       "stock_code", "left"))
+    # the static side is persisted, counted and broadcast only when small
+    side = sized_broadcast(code_map.select("stock_code", "fill_description", "canonical_description"))
+    joined = raw.withColumn("description", d0).join(side, "stock_code", "left")
     d = F.coalesce(F.col("description"), F.col("fill_description"))
     canon = F.col("canonical_description")
     changed = canon.isNotNull() & (d.isNull() | (d != canon))
