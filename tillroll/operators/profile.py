@@ -84,6 +84,15 @@ def validate_amounts(df: DataFrame) -> DataFrame:
     )
 
 
+def amount_examples(df: DataFrame, n: int = 10) -> DataFrame:
+    """VAL-3: first n negative-price rows and first n zero-quantity rows in the
+    total row order (one ordered limit each: top-n merge, no global sort)."""
+    order = [F.col(x).asc_nulls_last() for x in S.RAW_COLUMNS]
+    neg = df.where(F.col("price") < 0).orderBy(*order).limit(n).withColumn("kind", F.lit("negative_price"))
+    zero = df.where(F.col("quantity") == 0).orderBy(*order).limit(n).withColumn("kind", F.lit("zero_quantity"))
+    return neg.unionByName(zero)
+
+
 def date_profile(df: DataFrame, col: str = "invoice_date") -> DataFrame:
     """DAT-1: parse with coercion; valid/invalid counts, rate, range."""
     parsed = F.col(col).cast("string").try_cast("timestamp_ntz")

@@ -409,3 +409,12 @@ FROM (SELECT *, ({_wide_special} AND NOT {_dcgs} AND NOT {_gift} AND stock_code
               AND quantity > 0 AND price > 0) AS cl FROM eda) t""", "eda"), ids=("AGG-14",))
 def q_shipping_invoice_share(spark, sf):
     return P.shipping_invoice_share(raw_lines(spark, sf))
+
+
+@register("amount_examples", O.sql(f"""
+SELECT * FROM (SELECT {_RAW}, 'negative_price' AS kind FROM raw WHERE price < 0 ORDER BY {_ORDER} LIMIT 10) a
+UNION ALL
+SELECT * FROM (SELECT {_RAW}, 'zero_quantity' AS kind FROM raw WHERE quantity = 0 ORDER BY {_ORDER} LIMIT 10) b""",
+    "raw"), ids=("VAL-3", "TOP-2"))
+def q_amount_examples(spark, sf):
+    return P.amount_examples(raw_lines(spark, sf))
