@@ -18,13 +18,16 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def build_session(master: str | None = None, cores: int | None = None,
                   app_name: str = "tillroll", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session. ``master`` is only used for local runs."""
+    """Create (or reuse) a session. ``master`` is only used for local runs.
+
+    ``_DEFAULTS`` are applied only to keys the session's own configuration
+    (spark-submit, spark-defaults) does not set; ``extra`` always applies.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master is None and cores is not None:
         master = f"local[{cores}]"
@@ -34,12 +37,19 @@ def build_session(master: str | None = None, cores: int | None = None,
             n = cores or os.cpu_count() or 8
             builder = (builder
                        .config("spark.ui.enabled", "false")
+                       .config("spark.ui.showConsoleProgress", "false")
                        .config("spark.driver.memory", "16g")
                        .config("spark.sql.shuffle.partitions", str(max(8, 2 * n)))
                        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m"))
-    for key, value in {**_DEFAULTS, **(extra or {})}.items():
-        builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    configured = spark.sparkContext.getConf()
+    settings = {k: v for k, v in _DEFAULTS.items() if not configured.contains(k)}
+    settings.update(extra or {})
+    for key, value in settings.items():
+        try:
+            spark.conf.set(key, value)
+        except Exception:  # a static setting of an already running context
+            pass
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
