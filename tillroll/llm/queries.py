@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.io import stage_path
-from . import exact_dedup, packing, topk, toxicity, warc
+from . import exact_dedup, mixing, packing, pii, secrets, sharding, topk, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+@query()
+def op2_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query()
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "warc")
@@ -67,6 +72,13 @@ def op4_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+@query()
+def op6_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.pseudonymise(docs, key=spark.conf.get("spark.tillroll.pii.key", "not a secret: tests only"))
+    return out.select("doc_id", "text", *[F.col(f"pii.{kind}").alias(f"n_{kind}") for kind, _ in pii.KINDS])
+
+
 @query()
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -74,6 +86,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+@query()
+def op8_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=40).withColumnRenamed("id", "doc_id")
+
+
 @query()
 def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query()
+def op10_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
