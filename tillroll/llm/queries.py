@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.io import stage_path
-from . import exact_dedup, mixing, packing, pii, secrets, sharding, topk, toxicity, warc
+from . import exact_dedup, mixing, near_dedup, packing, pii, secrets, sharding, topk, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,11 @@ def op4_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+@query()
+def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 @query()
 def op6_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
