@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from ..sources.io import stage_path
 from . import exact_dedup, mixing, near_dedup, packing, pii, secrets, sharding, topk, toxicity, warc
 from .common import table
@@ -104,3 +106,8 @@ def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
