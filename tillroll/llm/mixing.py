@@ -88,12 +88,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
 
     table = _local(spark, [F.struct(
         F.lit(s).alias("mix_source"), F.lit(names.index(s) if s in share else -1).alias("pos"),
-        F.lit(share.get(s, 0)).cast("long").alias("share"), F.lit(1 + n // BUCKET_ROWS).alias("buckets"))
+        F.lit(share.get(s)).cast("long").alias("share"), F.lit(1 + n // BUCKET_ROWS).alias("buckets"))
         for s, n in counts.items()])
-    ranked = positions(rows.join(F.broadcast(table), "mix_source"), ["mix_source", "pos", "share"],
+    ranked = positions(rows.join(F.broadcast(table), "mix_source"), ["mix_source"],
                        F.pmod(F.col("h"), F.col("buckets")), ["h", "id"], "rank")
     block = F.floor(F.col("rank") / block_rows)
-    ranked = ranked.withColumn("block", block).withColumn("nth", F.when(F.col("share") > 0, F.col("block") % F.col("share")))
+    ranked = ranked.withColumn("block", block).withColumn("nth", F.col("block") % F.col("share"))
     if not share:
         pattern = spark.range(0).selectExpr("cast(id AS int) AS pos", "id AS nth", "cast(id AS int) AS cycle_slot")
         end = 0
@@ -109,8 +109,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     slot = F.floor(F.col("block") / F.col("share")) * slots + F.col("cycle_slot")
     return (ranked.join(F.broadcast(pattern), ["pos", "nth"], "left").withColumn("slot", slot).select(
         "id", F.when(F.col("mix_source") != "null", F.expr("substring(mix_source, 2)")).alias("source"), "block",
-        F.when(F.col("share") > 0, F.floor(F.col("block") * slots / F.col("share"))).alias("release"),
-        F.when(F.col("share") > 0, F.ceil((F.col("block") + 1) * slots / F.col("share"))).alias("deadline"), "slot",
+        F.floor(F.col("block") * slots / F.col("share")).alias("release"),
+        F.ceil((F.col("block") + 1) * slots / F.col("share")).alias("deadline"), "slot",
         (F.col("slot") * block_rows + F.col("rank") % block_rows).alias("place"),
         F.coalesce(F.col("slot") < end, F.lit(False)).alias("scheduled")))
 

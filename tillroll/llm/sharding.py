@@ -4,7 +4,8 @@ Every document starts in the shard that a hash of its row gives. Documents that
 share a hub (here: an equal text) are linked. In each round a Spark join gives
 every linked document its hub's preferred shard, the one that holds most of the
 hub's documents (as many such shards as the hub needs, if it is larger than a
-shard). A shard's quota is the room left by the linked documents that stay; if
+shard); a shard that turned documents away is preferred only by hubs that are
+mostly there. A shard's quota is the room left by the linked documents that stay; if
 more want to come, a hash lets in the fitting share. Hubs are counted per shard
 before anything meets, so a hub with a third of all rows costs 40 counts.
 
@@ -34,10 +35,14 @@ def propagate(links: DataFrame, shards: int, capacity: int, rounds: int = 5) ->
 
     A uid may stand under several hubs; it follows the vote of the largest."""
     links = stage(links, "shard-links")
+    full = F.array(*[F.lit(False)] * shards)
     for turn in range(rounds):
         counts = links.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
-        ordered = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), F.xxhash64("hub", "shard").alias("h"), "shard")))
-        wanted = stage(counts.groupBy("hub").agg(F.sum("n").alias("size"), ordered.alias("all")).select(
+        held = counts.groupBy("hub").agg(F.sum("n").alias("size"), F.collect_list(F.struct("shard", "n")).alias("held"))
+        ordered = F.sort_array(F.transform("held", lambda x: F.struct(  # a full shard only for a hub that is mostly there
+            (F.element_at(full, x["shard"] + 1) & (2 * x["n"] <= F.col("size"))).alias("late"), (-x["n"]).alias("n"),
+            F.xxhash64("hub", x["shard"]).alias("h"), x["shard"].alias("shard"))))
+        wanted = stage(held.withColumn("all", ordered).select(
             "hub", "size", F.transform(F.slice("all", 1, F.ceil(F.col("size") / capacity).cast("int")), lambda x: x["shard"])
             .alias("prefer")), "shard-prefer")  # one entry per shard at most
         pick = F.when(F.array_contains("prefer", F.col("shard")), F.col("shard")).otherwise(
@@ -56,6 +61,7 @@ def propagate(links: DataFrame, shards: int, capacity: int, rounds: int = 5) ->
         for r in flow:
             if r.all > r.stay:
                 admit[r.want] = min(1.0, max(0, capacity - r.stay) / (r.all - r.stay))
+        full = F.array(*[F.lit(a < 1.0) for a in admit])
         chance = F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)
         goes = chance < F.element_at(F.array(*[F.lit(a) for a in admit]), F.col("want") + 1)
         links = stage(votes.select("uid", "hub", F.when(goes, F.col("want")).otherwise(F.col("shard")).alias("shard")), "shard-links")

@@ -131,7 +131,7 @@ class WarcReader(DataSourceReader):
                 room = self.split_bytes
             held[-1].append(name)
             room -= size
-        return [FilePartition(x) for x in held]
+        return [FilePartition(x) for x in held or [[]]]
 
     def wanted(self, headers: dict) -> bool:
         for name, kind, value in self.tests:
