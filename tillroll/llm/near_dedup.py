@@ -7,14 +7,14 @@
    puts first, so small sets compare like large ones.
 2. Documents with equal sets are one node from here on.
 3. 51 bands of 5 registers are hashed to keys; a pair at 0.8 shares none with
-   probability 2e-9. Nodes of a key are compared with the key's first node
-   only, not with each other.
+   probability 2e-9. Nodes of a key are compared with one of them only,
+   the one that shares the most keys, not with each other.
 4. A candidate is dropped if the Jaccard index estimated from its registers,
    corrected for chance collisions, is over six standard errors too low. The
    others are verified on full sets: the most promising partner of each node
    first, then those that still join two components.
 5. What a star can miss: two nodes of a key that are linked with each other but
-   not with its first node. Keys whose nodes lie in more than one component are
+   not with that one. Keys whose nodes lie in more than one component are
    finished exactly: their nodes' shingles are ordered from rare to common, and
    two sets as similar as asked must share one of their first
    n - ceil(0.8 n) + 1. Pairs in different components that do are verified.
@@ -169,11 +169,18 @@ class _Classes:
         self.sets: list[DataFrame] = []
 
     def members(self) -> DataFrame:
-        """(key, node, n, hub, hub_n, size) of band keys that two nodes or more share."""
+        """(key, node, n, hub, size) of band keys that two nodes or more share.
+
+        A key's hub is its node with the most company over all its keys: in a group
+        of edited copies that is the least edited one, which most others are close to."""
         keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", 1 + 2 * ROWS * i, 2 * ROWS)) for i in range(BANDS)])
         bands = self.nodes.select("node", "n", F.explode(keys).alias("key"))
-        hubs = (bands.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1"))
-        return stage(bands.join(stage(hubs, "near-hubs"), "key"), "near-members")
+        shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        held = stage(bands.join(stage(shared, "near-keys"), "key"), "near-shared")
+        company = stage(held.groupBy("node").agg(F.sum("size").alias("company")), "near-company")
+        hubs = (held.join(company, "node").groupBy("key")
+                .agg(F.max_by("node", F.struct("company", "node")).alias("hub")))
+        return stage(held.join(stage(hubs, "near-hubs"), "key"), "near-members")
 
     def candidates(self, members: DataFrame) -> DataFrame:
         """(a, b, shared) whose registers allow a link."""
@@ -242,7 +249,7 @@ class _Classes:
         x, y = posts.alias("x"), posts.select(*[F.col(c).alias(f"{c}2") for c in posts.columns])
         fit = ((F.col("shingle") == F.col("shingle2")) & (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2"))
                & (100 * F.least("n", "n2") >= self.percent * F.greatest("n", "n2"))
-               & ((100 + self.percent) * (1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")))
+               & ((100 + self.percent) * F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
                   >= self.percent * (F.col("n") + F.col("n2"))))
         return x.join(y, fit).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
@@ -266,7 +273,7 @@ class _Classes:
         least = told.groupBy("component").agg(F.min("rep").alias("component_id"))
         classes = stage(told.join(stage(least, "near-least"), "component").select("set_key", "component_id"), "near-classes")
         out = self.sigs.select("doc_id", "n", "set_key").join(classes, "set_key", "left")
-        root = F.coalesce("component_id", "doc_id")
+        root = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
         return out.select("doc_id", F.col("n").alias("n_shingles"), root.alias("component_id"),
                           F.col("doc_id").eqNullSafe(root).alias("kept"))
 
