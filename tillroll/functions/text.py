@@ -75,11 +75,3 @@ def is_noise(c="description", words: Iterable[str] = S.NOISE_WORDS) -> Column:
     """MSK-12: lower(strip(text)) is a noise word or contains '?'; NULL -> false."""
     low = F.lower(strip_ws(c))
     return F.coalesce(low.isin(list(words)) | low.contains("?"), F.lit(False))
-
-
-def rule_text_sides(rule_text) -> tuple[Column, Column]:
-    """STR-8: '{a,b} => {c}' -> ('a,b', 'c')."""
-    t = _col(rule_text)
-    lhs = F.trim(F.regexp_replace(F.regexp_replace(t, r"\{|\}", ""), r" =>.*", ""))
-    rhs = F.trim(F.regexp_replace(t, r".*=> \{|\}", ""))
-    return lhs, rhs

@@ -32,10 +32,10 @@ def daily_demand(sales: DataFrame, home: str = S.HOME_COUNTRY, revenue: str = "p
     """AGG-19: per market and day: quantity, revenue, distinct orders, ratios, calendar.
 
     ``revenue='price'`` sums unit prices as the analysed workflow does;
-    ``revenue='line'`` sums price x quantity.
+    ``revenue='line'`` sums price x quantity. Lines without a country belong to no market.
     """
     rev = F.col("price") if revenue == "price" else F.col("price") * F.col("quantity")
-    lines = (sales.select(*DEMAND_COLUMNS)
+    lines = (sales.select(*DEMAND_COLUMNS).where(F.col("country").isNotNull())
                   .withColumn("market", market("country", home))
                   .withColumn("date", F.to_date("invoice_date"))
                   .withColumn("_rev", rev))

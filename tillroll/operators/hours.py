@@ -31,7 +31,9 @@ def shopping_lines(sales: DataFrame, home: str = S.HOME_COUNTRY) -> DataFrame:
 def peak_split(lines: DataFrame, share: float = S.TRAIN_SHARE, unit: str = "row") -> DataFrame:
     """SPL-1 / SPL-3: 'uk_train' / 'uk_test' by hash of the row (``unit='row'``,
     as the analysed workflow: one invoice may sit on both sides) or of the invoice
-    (``unit='invoice'``, no leak); every foreign row is 'nouk_test'."""
+    (``unit='invoice'``, no leak); every foreign row is 'nouk_test'. Rows without
+    a country belong to neither market and are left out."""
+    lines = lines.where(F.col("market").isNotNull())
     key = SPLIT_KEY if unit == "row" else ("invoice_no",)
     s = hash_split(lines, key, share, "_train")
     return s.withColumn("part", F.when(F.col("market") != "UK", "nouk_test")

@@ -147,9 +147,7 @@ def recommend_legend(recs: DataFrame) -> DataFrame:
         "term", "product", "recommended",
         F.bround(F.col("confidence") * 100, 0).cast("int").alias("conf_pct"),
         F.bround("lift", 1).alias("lift_1"),
-        F.bround(F.col("support") * 100, 1).alias("support_pct_1"),
-        F.format_string("%d%% of customers who bought the searched product also bought the #1 product",
-                        F.bround(F.col("confidence") * 100, 0).cast("int")).alias("legend"))
+        F.bround(F.col("support") * 100, 1).alias("support_pct_1"))
 
 
 def browse_products(products: DataFrame, keywords: DataFrame) -> DataFrame:

@@ -214,9 +214,7 @@ def q_recommend(spark, sf):
 
 @register("recommend_legend", O.sql("""
 SELECT term, product, recommended, CAST(round_even(confidence * 100, 0) AS INTEGER) AS conf_pct,
-       round_even(lift, 1) AS lift_1, round_even(support * 100, 1) AS support_pct_1,
-       printf('%d%% of customers who bought the searched product also bought the #1 product',
-              CAST(round_even(confidence * 100, 0) AS INTEGER)) AS legend
+       round_even(lift, 1) AS lift_1, round_even(support * 100, 1) AS support_pct_1
 FROM recs WHERE rank = 1""", "recs"), ids=("REC-5",))
 def q_recommend_legend(spark, sf):
     return R.recommend_legend(_recs(spark, sf))

@@ -19,7 +19,8 @@ O.CTES["daily"] = (f"""
          count(DISTINCT invoice_no) AS n_order,
          CAST(sum(price) AS DOUBLE) / count(DISTINCT invoice_no) AS revenue_per_order,
          CAST(sum(quantity) AS DOUBLE) / count(DISTINCT invoice_no) AS avg_order_size
-  FROM (SELECT invoice_no, price, quantity, {_MARKET} AS market, CAST(invoice_date AS DATE) AS date FROM sales) l
+  FROM (SELECT invoice_no, price, quantity, {_MARKET} AS market, CAST(invoice_date AS DATE) AS date FROM sales
+        WHERE country = {O.q(S.HOME_COUNTRY)} OR country <> {O.q(S.HOME_COUNTRY)}) l
   GROUP BY market, date""", ("sales",))
 O.CTES["labelled"] = (f"""
   SELECT * EXCLUDE (thr), CASE WHEN total_quantity >= thr THEN 'High' ELSE 'Normal' END AS demand_spike,

@@ -19,7 +19,7 @@ O.CTES["hsplit"] = (f"""
                price * quantity AS revenue, CAST(month(invoice_date) AS INTEGER) AS month_num,
                CAST(isodow(invoice_date) AS INTEGER) AS day_of_week, CAST(hour(invoice_date) AS INTEGER) AS hour,
                CAST(quarter(invoice_date) AS INTEGER) AS quarter_num, {_MARKET} AS market
-        FROM sales) l""", ("sales",))
+        FROM sales WHERE country = {O.q(S.HOME_COUNTRY)} OR country <> {O.q(S.HOME_COUNTRY)}) l""", ("sales",))
 O.CTES["hour_rev"] = ("""
   SELECT hour, CAST(sum(revenue) AS DOUBLE) / count(revenue) AS avg_revenue
   FROM hsplit WHERE part = 'uk_train' GROUP BY hour""", ("hsplit",))

@@ -4,13 +4,15 @@ The analysed workflow has no streaming part: every scan is a bounded read.
 What carries over unchanged is the stateless part of the cleaning (trim,
 masks) plus the per-code description map, which a stream joins as a static
 table (built by the batch ``code_description_map`` over the history). No state
-store, watermark or window is needed: each micro-batch is labelled and
-appended to the split tables on its own, so reprocessing a batch after a
-failure rewrites the same rows (the checkpoint records finished batches).
+store, watermark or window is needed: each micro-batch is labelled on its own
+and written under its batch number (``batch_id=N`` folders), replacing what is
+there, so a batch that runs again after a failure leaves the same rows.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,17 +54,20 @@ def label_lines(raw: DataFrame, code_map: DataFrame) -> DataFrame:
 def label_stream(spark: SparkSession, source_path: str, code_map: DataFrame, sink_path: str,
                  checkpoint: str | None = None, available_now: bool = True, max_files: int = 1000):
     """Read raw extracts as they land in ``source_path`` (Parquet, fixed schema),
-    label them and append every micro-batch to ``sink_path``/splits
-    (partitioned by split) and ``sink_path``/cleaned_retail_all."""
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/label_stream"
+    label them and write every micro-batch to ``sink_path``/splits
+    (partitioned by batch and split) and ``sink_path``/cleaned_retail_all. The
+    default checkpoint belongs to this source and sink alone."""
+    name = hashlib.sha256(f"{source_path}|{sink_path}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/label_stream-{name}"
     stream = (spark.readStream.schema(S.RAW_SCHEMA).option("maxFilesPerTrigger", max_files)
                    .parquet(source_path))
     labelled = label_lines(stream, code_map)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        batch.write.mode("append").parquet(f"{sink_path.rstrip('/')}/cleaned_retail_all")
-        split_long(batch).write.mode("append").partitionBy("split").parquet(f"{sink_path.rstrip('/')}/splits")
+        target = f"{sink_path.rstrip('/')}/{{}}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(target.format("cleaned_retail_all"))
+        split_long(batch).write.mode("overwrite").partitionBy("split").parquet(target.format("splits"))
         batch.unpersist()
 
     writer = labelled.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
