@@ -38,6 +38,9 @@ CRLF = "\r\n"
 CONV32, RFC32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+#: Revisits that may be broadcast (about 60 bytes each).
+BROADCAST_ROWS = 200_000
+
 SCHEMA = ("record_type string, record_id string, target_uri string, page_id string, refers_to string, "
           "payload_digest string, payload_bytes long, headers map<string,string>, payload binary")
 #: Columns that predicates are pushed to, and the header each stands for.
@@ -74,7 +77,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     """Write one record per row under ``path``."""
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         text_of(payload_col).alias("body")).withColumn("sha", F.unhex(F.sha2("body", 256)))
-    revisits = classify(pages, id_col, payload_col, min_bytes)
+    revisits = stage(classify(pages, id_col, payload_col, min_bytes), "warc-revisits")
+    if revisits.count() <= BROADCAST_ROWS:  # else both sides are shuffled by page
+        revisits = F.broadcast(revisits)
     told = rows.join(revisits, F.col("id").eqNullSafe(F.col("page")) & (F.col("sha") == F.col("key")), "left")
     revisit = F.col("key").isNotNull()
     urn = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
