@@ -125,7 +125,8 @@ def match_products(terms: DataFrame, products: DataFrame, cutoff: float = S.FUZZ
 def recommend(matches: DataFrame, rules: DataFrame, n: int = S.RECOMMEND_TOP_N) -> DataFrame:
     """REC-3 / JOI-11 / WIN-7: top n rules by lift for each matched product:
     rules where it is the LHS (recommend the RHS), else where it is the RHS
-    (show the LHS that predicts it)."""
+    (show the LHS that predicts it). A term without a product stays as one row
+    whose rule fields and rank are NULL."""
     m = matches.where(F.col("product").isNotNull()).withColumn("_key", F.upper("product"))
     r = rules.select("LHS", "RHS", "support", "confidence", "lift")
     by_lhs = (m.join(r.withColumn("_key", F.upper("LHS")), "_key")
@@ -137,12 +138,16 @@ def recommend(matches: DataFrame, rules: DataFrame, n: int = S.RECOMMEND_TOP_N)
                             F.col("LHS").alias("recommended"), "LHS", "RHS", "support", "confidence", "lift"))
     both = by_lhs.unionByName(by_rhs)
     w = Window.partitionBy("term").orderBy(F.col("lift").desc(), "LHS", "RHS")
-    return both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    ranked = both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    unmatched = matches.where(F.col("product").isNull()).select(
+        "term", "product", "match_type",
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in ranked.schema.fields[3:]])
+    return ranked.unionByName(unmatched)
 
 
 def recommend_legend(recs: DataFrame) -> DataFrame:
-    """REC-5: the rank-1 explanation fields per term."""
-    top = recs.where(F.col("rank") == 1)
+    """REC-5: the rank-1 explanation fields per term (NULL for a term without a match)."""
+    top = recs.where((F.col("rank") == 1) | F.col("rank").isNull())
     return top.select(
         "term", "product", "recommended",
         F.bround(F.col("confidence") * 100, 0).cast("int").alias("conf_pct"),

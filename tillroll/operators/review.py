@@ -19,10 +19,14 @@ def review_order(df: DataFrame, keys=REVIEW_KEYS) -> list:
 def first_per_code(df: DataFrame, keys=REVIEW_KEYS) -> DataFrame:
     """WIN-5: first row per stock_code (NULL code is its own group).
 
-    Written as ``min_by(row, struct(sort keys))`` per code: a partial aggregate, so
-    a stock code holding a third of all rows is combined map-side instead of
-    being sorted in one window partition.
+    The least second key per code is a hash aggregate over two columns; only the
+    rows that hold it go on, whole, to ``min_by(row, struct(sort keys))``. Both
+    combine map-side, so a stock code with a third of all rows is no hot task and
+    the full-width rows of the table are never sorted.
     """
+    first = df.groupBy(F.col("stock_code").alias("_code")).agg(F.min(keys[1]).alias("_first"))
+    df = df.join(first, F.col("stock_code").eqNullSafe(F.col("_code"))
+                 & F.col(keys[1]).eqNullSafe(F.col("_first")), "left_semi")
     rest = [c for c in S.RAW_COLUMNS if c not in keys and c in df.columns]
     sort_fields = []
     for c in (*keys, *rest):

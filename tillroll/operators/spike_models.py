@@ -35,12 +35,20 @@ def spike_sets(features: DataFrame, share: float = S.TRAIN_SHARE) -> DataFrame:
     return uk.unionByName(enc.where(F.col("market") == "Non-UK").withColumn("part", F.lit("nouk_test")))
 
 
+#: Features split as categories, with the levels their codes can take (from 0); all others are numbers.
+CATEGORICAL = {"quarter": 5, "is_weekend": 2}
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    """Mark the categorical features by name: their kind does not depend on the values a table happens to hold."""
+    for c, levels in CATEGORICAL.items():
+        df = df.withMetadata(f"f_{c}", {"ml_attr": {"type": "nominal", "num_vals": levels}})
+    return df
+
+
 def _feature_stages():
-    from pyspark.ml.feature import VectorAssembler, VectorIndexer
-    cols = [f"f_{c}" for c in MODEL_COLUMNS]
-    # quarter (4 levels) and weekend (2 levels) become categorical splits
-    return [VectorAssembler(inputCols=cols, outputCol="_raw", handleInvalid="keep"),
-            VectorIndexer(inputCol="_raw", outputCol="features", maxCategories=4, handleInvalid="keep")]
+    from pyspark.ml.feature import VectorAssembler
+    return [VectorAssembler(inputCols=[f"f_{c}" for c in MODEL_COLUMNS], outputCol="features", handleInvalid="keep")]
 
 
 def fit_tree(train: DataFrame, depth: int = S.SPIKE_TREE_DEPTH, min_split: int = S.SPIKE_TREE_MIN_SPLIT,
@@ -55,7 +63,7 @@ def fit_tree(train: DataFrame, depth: int = S.SPIKE_TREE_DEPTH, min_split: int =
     w = F.when(F.col("label") == 0.0, F.lit(cost_normal_as_high / cost_high_as_normal)).otherwise(F.lit(1.0))
     clf = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=max(1, round(min_split / 3)),
                                  weightCol="weight", seed=seed)
-    return Pipeline(stages=_feature_stages() + [clf]).fit(train.withColumn("weight", w))
+    return Pipeline(stages=_feature_stages() + [clf]).fit(_typed(train).withColumn("weight", w))
 
 
 def fit_forest(train: DataFrame, n_trees: int = S.SPIKE_FOREST_TREES, depth: int = 10, seed: int = 194):
@@ -63,7 +71,7 @@ def fit_forest(train: DataFrame, n_trees: int = S.SPIKE_FOREST_TREES, depth: int
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     clf = RandomForestClassifier(numTrees=n_trees, maxDepth=depth, seed=seed)
-    return Pipeline(stages=_feature_stages() + [clf]).fit(train)
+    return Pipeline(stages=_feature_stages() + [clf]).fit(_typed(train))
 
 
 def fit_boost(train: DataFrame, max_iter: int = S.BOOST_TREES, step: float = S.BOOST_RATE,
@@ -81,6 +89,7 @@ def fit_boost(train: DataFrame, max_iter: int = S.BOOST_TREES, step: float = S.B
     def gbt(n):
         return GBTClassifier(maxIter=n, stepSize=step, maxDepth=depth, subsamplingRate=0.5, seed=seed)
 
+    train = _typed(train)
     prep = Pipeline(stages=_feature_stages()).fit(train)
     data = prep.transform(train).withColumn("_fold", F.pmod(F.xxhash64("date"), F.lit(folds))).persist()
 

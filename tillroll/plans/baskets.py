@@ -76,7 +76,10 @@ O.CTES["recs"] = (f"""
       FROM matched m JOIN rules_fx r ON upper(r.RHS) = upper(m.product)
       WHERE m.term NOT IN (SELECT m2.term FROM matched m2 JOIN rules_fx r2 ON upper(r2.LHS) = upper(m2.product))
     ) u) z
-  WHERE rank <= {S.RECOMMEND_TOP_N}""", ("matched",))
+  WHERE rank <= {S.RECOMMEND_TOP_N}
+  UNION ALL
+  SELECT DISTINCT term, NULL, 'no_match', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM terms
+  WHERE term IS NOT NULL AND term NOT IN (SELECT term FROM matched)""", ("matched", "terms"))
 
 
 def uk_lines(spark, sf):
@@ -215,7 +218,7 @@ def q_recommend(spark, sf):
 @register("recommend_legend", O.sql("""
 SELECT term, product, recommended, CAST(round_even(confidence * 100, 0) AS INTEGER) AS conf_pct,
        round_even(lift, 1) AS lift_1, round_even(support * 100, 1) AS support_pct_1
-FROM recs WHERE rank = 1""", "recs"), ids=("REC-5",))
+FROM recs WHERE rank = 1 OR rank IS NULL""", "recs"), ids=("REC-5",))
 def q_recommend_legend(spark, sf):
     return R.recommend_legend(_recs(spark, sf))
 
