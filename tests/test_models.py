@@ -57,3 +57,16 @@ def test_penalty_bisection_hits_target_df():
     pen = np.diag([0, 0, 0, 1, 1, 1.0])
     lam = L.lambda_for_df(g, pen, 4.0)
     assert abs(L.effective_df(g, pen, lam) - 4.0) < 1e-6
+
+
+def test_feature_kinds_are_named_not_counted(spark):
+    from pyspark.ml import Pipeline
+    from tillroll.operators.demand import MODEL_COLUMNS
+    from tillroll.operators.spike_models import _feature_stages, _typed
+
+    def kinds(distinct):
+        df = spark.createDataFrame([tuple(float(i % distinct) for _ in MODEL_COLUMNS) for i in range(40)],
+                                   [f"f_{c}" for c in MODEL_COLUMNS])
+        out = Pipeline(stages=_feature_stages()).fit(_typed(df)).transform(_typed(df))
+        return {a["name"] for a in out.schema["features"].metadata["ml_attr"]["attrs"].get("nominal", [])}
+    assert kinds(2) == kinds(30) == {"f_quarter", "f_is_weekend"}

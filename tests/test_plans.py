@@ -31,3 +31,10 @@ def test_clean_sales_filter_reaches_the_scan(spark):
     plan = _plan(customer_lines(clean_sales(spark, SF)))
     assert "EqualTo(is_clean_product_sale_candidate,true)" in plan
     assert "is_dcgs" not in plan.split("ReadSchema:")[1].split("\n")[0]   # pruned column
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_code_map_needs_no_window(spark):
+    from tillroll.operators.clean import code_description_map
+    from tillroll.plans.stages import raw_lines
+    assert "Window" not in _plan(code_description_map(raw_lines(spark, SF)))

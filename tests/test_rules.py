@@ -69,3 +69,12 @@ def test_recommend_falls_back_to_rhs(spark):
     assert recs["a"]["direction"] == "lhs" and recs["a"]["recommended"] == "B"
     assert recs["b"]["direction"] == "rhs" and recs["b"]["recommended"] == "A"
     assert recs["a"]["rank"] == 1 and F is not None
+
+
+def test_recommend_keeps_unmatched_terms(spark):
+    rules = spark.createDataFrame([("A", "B", 0.1, 0.5, 2.0)],
+                                  "LHS string, RHS string, support double, confidence double, lift double")
+    matches = spark.createDataFrame([("a", "A", "exact"), ("zz", None, "no_match")],
+                                    "term string, product string, match_type string")
+    got = {r["term"]: (r["match_type"], r["recommended"], r["rank"]) for r in recommend(matches, rules).collect()}
+    assert got == {"a": ("exact", "B", 1), "zz": ("no_match", None, None)}
