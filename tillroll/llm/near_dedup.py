@@ -19,7 +19,8 @@
    two sets as similar as asked must share one of their first
    n - ceil(0.8 n) + 1. Pairs in different components that do are verified.
    Nodes of a large group are mostly in one component by then and pair no more.
-6. Components of the links, by joins.
+6. Components of the links, by joins; later links are folded into the
+   components that the earlier ones made.
 
 Defined results: lower case is A-Z only; words are split at ASCII white space;
 a text with fewer words than a shingle is one shingle; NULL or empty texts have
@@ -165,8 +166,7 @@ class _Classes:
         sets = (self.sigs.filter("n > 0 AND doc_id IS NOT NULL").groupBy("set_key", "n")
                 .agg(F.min("doc_id").alias("rep"), F.first("regs").alias("regs")))
         self.nodes = stage(sets.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-        self.edges: list[DataFrame] = []
-        self.sets: list[DataFrame] = []
+        self.labels: DataFrame | None = None
 
     def members(self) -> DataFrame:
         """(key, node, n, hub, size) of band keys that two nodes or more share.
@@ -200,26 +200,32 @@ class _Classes:
         return stage(got.mapInArrow(_full_sets(self.words), "node long, members binary"), "near-sets")
 
     def verify(self, pairs: DataFrame, sets: DataFrame) -> None:
-        """Add those of ``pairs`` (a, b) that are linked to the edges."""
+        """Fold those of ``pairs`` (a, b) that are linked into the components so far."""
         side = lambda s: sets.select(F.col("node").alias(s), F.col("members").alias(f"m_{s}"))
         both = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "m_a", "m_b")
-        self.edges.append(stage(both.mapInArrow(_linked(self.percent), "a long, b long"), "near-links"))
-
-    def labels(self) -> DataFrame:
-        links = self.edges[0]
-        for more in self.edges[1:]:
-            links = links.unionByName(more)
-        return components(links)
-
-    def across(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        links = stage(both.mapInArrow(_linked(self.percent), "a long, b long"), "near-links")
+        if self.labels is None:
+            self.labels = components(links)
+        elif not links.isEmpty():
+            merged = stage(components(self.contracted(links).select("c_a", "c_b").toDF("a", "b")), "near-merged")
+            kept = (self.labels.join(merged.toDF("component", "up"), "component", "left")
+                    .select("node", F.coalesce("up", "component").alias("component")))
+            alone = merged.join(self.labels.select("node"), "node", "left_anti").select("node", "component")
+            self.labels = stage(kept.unionByName(alone), "near-labels")
+
+    def contracted(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, b) with the components of their ends, c_a and c_b; a node without links is its own."""
+        side = lambda s: self.labels.select(F.col("node").alias(s), F.col("component").alias(f"c_{s}"))
+        return (pairs.select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left")
+                .withColumns({"c_a": F.coalesce("c_a", "a"), "c_b": F.coalesce("c_b", "b")}))
+
+    def across(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` whose ends lie in different components."""
-        side = lambda s: labels.select(F.col("node").alias(s), F.col("component").alias(f"c_{s}"))
-        return (pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-                .filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"))
+        return self.contracted(pairs).filter("c_a <> c_b").select("a", "b")
 
-    def unresolved(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+    def unresolved(self, members: DataFrame) -> DataFrame:
         """(node, component, n) of keys with three nodes or more in several components."""
-        told = (members.filter("size > 2").join(labels, "node", "left")
+        told = (members.filter("size > 2").join(self.labels, "node", "left")
                 .withColumn("component", F.coalesce("component", "node")))
         told = stage(told.select("key", "node", "n", "component"), "near-told")
         keys = (told.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
@@ -260,15 +266,12 @@ class _Classes:
         sets = self.full(nodes)
         best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
         self.verify(best, sets)
-        labels = self.labels()
-        self.verify(self.across(pairs, labels), sets)
-        labels = self.labels()
-        open_nodes = stage(self.unresolved(members, labels), "near-open-nodes")
+        self.verify(self.across(pairs), sets)
+        open_nodes = stage(self.unresolved(members), "near-open-nodes")
         if not open_nodes.isEmpty():
             rest = self.full(open_nodes.select("node"))
             self.verify(self.prefix_pairs(open_nodes, rest), rest)
-            labels = self.labels()
-        named = self.nodes.select("set_key", "node", "rep").join(labels, "node", "left")
+        named = self.nodes.select("set_key", "node", "rep").join(self.labels, "node", "left")
         told = stage(named.withColumn("component", F.coalesce("component", "node")), "near-named")
         least = told.groupBy("component").agg(F.min("rep").alias("component_id"))
         classes = stage(told.join(stage(least, "near-least"), "component").select("set_key", "component_id"), "near-classes")
