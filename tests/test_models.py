@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import linear as L
 from tillroll.operators.evaluate import hash_split, share_threshold, stratified_split
-from tillroll.operators.segments import kmeans_sweep, total_ss
+from tillroll.operators.segments import assign_clusters, kmeans_sweep, total_ss
 
 
 def _points(spark, n=300, seed=3):
@@ -19,9 +19,17 @@ def _points(spark, n=300, seed=3):
 
 def test_kmeans_ss_decomposition(spark):
     pts = _points(spark)
-    table, centers = kmeans_sweep(pts, ks=(2, 3, 4), n_start=5)
+    table, models = kmeans_sweep(pts, ks=(2, 3, 4), n_start=5)
     rows = {r["k"]: r for r in table.collect()}
     tot = total_ss(pts)
+    x = np.array([r["features"].toArray() for r in pts.collect()])
+    assert abs(((x - x.mean(0)) ** 2).sum() - tot) < 1e-6 * tot
+    for k, model in models.items():
+        d2 = ((x[:, None, :] - np.array(model.clusterCenters())[None]) ** 2).sum(2)
+        assert rows[k]["converged"]
+        assert abs(d2.min(1).sum() - rows[k]["within_ss"]) < 1e-5 * tot
+        labels = [r["cluster"] for r in assign_clusters(pts, model).orderBy("customer_id").collect()]
+        assert labels == d2.argmin(1).tolist()
     for r in rows.values():
         assert abs(r["within_ss"] + r["between_ss"] - tot) < 1e-6 * tot
     assert rows[2]["within_ss"] > rows[3]["within_ss"] >= rows[4]["within_ss"] * 0.999

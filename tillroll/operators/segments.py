@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.numeric import line_revenue, r_round, ratio
@@ -120,159 +119,31 @@ def first_components(scores: DataFrame, m: int, col: str = "scores", out: str =
     return scores.withColumn(out, array_to_vector(F.slice(vector_to_array(col), 1, m)))
 
 
-def _points_array(points: DataFrame, features: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-    return points.select("customer_id", vector_to_array(features).alias("x"))
-
-
-def _initial_centers(arr: DataFrame, runs: list[tuple[int, int]], seed: int) -> dict:
-    """For every run (k, start): its k points with the smallest seeded hash of
-    the customer id (a random pick of k rows, as R's kmeans starts). Each
-    partition keeps its local k smallest per run; a per-run rank in Spark keeps
-    the global k, so only runs x k rows reach the driver."""
-    import numpy as np
-    import pandas as pd
-
-    kmax = max(k for k, _ in runs)
-    schema = "run int, h long, x array<double>"
-    run_seeds = [seed * 1000 + i for i in range(len(runs))]
-
-    def local_top(batches):
-        rows = []
-        for pdf in batches:
-            ids = pdf["customer_id"].to_numpy()
-            xs = pdf["x"].to_list()
-            for r, (k, _) in enumerate(runs):
-                h = pd.util.hash_array(ids.astype("int64") * 1_000_003 + run_seeds[r]).astype("int64")
-                for j in np.argsort(h, kind="stable")[:k]:
-                    rows.append((r, int(h[j]), [float(v) for v in xs[j]]))
-        yield pd.DataFrame(rows, columns=["run", "h", "x"])
+def kmeans_best(points: DataFrame, k: int, n_start: int = S.KMEANS_STARTS, seed: int = 197,
+                features: str = "features", max_iter: int = 200, tol: float = 1e-4, parallelism: int = 8):
+    """ML-2: the MLlib K-means with the least within SS of ``n_start`` random starts (the first of equals).
 
-    from pyspark.sql import Window
-    # per-partition candidates -> per-run rank in Spark -> only runs x k rows reach the driver
-    cand = arr.mapInPandas(local_top, schema)
-    k_of_run = F.element_at(F.array(*[F.lit(k) for k, _ in runs]), F.col("run") + 1)
-    picked = (cand.withColumn("_rk", F.row_number().over(Window.partitionBy("run").orderBy("h")))
-                  .where(F.col("_rk") <= k_of_run).collect())
-    centers = {}
-    for r, (k, _) in enumerate(runs):
-        mine = sorted((c for c in picked if c["run"] == r), key=lambda c: c["h"])[:k]
-        centers[r] = np.array([c["x"] for c in mine], dtype=float)
-    return centers
-
-
-def _lloyd_pass(arr: DataFrame, centers: dict, with_assign: bool = False):
-    """One distributed pass: per-partition sums, counts and squared distances
-    per (run, cluster); only runs x K x d numbers come back."""
-    import numpy as np
-    import pandas as pd
-
-    spark = arr.sparkSession
-    bc = spark.sparkContext.broadcast({r: c.tolist() for r, c in centers.items()})
-    dim = len(next(iter(centers.values()))[0])
-
-    def partial(batches):
-        cs = {r: np.asarray(c, dtype=float) for r, c in bc.value.items()}
-        acc = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = np.vstack(pdf["x"].to_numpy()).astype(float)
-            for r, C in cs.items():
-                d2 = ((X[:, None, :] - C[None, :, :]) ** 2).sum(axis=2)
-                lab = d2.argmin(axis=1)
-                best = d2[np.arange(len(X)), lab]
-                for c in range(C.shape[0]):
-                    sel = lab == c
-                    if not sel.any():
-                        continue
-                    key = (r, c)
-                    n0, s0, e0 = acc.get(key, (0, np.zeros(dim), 0.0))
-                    acc[key] = (n0 + int(sel.sum()), s0 + X[sel].sum(axis=0), e0 + float(best[sel].sum()))
-        rows = [(r, c, n, s.tolist(), e) for (r, c), (n, s, e) in acc.items()]
-        yield pd.DataFrame(rows, columns=["run", "cluster", "n", "s", "sse"])
-
-    schema = "run int, cluster int, n long, s array<double>, sse double"
-    parts = arr.mapInPandas(partial, schema)
-    summed = (parts.groupBy("run", "cluster")
-                   .agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"),
-                        *[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(dim)])
-                   .collect())
-    bc.unpersist()
-    return summed
-
-
-def multi_start_kmeans(points: DataFrame, ks=S.KMEANS_KS, n_start: int = S.KMEANS_STARTS, seed: int = 197,
-                       features: str = "features", max_iter: int = 10, tol: float = 1e-9):
-    """ML-2: Lloyd's K-means for every K in ``ks`` from ``n_start`` random starts
-    each, all runs advanced together (one Spark pass per iteration).
-
-    Returns {k: (centers ndarray, within_ss)} for the best start of each K.
-    ``max_iter=10`` is R's ``kmeans`` default; R uses Hartigan-Wong updates, so
-    local optima can differ (no bitwise parity is possible anyway).
-    """
-    import numpy as np
-
-    runs = [(k, s) for k in ks for s in range(n_start)]
-    arr = _points_array(points, features).persist()
-    centers = _initial_centers(arr, runs, seed)
-    for _ in range(max_iter):
-        summed = _lloyd_pass(arr, centers)
-        moved = 0.0
-        new = {r: c.copy() for r, c in centers.items()}
-        for row in summed:
-            r, c, n = row["run"], row["cluster"], row["n"]
-            if n:
-                v = np.array([row[f"s{i}"] for i in range(new[r].shape[1])]) / n
-                moved = max(moved, float(((v - new[r][c]) ** 2).sum()))
-                new[r][c] = v
-        centers = new
-        if moved <= tol:
-            break
-    final = _lloyd_pass(arr, centers)
-    sse = {}
-    for row in final:
-        sse[row["run"]] = sse.get(row["run"], 0.0) + row["sse"]
-    best = {}
-    for r, (k, _) in enumerate(runs):
-        if k not in best or sse.get(r, 0.0) < best[k][1]:
-            best[k] = (centers[r], sse.get(r, 0.0))
-    arr.unpersist()
-    return best
-
-
-def assign_clusters(points: DataFrame, centers, features: str = "features", out: str = "cluster") -> DataFrame:
-    """Nearest-center label per point (Arrow batches, centers broadcast: K x d)."""
-    import numpy as np
-    import pandas as pd
+    Every start runs until no centre moves by ``tol``; one that ``max_iter`` ends before is
+    told apart by ``model.summary.numIter == max_iter``. The workflow's own K-means
+    updates centres in another way, so local optima can differ. ``parallelism`` starts
+    submit their jobs at a time."""
+    from multiprocessing.pool import ThreadPool
 
-    from pyspark.ml.functions import vector_to_array
+    from pyspark import inheritable_thread_target
+    from pyspark.ml.clustering import KMeans
 
-    spark = points.sparkSession
-    bc = spark.sparkContext.broadcast(np.asarray(centers, dtype=float).tolist())
-    cols = [c for c in points.columns if c != features]
-    base = points.withColumn("_x", vector_to_array(features))
-    schema = T.StructType([f for f in base.schema.fields] + [T.StructField(out, T.IntegerType())])
+    def fit(start: int):
+        return KMeans(k=k, initMode="random", seed=seed * 1000 + start, maxIter=max_iter, tol=tol,
+                      featuresCol=features, predictionCol="cluster").fit(points)
 
-    def label(batches):
-        C = np.asarray(bc.value, dtype=float)
-        for pdf in batches:
-            if pdf.empty:
-                pdf[out] = pd.Series(dtype="int32")
-                yield pdf
-                continue
-            X = np.vstack(pdf["_x"].to_numpy()).astype(float)
-            pdf[out] = ((X[:, None, :] - C[None, :, :]) ** 2).sum(axis=2).argmin(axis=1).astype("int32")
-            yield pdf
+    with ThreadPool(min(parallelism, n_start)) as pool:
+        models = pool.map(inheritable_thread_target(points.sparkSession)(fit), range(n_start))
+    return min(models, key=lambda model: model.summary.trainingCost)
 
-    del cols
-    return base.mapInPandas(label, schema).drop("_x")
 
-
-def kmeans_best(points: DataFrame, k: int, n_start: int = S.KMEANS_STARTS, seed: int = 197,
-                features: str = "features", max_iter: int = 10):
-    """ML-2: best of ``n_start`` starts for one K -> (centers, within_ss)."""
-    return multi_start_kmeans(points, (k,), n_start, seed, features, max_iter)[k]
+def assign_clusters(points: DataFrame, model) -> DataFrame:
+    """Every point with the number of its nearest centre, ``cluster``."""
+    return model.transform(points)
 
 
 def total_ss(points: DataFrame, features: str = "features") -> float:
@@ -288,14 +159,19 @@ def total_ss(points: DataFrame, features: str = "features") -> float:
 
 
 def kmeans_sweep(points: DataFrame, ks=S.KMEANS_KS, n_start: int = S.KMEANS_STARTS, seed: int = 197,
-                 features: str = "features"):
-    """ML-2: within / between / total SS for each K; returns (table DF, {k: centers})."""
+                 features: str = "features", max_iter: int = 200, fit=kmeans_best):
+    """ML-2: within / between / total SS for each K; returns (table DF, {k: model}).
+
+    ``converged`` is false where the best start was ended by ``max_iter``."""
     tot = total_ss(points, features)
-    best = multi_start_kmeans(points, ks, n_start, seed, features)
-    rows = [(k, float(w), tot - float(w), tot, (tot - float(w)) / tot) for k, (_, w) in sorted(best.items())]
+    models = {k: fit(points, k, n_start, seed, features, max_iter) for k in sorted(ks)}
+    rows = []
+    for k, model in models.items():
+        within = float(model.summary.trainingCost)
+        rows.append((k, within, tot - within, tot, (tot - within) / tot if tot else None, model.summary.numIter < max_iter))
     table = points.sparkSession.createDataFrame(
-        rows, "k int, within_ss double, between_ss double, total_ss double, between_over_total double")
-    return table, {k: c for k, (c, _) in best.items()}
+        rows, "k int, within_ss double, between_ss double, total_ss double, between_over_total double, converged boolean")
+    return table, models
 
 
 def relabel_by_spend(assigned: DataFrame, rfm_df: DataFrame, cluster: str = "cluster") -> DataFrame:

@@ -65,16 +65,23 @@ def q_customer_step_counts(spark, sf):
             .unionByName(G.step_counts(customer_rfm(spark, sf), "customer_id", "customers_after_cleaning")))
 
 
-def customer_segments(spark, sf, n_start: int = S.KMEANS_STARTS):
-    """ML-1 -> ML-2: PCA scores on log-RFM, K-means sweep, chosen K relabelled by spend."""
+def customer_points(spark, sf):
+    """ML-1: first PCA scores of log-RFM, the clustering input."""
     def build():
-        logged = G.log_features(customer_rfm(spark, sf))
-        scores, variance, m = G.customer_pca(logged)
-        points = G.first_components(scores, m).select("customer_id", "features").persist()
-        centers, _ = G.kmeans_best(points, S.KMEANS_CHOSEN_K, n_start=n_start)
-        assigned = G.assign_clusters(points, centers).select("customer_id", "features", "cluster")
-        return G.relabel_by_spend(assigned, customer_rfm(spark, sf))
-    return fixtures.memo(spark, ("segments", sf.rstrip("/"), n_start), build)
+        scores, _, m = G.customer_pca(G.log_features(customer_rfm(spark, sf)))
+        return G.first_components(scores, m).select("customer_id", "features")
+    return fixtures.memo(spark, ("points", sf.rstrip("/")), build)
+
+
+def segment_model(spark, sf, k: int = S.KMEANS_CHOSEN_K):
+    """ML-2: the best K-means of one K, fitted once for the queries that use it."""
+    return fixtures.memo(spark, ("kmeans", sf.rstrip("/"), k), lambda: G.kmeans_best(customer_points(spark, sf), k))
+
+
+def customer_segments(spark, sf):
+    """ML-1 -> ML-2: PCA scores on log-RFM, the chosen K's clusters relabelled by spend."""
+    assigned = G.assign_clusters(customer_points(spark, sf), segment_model(spark, sf))
+    return G.relabel_by_spend(assigned, customer_rfm(spark, sf))
 
 
 @register("customer_pca_variance", None, ids=("ML-1", "WIN-8"))
@@ -85,9 +92,7 @@ def q_customer_pca_variance(spark, sf):
 
 @register("kmeans_sweep", None, ids=("ML-2",))
 def q_kmeans_sweep(spark, sf):
-    logged = G.log_features(customer_rfm(spark, sf))
-    scores, _, m = G.customer_pca(logged)
-    table, _ = G.kmeans_sweep(G.first_components(scores, m).persist())
+    table, _ = G.kmeans_sweep(customer_points(spark, sf), fit=lambda points, k, *_: segment_model(spark, sf, k))
     return table
 
 

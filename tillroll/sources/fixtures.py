@@ -127,12 +127,14 @@ def stage(spark: SparkSession, key: tuple, build) -> DataFrame:
     return per_session[key]
 
 
-def memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+def memo(spark: SparkSession, key: tuple, build):
     """Persist a small derived table (daily rows, baskets, rules ...) once per
-    session; cached blocks are rebuilt from lineage if an executor is lost."""
+    session; cached blocks are rebuilt from lineage if an executor is lost.
+    A fitted model is kept as it is."""
     per_session = _CACHE.setdefault(spark, {})
     if key not in per_session:
-        per_session[key] = build().persist()
+        made = build()
+        per_session[key] = made.persist() if isinstance(made, DataFrame) else made
     return per_session[key]
 
 
