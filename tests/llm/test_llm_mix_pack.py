@@ -8,6 +8,7 @@ import pytest
 from helpers import edge_docs, edge_texts, empty_docs
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tillroll.llm import mixing, packing, sharding
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +57,17 @@ def test_mix_follows_its_weights(spark):
     assert order == [r.id for r in sorted((r for r in rows if r.scheduled), key=lambda r: r.place)]
 
 
+def test_pipeline_mix_keeps_every_document(spark):
+    sources = ["hot"] * 400 + [f"s{i % 19}" for i in range(380)] + [f"s{i % 19}" for i in range(200)] + ["rare"] * 2 + [None] * 5
+    docs = spark.createDataFrame(list(enumerate(sources)), "doc_id long, source string").repartition(3)
+    got = [r.doc_id for r in corpus_pipeline.mix_stage(spark, docs, "").collect()]
+    assert sorted(got) == list(range(len(sources)))
+    plan = sorted(mixing.mix(docs, power=corpus_pipeline.MIX_POWER).collect(), key=lambda r: r.place)
+    ended = [r.scheduled for r in plan].index(False)  # the hot source goes on after the first one that ran out
+    assert got == [r.id for r in plan] and not any(r.scheduled for r in plan[ended:])
+    assert sum(sources[i] == "hot" for i in got[ended:]) > 100
+
+
 def test_mix_edge_cases(spark):
     rows = mixing.mix(edge_docs(spark)).collect()
     assert len(rows) == len(edge_texts())

@@ -11,7 +11,10 @@ cycle. Nothing else is sequential.
 
 The mix lasts until a source with at least ``least_share`` of the target has no
 block left; ``scheduled`` rows lie before that. Smaller sources may end
-earlier. Rows beyond keep their (later) slots but are not part of the mix.
+earlier. Rows beyond keep their (later) slots: in the order of slots, where those
+of exhausted sources are passed over, the remaining sources go on in proportion
+to their weights. ``mixed_rows`` gives the mix alone or, with ``whole``, these
+rows after it.
 
 Defined results: a NULL source is a source of its own. A source with weight 0
 or none has NULL slots and is not scheduled; one without rows is left out and
@@ -116,9 +119,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
 
 
 def mixed_rows(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.7, block_rows: int = 4,
-               id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """The scheduled rows of ``docs`` in the order of the mix, with their own columns. Rows that repeat an id count once."""
-    plan = (mix(docs, weights, power, block_rows, id_col=id_col, source_col=source_col).filter("scheduled")
-            .groupBy("id").agg(F.min("place").alias("place")).select(F.col("id").alias("_mix_id"), F.col("place").alias("_mix_place")))
+               id_col: str = "doc_id", source_col: str = "source", whole: bool = False) -> DataFrame:
+    """The scheduled rows of ``docs`` in the order of the mix, with their own columns; with ``whole`` all rows that
+    have a slot, so all but those of sources with weight 0. Rows that repeat an id count once."""
+    plan = (mix(docs, weights, power, block_rows, id_col=id_col, source_col=source_col)
+            .filter("slot IS NOT NULL" if whole else "scheduled").groupBy("id").agg(F.min("place").alias("place")).select(F.col("id").alias("_mix_id"), F.col("place").alias("_mix_place")))
     return (docs.join(plan, F.col(id_col).cast("long").eqNullSafe(F.col("_mix_id")))
             .orderBy("_mix_place").drop("_mix_id", "_mix_place"))
