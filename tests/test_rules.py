@@ -3,7 +3,7 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from tillroll.operators.recommend import exact_or_substring, fuzzy_match, recommend
+from tillroll.operators.recommend import exact_or_substring, fuzzy_match, recommend, rule_products
 from tillroll.operators.rules import association_rules, baskets, rule_holdout_confidence
 
 
@@ -78,3 +78,21 @@ def test_recommend_keeps_unmatched_terms(spark):
                                     "term string, product string, match_type string")
     got = {r["term"]: (r["match_type"], r["recommended"], r["rank"]) for r in recommend(matches, rules).collect()}
     assert got == {"a": ("exact", "B", 1), "zz": ("no_match", None, None)}
+
+
+def test_fuzzy_recommendations_try_every_term(spark):
+    import difflib
+
+    from tillroll.plans import catalog
+    from tillroll.plans.baskets import rules, search_terms
+    catalog.load_all()
+    sf = "/root/testdata/sf0.001"
+    names = [r[0].upper() for r in rule_products(rules(spark, sf)).collect()]
+    terms = {r[0] for r in search_terms(spark, sf).collect() if r[0] is not None}
+    rows = catalog.QUERIES["recommend_fuzzy"](spark, sf).collect()
+    legend = catalog.QUERIES["recommend_legend_fuzzy"](spark, sf).collect()
+    assert {r.term for r in rows} == {r.term for r in legend} == terms
+    missed = {r.term for r in rows if r.match_type == "no_match"}
+    assert missed == {t for t in terms if not any(t.upper() in n for n in names)
+                      and not difflib.get_close_matches(t.upper(), names, n=1, cutoff=.5)}
+    assert any(r.match_type == "fuzzy" and r.rank == 1 for r in rows)

@@ -205,8 +205,9 @@ def q_match_products(spark, sf):
     return R.match_products(search_terms(spark, sf), R.rule_products(rules(spark, sf)))
 
 
-def _recs(spark, sf):
-    matches = R.match_products(search_terms(spark, sf), R.rule_products(rules(spark, sf)), fuzzy=False)
+def _recs(spark, sf, fuzzy=False):
+    """Without ``fuzzy``, what SQL can follow: 'no_match' then says that no exact or substring match exists."""
+    matches = R.match_products(search_terms(spark, sf), R.rule_products(rules(spark, sf)), fuzzy=fuzzy)
     return R.recommend(matches, rules(spark, sf))
 
 
@@ -223,6 +224,17 @@ def q_recommend_legend(spark, sf):
     return R.recommend_legend(_recs(spark, sf))
 
 
+@register("recommend_fuzzy", None, ids=("REC-2", "REC-3", "UDF-5"))
+def q_recommend_fuzzy(spark, sf):
+    """Recommendations after all three matching steps."""
+    return _recs(spark, sf, fuzzy=True)
+
+
+@register("recommend_legend_fuzzy", None, ids=("REC-5",))
+def q_recommend_legend_fuzzy(spark, sf):
+    return R.recommend_legend(_recs(spark, sf, fuzzy=True))
+
+
 @register("browse_products", O.sql("""
 SELECT k.keyword, p.product FROM (SELECT DISTINCT split_part(p_name, ' ', 1) AS keyword FROM part) k
 JOIN products p ON contains(upper(p.product), upper(trim(k.keyword)))
