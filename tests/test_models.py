@@ -78,3 +78,20 @@ def test_feature_kinds_are_named_not_counted(spark):
         out = Pipeline(stages=_feature_stages()).fit(_typed(df)).transform(_typed(df))
         return {a["name"] for a in out.schema["features"].metadata["ml_attr"]["attrs"].get("nominal", [])}
     assert kinds(2) == kinds(30) == {"f_quarter", "f_is_weekend"}
+
+
+def test_spike_queries_fit_the_workflows_rounds_and_full_depth(spark, monkeypatch):
+    import inspect
+
+    from tillroll import schema as S
+    from tillroll.operators import season, spike_models
+    from tillroll.plans import demand
+    from tillroll.sources import fixtures
+    seen = {}
+    monkeypatch.setattr(fixtures, "remember", lambda spark, key, make: make())
+    monkeypatch.setattr(demand, "features", lambda spark, sf: None)
+    monkeypatch.setattr(spike_models, "spike_sets", lambda features: None)
+    monkeypatch.setattr(spike_models, "run_spike_models", lambda sets, **how: seen.update(how))
+    demand.spike_results(spark, "x")
+    assert seen["boost_rounds"] == S.BOOST_TREES == 1000
+    assert all(inspect.signature(f).parameters["depth"].default == 30 for f in (spike_models.fit_forest, season.bulk_forest))

@@ -41,7 +41,7 @@ def _mse(df: DataFrame, y: str = "total_qty", p: str = "prediction") -> float:
 
 
 def bulk_forest(split: DataFrame, n_trees: int = S.BULK_FOREST_TREES, mtry: int = S.BULK_FOREST_MTRY,
-                seed: int = 1, depth: int = 12, permutation: bool = True):
+                seed: int = 1, depth: int = S.FOREST_DEPTH, permutation: bool = True):
     """ML-10 / ML-7 / ML-8 / EVL-3: forest regression of monthly quantity on month,
     mean price and invoice count (``mtry`` features per split), trained on
     uk_train; MSE on uk_test and nouk_test; impurity importance and the MSE

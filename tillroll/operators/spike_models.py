@@ -66,8 +66,8 @@ def fit_tree(train: DataFrame, depth: int = S.SPIKE_TREE_DEPTH, min_split: int =
     return Pipeline(stages=_feature_stages() + [clf]).fit(_typed(train).withColumn("weight", w))
 
 
-def fit_forest(train: DataFrame, n_trees: int = S.SPIKE_FOREST_TREES, depth: int = 10, seed: int = 194):
-    """ML-6: random forest (MLlib needs a depth bound; R grows trees to purity)."""
+def fit_forest(train: DataFrame, n_trees: int = S.SPIKE_FOREST_TREES, depth: int = S.FOREST_DEPTH, seed: int = 194):
+    """ML-6: random forest (R grows trees to purity, MLlib at most to a depth of 30)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     clf = RandomForestClassifier(numTrees=n_trees, maxDepth=depth, seed=seed)
@@ -127,7 +127,8 @@ def run_spike_models(sets: DataFrame, forest_trees: int = S.SPIKE_FOREST_TREES,
     (ML-7) and spike_weeks (AGG-27, boosting at the first cut on uk_test).
     """
     spark = sets.sparkSession
-    train = sets.where(F.col("part") == "train").persist()
+    # a row per home day: one partition, as each round is a job of its own
+    train = sets.where(F.col("part") == "train").coalesce(1).persist()
     tests = sets.where(F.col("part") != "train")
     models = {"Decision Tree": (fit_tree(train), [None]),
               "Random Forest": (fit_forest(train, forest_trees), [None])}

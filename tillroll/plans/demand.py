@@ -90,18 +90,11 @@ def q_market_means(spark, sf):
 
 
 # ---------------------------------------------------------------------------- models
-# Boosting rounds for the registered query: MLlib fits one tree per round as
-# separate jobs (~0.4 s each locally), so the workflow's 1000 rounds x (5 CV
-# folds + refit) would take about 35 minutes per run here. The operator keeps
-# 1000 as its default; the registered query uses 100 (see README).
-QUERY_BOOST_ROUNDS = 100
-
-
 def spike_results(spark, sf):
     from ..operators.spike_models import run_spike_models, spike_sets
     return fixtures.remember(spark, ("spike_models", sf.rstrip("/")),
                              lambda: run_spike_models(spike_sets(features(spark, sf)),
-                                                      boost_rounds=QUERY_BOOST_ROUNDS))
+                                                      boost_rounds=S.BOOST_TREES))
 
 
 @register("spike_split", O.sql("""

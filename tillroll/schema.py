@@ -46,6 +46,7 @@ SPIKE_TREE_MIN_SPLIT = 10
 SPIKE_COST_NORMAL_AS_HIGH = 3.0
 SPIKE_COST_HIGH_AS_NORMAL = 1.0
 SPIKE_FOREST_TREES = 500
+FOREST_DEPTH = 30  # the most that MLlib allows
 BOOST_TREES = 1000
 BOOST_RATE = 0.01
 BOOST_DEPTH = 2
