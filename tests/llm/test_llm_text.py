@@ -86,6 +86,24 @@ def test_secret_base_spans_match_brute_force(spark):
     assert sum(rows[first + len(tokens) + k].n_random for k in range(len(plain))) == 0
 
 
+def test_secrets_glued_to_words_and_decimals_are_found(spark):
+    rnd = random.Random(12)
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    token = lambda chars, n: "".join(rnd.choice(chars) for _ in range(n))
+    shapes = [("é com/services/my-team/", token(b62, 40), " x") for _ in range(60)] + [("key-", token(b62, 41), "/v1") for _ in range(60)]
+    shapes += [("no ", token("0123456789", 26), ".") for _ in range(60)]
+    shapes += [("a_b/", token(b62, 45), "/c-" + token(b62, 45)) for _ in range(60)]
+    shapes += [("mix ", token(b62, 9) + "+" + token(b62, 9) + "-" + token(b62, 9), "") for _ in range(60)]
+    docs = spark.createDataFrame([(i, "".join(x)) for i, x in enumerate(shapes)], "doc_id long, text string").repartition(3)
+    rows = {r.id: r for r in secrets.secrets(docs).collect()}
+    found = [0] * 5
+    for i, (before, word, _) in enumerate(shapes):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in rows[i].spans.split(",") if s.startswith("random")]
+        assert len(spans) == rows[i].n_random and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        found[i // 60] += any(a <= len(before) and len(before) + len(word) <= b for a, b in spans)
+    assert all(n >= 50 for n in found), found
+
+
 def test_secrets_edge_tables(spark):
     assert secrets.secrets(edge_docs(spark)).count() == len(edge_texts())
     assert secrets.secrets(empty_docs(spark)).count() == 0

@@ -1,6 +1,9 @@
 """Secret scan: fixed patterns, and a randomness test battery with false-discovery control.
 
-The battery looks at every run of 20 or more token characters. Its encoding is
+The battery looks at every run of 20 or more token characters, and at the parts
+of 20 or more of a run when it is cut at ``-`` and ``_``, at ``+`` and ``/``, or at
+all four, so a token glued to words by separators is tested alone too. Of
+accepted strings that overlap, the leftmost and then the longest counts. The encoding is
 inferred from the characters, which gives an alphabet of R symbols. Three tests
 ask whether the symbols look drawn at random: chi-squared against a uniform
 alphabet, the number of runs above and below the alphabet's middle, and the
@@ -36,8 +39,10 @@ ENCODINGS = (("decimal", "[0-9]+", DIGITS), ("hex", "[0-9a-f]+", DIGITS + "abcde
              ("base32", "[A-Z2-7]+", UPPER + "234567"), ("base36", "[0-9a-z]+", DIGITS + LOWER),
              ("BASE36", "[0-9A-Z]+", DIGITS + UPPER), ("base62", "[0-9A-Za-z]+", DIGITS + UPPER + LOWER),
              ("base64", "[0-9A-Za-z+/]+", UPPER + LOWER + DIGITS + "+/"),
-             ("base64url", "[0-9A-Za-z_-]+", UPPER + LOWER + DIGITS + "-_"))
+             ("base64url", "[0-9A-Za-z_-]+", UPPER + LOWER + DIGITS + "-_"),
+             ("mixed", "[0-9A-Za-z+/_-]+", UPPER + LOWER + DIGITS + "+/-_"))
 CANDIDATE = "[A-Za-z0-9+/_-]{20,}+"
+PARTS = ("[A-Za-z0-9+/]{20,}+", "[A-Za-z0-9_-]{20,}+", "[A-Za-z0-9]{20,}+")
 #: Thresholds tried, and where length bands begin.
 STEPS, BANDS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.2, 0.3), (20, 24, 32, 40, 48, 64, 96, 128)
 
@@ -58,6 +63,24 @@ def find(text: Column, pattern: str, group: int, least: int) -> Column:
     return F.filter(F.when(F.size(whole) == 0, empty).otherwise(placed), lambda x: x["ok"])
 
 
+def _with_parts(m: Column) -> Column:
+    """A run and its parts, each once."""
+    def moved(x: Column) -> Column:
+        return F.struct((m["at"] + x["at"]).alias("at"), (m["at"] + x["till"]).alias("till"), x["word"].alias("word"), x["ok"].alias("ok"))
+    parts = F.concat(*[find(m["word"], pattern, 0, BANDS[0]) for pattern in PARTS])
+    return F.when(m["word"].rlike("[+/_-]"), F.array_distinct(F.concat(F.array(m), F.transform(parts, moved)))).otherwise(F.array(m))
+
+
+def _apart(spans: Column) -> Column:
+    """Spans (at, till) without those that overlap a longer one from the same place or a kept one before."""
+    empty = F.array().cast("array<struct<at:int,till:int>>")
+    ordered = F.array_sort(F.transform(spans, lambda m: F.struct(m["at"].alias("at"), (-m["till"]).alias("back"))))
+    return F.aggregate(ordered, F.struct(F.lit(0).alias("till"), empty.alias("out")), lambda s, m: F.struct(
+        F.greatest(s["till"], -m["back"]).alias("till"),
+        F.when(m["at"] < s["till"], s["out"]).otherwise(F.concat(s["out"], F.array(F.struct(
+            m["at"].alias("at"), (-m["back"]).alias("till"))))).alias("out")), lambda s: s["out"])
+
+
 def _upper_tail(z: Column) -> Column:
     """1 - Phi(z), within 0.0002."""
     z = F.least(F.greatest(z, F.lit(-8.0)), F.lit(8.0))
@@ -116,7 +139,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     columns = {kind: find(F.col("text"), pattern, group, least) for kind, pattern, group, least in BASE}
     columns["runs"] = find(F.col("text"), CANDIDATE, 0, BANDS[0])
-    found = rows.withColumns(columns)
+    found = rows.withColumns(columns).withColumn("runs", F.flatten(F.transform("runs", _with_parts)))
     tested = F.transform("runs", lambda m: F.struct(
         m["at"].alias("at"), m["till"].alias("till"), band(m["till"] - m["at"]).alias("band"), _battery(m["word"]).alias("test")))
     spans = [F.transform(kind, lambda m: F.struct(m["at"].alias("at"), m["till"].alias("till"))).alias(kind) for kind, *_ in BASE]
@@ -127,7 +150,7 @@ def thresholds(scanned: DataFrame, fdr: float) -> dict[tuple[int, int], float]:
     """Least p that passes, per (encoding, band); a table bounded by encodings, bands and steps."""
     t = F.col("t")
     above = [F.sum((t.test.p >= s).cast("int")).alias(f"n{i}") for i, s in enumerate((*STEPS, 0.5))]
-    counts = (scanned.select(F.explode("tested").alias("t")).filter(t.test.encoding > 0)
+    counts = (scanned.select(F.explode("tested").alias("t")).filter(t.test.encoding.isNotNull())
               .groupBy(t.test.encoding.alias("encoding"), t.band.alias("band")).agg(*above)).collect()
     chosen = {}
     for row in counts:
@@ -155,7 +178,7 @@ def secrets(docs: DataFrame, fdr: float = 0.05, id_col: str = "doc_id", text_col
     else:
         accept = lambda m: m["test"]["p"] >= limit
     clear = lambda m: accept(m) & ~F.exists("base", lambda b: (b["at"] < m["till"]) & (m["at"] < b["till"]))
-    more = F.transform(F.filter("tested", clear), lambda m: F.struct(
+    more = F.transform(_apart(F.filter("tested", clear)), lambda m: F.struct(
         m["at"].alias("at"), F.lit(len(kinds)).alias("rank"), m["till"].alias("till"), F.lit("random").alias("kind")))
     line = lambda spans: F.array_join(F.transform(F.sort_array(spans), lambda m: F.concat_ws(
         ":", m["kind"], m["at"].cast("string"), m["till"].cast("string"))), ",")
