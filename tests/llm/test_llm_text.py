@@ -38,6 +38,25 @@ def test_pseudonyms_keep_format_and_come_back(spark):
     assert changed(spark, out, invert=True) == texts
 
 
+def test_cards_beside_other_numbers_and_us_dates(spark):
+    card = "4111 1111 1111 1111"
+    plain = card.replace(" ", "")
+    texts = [f"card {plain} 12/25", f"{card} 123", f"id 12 {plain}", f"{plain} {plain}", f"{plain} 5th", f"order 123456 {card} 12/25",
+             f"{plain} 123-45-6789", f"{plain} 12/25/1987", f"{plain} 2025-12-01-x", "12/25/1987 02/29/2000 02/30/2000 25/12/1987 13/13/1999",
+             "a" * 80 + "@mail.example.com"]
+    texts += [f"{i} {j} {card} {k}" for i in range(3, 40, 6) for j in (7, 41) for k in (12, 345)] + [f"{m:02}/{d}/{y}" for m in range(1, 13) for d in (13, 28) for y in (1900, 1987, 2079) if (y, m) < (2079, 6)]
+    out = changed(spark, texts)
+    assert not any(plain in re.sub(r"\D", "", o) for o in out)
+    new = re.search(r"\d{16}", out[0])[0]
+    assert luhn(new) and out[0] == f"card {new} 12/25" and out[2] == f"id 12 {new}" and out[3] == f"{new} {new}" and out[4] == f"{new} 5th"
+    assert out[1].endswith(" 123") and out[1].replace(" ", "") == new + "123"
+    assert "123-45-6789" not in out[6] and "12/25/1987" not in out[7] and out[6].startswith(new) and out[8] == f"{new} 2025-12-01-x"
+    a, b, c, d, e = out[9].split()
+    assert "12/25/1987" != a and "02/29/2000" != b and (c, e) == ("02/30/2000", "13/13/1999") and d != "25/12/1987"
+    assert all(1 <= int(x[:2]) <= 12 < int(x[3:5]) for x in (a, b)) and not out[10].startswith("a" * 80)
+    assert changed(spark, out, invert=True) == texts
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
     for a, b in ((7, 5), (10, 100), (1, 9)):

@@ -13,9 +13,14 @@ a real date. The local part of a mail address is permuted character by character
 Only DataFrame functions run, in one pass without a shuffle.
 
 Formats: cards of 13 to 19 digits; ddd-dd-dddd; IPv4; yyyy-mm-dd, yyyy/mm/dd,
-dd.mm.yyyy and dd/mm/yyyy between 1900-01-01 and 2079-06-05; phone numbers in
+dd.mm.yyyy and dd/mm/yyyy between 1900-01-01 and 2079-06-05, and mm/dd/yyyy where
+it can't be dd/mm/yyyy (then the new day is over 12 too); phone numbers in
 the North American form (the last ten digits change, so a country code stays).
 
+In digit groups joined by single spaces or hyphens, a card is whole groups: the
+leftmost that have a right check digit, the fewest first; the search goes on after
+it. Where new digits would move that choice, the cards of the run are permuted again.
+
 Defined results: NULL text stays NULL and has no match. What fails its
 validation stays as it is. Repeated rows are treated alike. An empty table gives
 an empty result. ``pseudonymise`` adds its counts as one struct column under the
@@ -27,20 +32,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Fixed value: what ends a run of digit groups, as it is of another kind.
+OTHER = (r"\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)|(?<!-)\d{4}(?:-\d\d-|/\d\d/)\d\d(?![\w-])|\d\d(?:\.\d\d\.|/\d\d/)\d{4}(?!\w)"
+         r"|(?<!-)\d{3}-\d\d-\d{4}(?![\w-])|(?:\d{1,3}[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w)")
 #: The kinds and their patterns, in the order in which they are tried.
 KINDS = (
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}+"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}+"),
     ("ip", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"),
     ("ymd", r"(?<![\w-])\d{4}([-/])\d{2}\1\d{2}(?![\w-])"),
     ("dmy", r"(?<!\w)\d{2}([./])\d{2}\2\d{4}(?!\w)"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("phone", r"(?<![\w(])(?:\+?\d{1,3}[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"),
-    ("card", r"(?<![\w.])\d(?:[ -]?\d){12,18}+(?!\w)"),
+    ("card", r"(?<![\w.])(?=\d(?:[ -]?\d){12})\d++(?!\w)(?:[ -](?!" + OTHER + r")\d++(?!\w))*+"),
 )
 ANY = "|".join(pattern for _, pattern in KINDS)
 ROUNDS = 10
 #: How many numbers the two halves of an SSN, a date and an address take (898 areas, 99 groups, 9999 serials).
 SSN, DAYS, ADDRESS = (898 * 99, 9999), (256, 256), (65536, 65536)
+#: The same for dates with a day over 12; how often the cards of a run are permuted at most.
+LATE_DAYS, WALK = (85, 467), 30
 LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
 
@@ -100,6 +110,30 @@ def _day(y: Column, m: Column, d: Column) -> Column:
     return F.when(F.date_format(date, "yyyy-MM-dd") == F.concat_ws("-", y, m, d), day)
 
 
+def _bind(x: Column, f) -> Column:
+    """``f`` of ``x``, which is evaluated once."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
+def _cards(m: Column) -> Column:
+    """The cards in a run of digit groups: array<struct<at, n>>, in digits from 0."""
+    def scan(groups: Column) -> Column:
+        def at(i: Column) -> Column:
+            sizes = F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i))
+            windows = F.transform(sizes, lambda k: F.struct(k.alias("k"), F.array_join(F.slice(groups, i + 1, k), "").alias("d")))
+            return F.get(F.filter(windows, lambda x: F.length(x["d"]).between(13, 19) & (
+                _luhn(F.left(x["d"], F.length(x["d"]) - 1)) == F.right(x["d"], F.lit(1)))), F.lit(0))
+
+        empty = F.array().cast("array<struct<at:int,n:int>>")
+        start = F.struct(F.lit(0).alias("free"), F.lit(0).alias("now"), empty.alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, lambda s, i: _bind(
+            F.when(i >= s["free"], at(i)), lambda x: F.struct(
+                F.coalesce(i + x["k"], s["free"]).alias("free"), (s["now"] + F.length(F.get(groups, i))).alias("now"),
+                F.when(x["k"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(F.struct(
+                    s["now"].alias("at"), F.length(x["d"]).alias("n"))))).alias("out"))), lambda s: s["out"])
+    return _bind(F.split(m, "[ -]"), scan)
+
+
 def _valid(kind: str, m: Column) -> Column:
     part = lambda a, n: F.substring(m, a, n)
     if kind == "ip":
@@ -107,20 +141,23 @@ def _valid(kind: str, m: Column) -> Column:
     if kind in ("ymd", "dmy"):
         y, mo, d = (part(1, 4), part(6, 2), part(9, 2)) if kind == "ymd" else (part(7, 4), part(4, 2), part(1, 2))
         day = _day(y, mo, d)
-        return F.coalesce((day >= 0) & (day < DAYS[0] * DAYS[1]), F.lit(False))
+        right = F.coalesce((day >= 0) & (day < DAYS[0] * DAYS[1]), F.lit(False))
+        if kind == "dmy":
+            late = _day(y, d, mo)
+            right = right | (m.contains("/") & F.coalesce((late >= 0) & (late < DAYS[0] * DAYS[1]) & (mo > "12"), F.lit(False)))
+        return right
     if kind == "ssn":
         area = part(1, 3).cast("int")
         return (area > 0) & (area != 666) & (area < 900) & (part(5, 2) != "00") & (part(8, 4) != "0000")
     if kind == "card":
-        d = _digits(m)
-        return _luhn(F.left(d, F.length(d) - 1)) == F.right(d, F.lit(1))
+        return F.size(_cards(m)) > 0
     return F.lit(True)
 
 
 def _swap(kind: str, m: Column, key: str, invert: bool) -> Column:
     part = lambda a, n: F.substring(m, a, n)
     run = lambda x, ab, tag=kind: feistel(x, F.lit(ab[0]).cast("long"), F.lit(ab[1]).cast("long"), F.lit(tag), key, invert)
-    bind = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))  # noqa: E731  evaluates x once
+    bind = _bind
     if kind == "email":
         local = F.regexp_extract(m, "^[^@]*", 0)
         return F.concat(_letters(local, key, invert), F.regexp_extract(m, "@.*$", 0))
@@ -131,7 +168,8 @@ def _swap(kind: str, m: Column, key: str, invert: bool) -> Column:
     if kind in ("ymd", "dmy"):
         y, mo, d = (part(1, 4), part(6, 2), part(9, 2)) if kind == "ymd" else (part(7, 4), part(4, 2), part(1, 2))
         new = F.date_add(F.lit("1900-01-01").cast("date"), run(_day(y, mo, d), DAYS, "date").cast("int"))
-        return _refill(m, F.date_format(new, "yyyyMMdd" if kind == "ymd" else "ddMMyyyy"))
+        out = _refill(m, F.date_format(new, "yyyyMMdd" if kind == "ymd" else "ddMMyyyy"))
+        return out if kind == "ymd" else F.when(mo > "12", _refill(m, _late(y, d, mo, run))).otherwise(out)
     if kind == "ssn":
         area = part(1, 3).cast("long")
         index = ((area - F.when(area > 666, 2).otherwise(1)) * 99 + part(5, 2).cast("long") - 1) * SSN[1] + part(8, 4).cast("long") - 1
@@ -151,10 +189,33 @@ def _swap(kind: str, m: Column, key: str, invert: bool) -> Column:
 
     def card(d: Column) -> Column:
         n = F.length(d) - 1
-        low = _div(n, F.lit(2))
+        low = _div(n, F.lit(2)).cast("int")
         new = feistel(F.left(d, n).cast("long"), _ten(n - low), _ten(low), F.concat(F.lit("card"), n.cast("string")), key, invert)
-        return bind(F.call_function("lpad", new.cast("string"), n, F.lit("0")), lambda s: _refill(m, F.concat(s, _luhn(s))))
-    return bind(_digits(m), card)
+        return bind(F.call_function("lpad", new.cast("string"), n, F.lit("0")), lambda s: F.concat(s, _luhn(s)))
+
+    def once(word: Column, cards: Column) -> Column:
+        cut = lambda d, at, n: F.call_function("substring", d, at + 1, n)
+        return bind(_digits(word), lambda d: _refill(word, F.aggregate(
+            cards, F.struct(F.lit(0).alias("now"), F.lit("").alias("out")), lambda s, c: F.struct(
+                (c["at"] + c["n"]).alias("now"),
+                F.concat(s["out"], cut(d, s["now"], c["at"] - s["now"]), bind(cut(d, c["at"], c["n"]), card)).alias("out")),
+            lambda s: F.concat(s["out"], cut(d, s["now"], F.length(d))))))
+
+    return bind(_cards(m), lambda cards: F.aggregate(
+        F.sequence(F.lit(1), F.lit(WALK)), F.struct(m.alias("out"), F.lit(False).alias("done")), lambda s, _: F.when(s["done"], s).otherwise(
+            bind(once(s["out"], cards), lambda w: F.struct(w.alias("out"), (_cards(w) == cards).alias("done")))), lambda s: s["out"]))
+
+
+def _late(y: Column, mo: Column, d: Column, run) -> Column:
+    """The new MMddyyyy of a date whose day is over 12; such dates are numbered without the first 12 days of each month."""
+    first, month = F.lit("1900-01-01").cast("date"), (y.cast("int") - 1900) * 12 + mo.cast("int") - 1
+    start = lambda k: F.datediff(F.add_months(first, k), first) - 12 * k
+
+    def write(x: Column) -> Column:
+        near = F.floor(x / 18.437).cast("int")
+        k = F.array_max(F.filter(F.sequence(near - 2, near + 2), lambda k: start(k) <= x))
+        return _bind(k, lambda k: F.date_format(F.date_add(F.add_months(first, k), (x - start(k)).cast("int") + 12), "MMddyyyy"))
+    return _bind(run(_day(y, mo, d) - 12 * (month + 1), LATE_DAYS, "late date"), write)
 
 
 def _letters(s: Column, key: str, invert: bool) -> Column:
@@ -187,7 +248,7 @@ def _letters(s: Column, key: str, invert: bool) -> Column:
 def _classified(m: Column) -> Column:
     kind = F.lit(None).cast("string")
     for name, pattern in reversed(KINDS):
-        core = pattern.replace(r"\2", r"\1") if name == "dmy" else pattern
+        core = pattern.replace(r"\2", r"\1") if name == "dmy" else r"\d+(?:[ -]\d+)*" if name == "card" else pattern
         kind = F.when(m.rlike(f"^(?:{core})$") & _valid(name, m), name).otherwise(kind)
     return kind
 
@@ -196,7 +257,8 @@ def pseudonymise(docs: DataFrame, key: str, invert: bool = False, text_col: str
     """``docs`` with pseudonyms in ``text_col`` and the number of values changed per kind in ``counts_col``."""
     text = F.col(text_col)
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    told = F.transform(found, lambda m: F.struct(m.alias("word"), _classified(m).alias("kind")))
+    told = F.transform(F.transform(found, lambda m: F.struct(m.alias("word"), _classified(m).alias("kind"))), lambda x: F.struct(
+        x["word"].alias("word"), x["kind"].alias("kind"), F.when(x["kind"] == "card", F.size(_cards(x["word"]))).otherwise(1).alias("n")))
 
     def change(x: Column) -> Column:
         out = x["word"]
@@ -210,6 +272,6 @@ def pseudonymise(docs: DataFrame, key: str, invert: bool = False, text_col: str
     woven = F.array_join(F.zip_with("_pii_gaps", F.transform("_pii_told", change),
                                     lambda g, w: F.concat(g, F.coalesce(w, F.lit("")))), "")
     count = lambda name: F.when(none | text.isNull(), 0).otherwise(
-        F.size(F.filter("_pii_told", lambda x: x["kind"] == name))).cast("long").alias(name)
+        F.aggregate(F.filter("_pii_told", lambda x: x["kind"] == name), F.lit(0), lambda a, x: a + x["n"])).cast("long").alias(name)
     return (rows.withColumn(counts_col, F.struct(*[count(name) for name, _ in KINDS]))
             .withColumn(text_col, F.when(none, text).otherwise(woven)).drop("_pii_told", "_pii_gaps"))
