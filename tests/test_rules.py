@@ -96,3 +96,10 @@ def test_fuzzy_recommendations_try_every_term(spark):
     assert missed == {t for t in terms if not any(t.upper() in n for n in names)
                       and not difflib.get_close_matches(t.upper(), names, n=1, cutoff=.5)}
     assert any(r.match_type == "fuzzy" and r.rank == 1 for r in rows)
+
+
+def test_fuzzy_match_does_not_depend_on_chunks(spark):
+    products = spark.createDataFrame([(x,) for x in ("Red Mug", "RED MUG", "red mug", "Red MUG", "blue plate", "Blue Plate")], "product string")
+    terms = spark.createDataFrame([("red mugg",), ("blu plates",), ("zzzz",)], "term string")
+    got = [{r["term"]: (r["product"], r["score"]) for r in fuzzy_match(terms, products, chunk_rows=n).collect()} for n in (100, 2, 1)]
+    assert got[0]["red mugg"][0] == "RED MUG" and got[0] == got[1] == got[2]

@@ -101,9 +101,10 @@ def fuzzy_match(terms: DataFrame, products: DataFrame, cutoff: float = S.FUZZY_C
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
-    best = (allp.groupBy("term")
-                .agg(F.max(F.struct(F.coalesce("score", F.lit(-1.0)).alias("s"),
-                                    F.upper("product").alias("u"), F.col("product").alias("p"))).alias("b")))
+    # the smallest spelling of the largest upper-case name with the best ratio, as within a chunk
+    spelt = (allp.groupBy("term", F.coalesce("score", F.lit(-1.0)).alias("s"), F.upper("product").alias("u"))
+                 .agg(F.min("product").alias("p")))
+    best = spelt.groupBy("term").agg(F.max(F.struct("s", "u", "p")).alias("b"))
     return best.select("term", F.col("b.p").alias("product"), F.when(F.col("b.s") >= 0, F.col("b.s")).alias("score"))
 
 
