@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import lines
+from rows import lines
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import week_of_year_simple

@@ -1,4 +1,4 @@
-from conftest import lines
+from rows import lines
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import is_noise, normalize_description, strip_ws
