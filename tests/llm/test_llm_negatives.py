@@ -72,7 +72,7 @@ def test_intervals_hold_and_rule_rows_out():
 
 
 def test_huge_values_are_held(spark):
-    rows = [(0, [3e15, 3e15], 1), (1, [3e15, 3e15], 1), (2, [2e15, 3e15], 2), (3, [1e15, -1.0], 2)]
+    rows = [(0, [3e15, 3e15], 1), (1, [3e15, 3e15], 1), (2, [2e15, 3e15], 2), (3, [1.0, -1.0], 2)]
     out = mined(spark, rows)
     assert [(r[1], r[3]) for r in out] == [(1, 2)] and out[0][4] == 2 ** 63 - 1
 
