@@ -47,29 +47,32 @@ def stratified_split(df: DataFrame, label: str, key_cols, share: float = S.TRAIN
     return ranked.withColumn(col, F.col("_rk") <= F.ceil(F.col("_n") * share)).drop("_h", "_rk", "_n")
 
 
-def confusion(pred: DataFrame, prediction: str, label: str) -> DataFrame:
-    """EVL-1: counts per (predicted, actual)."""
-    return pred.groupBy(F.col(prediction).alias("predicted"), F.col(label).alias("actual")).agg(
+def confusion(pred: DataFrame, prediction: str, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """EVL-1: counts per (predicted, actual), per value of ``by``."""
+    return pred.groupBy(*by, F.col(prediction).alias("predicted"), F.col(label).alias("actual")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
-def classification_metrics(pred: DataFrame, prediction: str, label: str, positive="High") -> DataFrame:
-    """EVL-2: accuracy, precision, recall and error rate for one positive class."""
+def classification_metrics(pred: DataFrame, prediction: str, label: str, positive="High", by: tuple[str, ...] = (),
+                           probability: str | None = None) -> DataFrame:
+    """EVL-2: accuracy, precision, recall and error rate for one positive class, per value of ``by``;
+    EVL-3: with the column of its probability also the Brier score. Empty denominators give NULL."""
     p, y = F.col(prediction) == positive, F.col(label) == positive
     tp, fp, fn = F.count_if(p & y), F.count_if(p & ~y), F.count_if(~p & y)
     correct = F.count_if(F.col(prediction) == F.col(label))
     n = F.count(F.lit(1))
-    return pred.agg(n.alias("n"),
-                    F.try_divide(correct.cast("double"), n.cast("double")).alias("accuracy"),
-                    F.try_divide(tp.cast("double"), (tp + fp).cast("double")).alias("precision"),
-                    F.try_divide(tp.cast("double"), (tp + fn).cast("double")).alias("recall"),
-                    F.try_divide((n - correct).cast("double"), n.cast("double")).alias("error_rate"))
+    brier = [F.avg((y.cast("double") - F.col(probability)) ** 2).alias("brier")] if probability else []
+    return pred.groupBy(*by).agg(n.alias("n"),
+                                 F.try_divide(correct.cast("double"), n.cast("double")).alias("accuracy"),
+                                 F.try_divide(tp.cast("double"), (tp + fp).cast("double")).alias("precision"),
+                                 F.try_divide(tp.cast("double"), (tp + fn).cast("double")).alias("recall"),
+                                 F.try_divide((n - correct).cast("double"), n.cast("double")).alias("error_rate"), *brier)
 
 
-def mse(df: DataFrame, y: str, p: str) -> DataFrame:
-    """EVL-3: mean squared error (Brier score for probabilities)."""
+def mse(df: DataFrame, y: str, p: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """EVL-3: mean squared error (Brier score for probabilities), per value of ``by``."""
     d = F.col(y).cast("double") - F.col(p).cast("double")
-    return df.agg(F.avg(d * d).alias("mse"), F.count(F.lit(1)).alias("n"))
+    return df.groupBy(*by).agg(F.avg(d * d).alias("mse"), F.count(F.lit(1)).alias("n"))
 
 
 def impurity_importance(model, feature_names) -> list[tuple[str, float]]:
@@ -79,27 +82,41 @@ def impurity_importance(model, feature_names) -> list[tuple[str, float]]:
     return sorted(((n, 100.0 * float(v) / total) for n, v in zip(feature_names, imp)), key=lambda t: -t[1])
 
 
-def permutation_importance(model, df: DataFrame, feature_cols, label: str, metric, seed: int = 1,
-                           buckets: int = 64, assembler=None) -> list[tuple[str, float]]:
-    """ML-8: drop in a metric when one feature's values are permuted.
+#: Rows that trade a feature's values among themselves.
+PERMUTED_ROWS = 4096
 
-    The permutation is distributed: rows are spread over ``buckets`` hash
-    buckets; inside each bucket the feature's values are re-paired with rows by
-    joining two independent hash orders (row_number by bucket), so no global
-    sort or single partition is needed. ``metric(pred_df) -> float``.
+
+def permuted(df: DataFrame, feature_cols, key_cols, seed: int = 1, bucket_rows: int = PERMUTED_ROWS) -> DataFrame:
+    """``df`` once as it is and once per feature with that feature's values permuted; ``feature`` names the copy
+    (NULL: as it is).
+
+    Rows trade values inside hash buckets of about ``bucket_rows`` rows: a row
+    takes them from the row of the same rank in another order of its bucket.
+    Both orders are hashes of the key, which must be unique, so the result
+    depends on the rows and the seed only. One join serves all features.
     """
-    base_df = df.withColumn("_rid", F.monotonically_increasing_id())
-    scored = model.transform(assembler.transform(base_df) if assembler else base_df)
-    base = metric(scored)
-    out = []
-    for c in feature_cols:
-        b = F.pmod(F.xxhash64("_rid", F.lit(seed)), F.lit(buckets))
-        rows = base_df.withColumn("_b", b).withColumn(
-            "_r1", F.row_number().over(Window.partitionBy("_b").orderBy(F.xxhash64("_rid", F.lit(seed + 1)))))
-        vals = base_df.withColumn("_b", b).select(
-            "_b", F.col(c).alias("_v"),
-            F.row_number().over(Window.partitionBy("_b").orderBy(F.xxhash64("_rid", F.lit(seed + 2)))).alias("_r1"))
-        permuted = rows.join(vals, ["_b", "_r1"]).withColumn(c, F.col("_v")).drop("_v", "_b", "_r1")
-        s = model.transform(assembler.transform(permuted) if assembler else permuted)
-        out.append((c, base - metric(s)))
-    return out
+    key = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]
+    h = lambda salt: F.xxhash64(F.concat_ws("\u0001", *key), F.lit(seed), F.lit(salt))
+    buckets = max(1, -(-df.count() // bucket_rows))
+    rows = df.withColumn("_bucket", F.pmod(h(0), F.lit(buckets)))
+
+    def ranked(salt: int) -> F.Column:
+        return F.row_number().over(Window.partitionBy("_bucket").orderBy(h(salt), *key_cols))
+
+    takers = rows.withColumn("_rank", ranked(1))
+    givers = rows.select("_bucket", ranked(2).alias("_rank"), F.struct(*feature_cols).alias("_given"))
+    pairs = takers.join(givers, ["_bucket", "_rank"])
+    copies = F.array(F.lit(None).cast("string"), *[F.lit(c) for c in feature_cols])
+    long = pairs.withColumn("feature", F.explode(copies))
+    return long.withColumns({c: F.when(F.col("feature") == c, F.col(f"_given.{c}")).otherwise(F.col(c)) for c in feature_cols}
+                            ).drop("_bucket", "_rank", "_given")
+
+
+def permutation_importance(transform, df: DataFrame, feature_cols, key_cols, loss: F.Column, seed: int = 1,
+                           bucket_rows: int = PERMUTED_ROWS) -> DataFrame:
+    """ML-8: DF[feature, increase]: how much ``loss``, an aggregate over the scored rows, grows when one feature's
+    values are permuted. ``transform`` scores all copies of the rows in one pass."""
+    losses = transform(permuted(df, feature_cols, key_cols, seed, bucket_rows)).groupBy("feature").agg(loss.alias("_loss"))
+    losses = losses.persist()  # a row per feature
+    base = losses.where(F.col("feature").isNull()).select("_loss").scalar()
+    return losses.where(F.col("feature").isNotNull()).select("feature", (F.col("_loss") - base).alias("increase"))

@@ -1,20 +1,26 @@
-"""Next-day spike classifiers (ENC-1, SPL-2, ML-5, ML-6, ML-7, ML-9, EVL-1..4, AGG-27).
+"""Next-day spike classifiers (ENC-1, SPL-2, ML-5..9, EVL-1..4, AGG-27).
 
 Inputs are the daily feature rows of ``demand.demand_features`` (one row per
 market and trading day, bounded by the calendar). Training uses the home
 market; the test sets are a stratified 20% of home days and all foreign days.
+Each model is fitted by itself, once per training table and parameters, and
+kept in the model store: a result fits only the models that it shows.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..sources.models import fingerprint, stored_pipeline, stored_table
+from . import boosting, pruning
 from .demand import MODEL_COLUMNS
-from .evaluate import impurity_importance, stratified_split
+from .evaluate import classification_metrics, confusion, impurity_importance, permutation_importance, stratified_split
+
+FEATURES = tuple(f"f_{c}" for c in MODEL_COLUMNS)
+TREE, FOREST, BOOSTING = "Decision Tree", "Random Forest", "Boosting (GBM)"
+MODELS = (TREE, FOREST, BOOSTING)
 
 
 def encode(features: DataFrame) -> DataFrame:
@@ -48,7 +54,7 @@ def _typed(df: DataFrame) -> DataFrame:
 
 def _feature_stages():
     from pyspark.ml.feature import VectorAssembler
-    return [VectorAssembler(inputCols=[f"f_{c}" for c in MODEL_COLUMNS], outputCol="features", handleInvalid="keep")]
+    return [VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")]
 
 
 def fit_tree(train: DataFrame, depth: int = S.SPIKE_TREE_DEPTH, min_split: int = S.SPIKE_TREE_MIN_SPLIT,
@@ -57,7 +63,7 @@ def fit_tree(train: DataFrame, depth: int = S.SPIKE_TREE_DEPTH, min_split: int =
     """ML-5: depth-limited tree; the loss matrix becomes class weights (true
     Normal rows weigh cost_normal_as_high / cost_high_as_normal), the minimum
     split size becomes a minimum of min_split/3 rows per child (rpart's
-    minbucket default). No cost-complexity pruning in MLlib."""
+    minbucket default). It is pruned by its complexity afterwards, see ``pruned_tree``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import DecisionTreeClassifier
     w = F.when(F.col("label") == 0.0, F.lit(cost_normal_as_high / cost_high_as_normal)).otherwise(F.lit(1.0))
@@ -70,106 +76,118 @@ def fit_forest(train: DataFrame, n_trees: int = S.SPIKE_FOREST_TREES, depth: int
     """ML-6: random forest (R grows trees to purity, MLlib at most to a depth of 30)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
-    clf = RandomForestClassifier(numTrees=n_trees, maxDepth=depth, seed=seed)
+    clf = RandomForestClassifier(numTrees=n_trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
     return Pipeline(stages=_feature_stages() + [clf]).fit(_typed(train))
 
 
-def fit_boost(train: DataFrame, max_iter: int = S.BOOST_TREES, step: float = S.BOOST_RATE,
-              depth: int = S.BOOST_DEPTH, folds: int = S.BOOST_FOLDS, seed: int = 195):
-    """ML-9: gradient boosting with the round count chosen by k-fold CV.
-
-    Folds are hash buckets of the date; the fold fits run as concurrent jobs
-    and report the loss after every round (``evaluateEachIteration``); the
-    round with the lowest mean held-out loss is refit on all training rows.
-    Returns (model, best_rounds, mean_cv_loss list).
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import GBTClassifier
-
-    def gbt(n):
-        return GBTClassifier(maxIter=n, stepSize=step, maxDepth=depth, subsamplingRate=0.5, seed=seed)
-
-    train = _typed(train)
-    prep = Pipeline(stages=_feature_stages()).fit(train)
-    data = prep.transform(train).withColumn("_fold", F.pmod(F.xxhash64("date"), F.lit(folds))).persist()
-
-    def fold_loss(k):
-        m = gbt(max_iter).fit(data.where(F.col("_fold") != k))
-        held = data.where(F.col("_fold") == k)
-        n = held.count()
-        return [float(x) * n for x in m.evaluateEachIteration(held)], n
-
-    with ThreadPoolExecutor(max_workers=folds) as pool:
-        res = list(pool.map(fold_loss, range(folds)))
-    total_n = sum(n for _, n in res) or 1
-    mean = [sum(r[0][i] for r in res) / total_n for i in range(max_iter)]
-    best = min(range(max_iter), key=lambda i: mean[i]) + 1
-    model = Pipeline(stages=_feature_stages() + [gbt(best)]).fit(train)
-    data.unpersist()
-    return model, best, mean
-
-
-def _labelled(pred: DataFrame, cut: float | None) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-    if cut is None:
-        p = F.when(F.col("prediction") == 1.0, "High").otherwise("Normal")
-    else:
-        p = F.when(vector_to_array("probability")[1] >= cut, "High").otherwise("Normal")
-    return pred.withColumn("predicted_spike", p).withColumn(
-        "p_high", vector_to_array("probability")[1])
-
-
-def run_spike_models(sets: DataFrame, forest_trees: int = S.SPIKE_FOREST_TREES, boost_rounds: int = S.BOOST_TREES,
-                     boost_folds: int = S.BOOST_FOLDS, cuts=S.BOOST_CUTS) -> dict:
-    """Fit the three models on 'train' and score both test sets.
-
-    Returns DataFrames: comparison (EVL-2/3/4), confusion (EVL-1), importance
-    (ML-7) and spike_weeks (AGG-27, boosting at the first cut on uk_test).
-    """
-    spark = sets.sparkSession
-    # a row per home day: one partition, as each round is a job of its own
-    train = sets.where(F.col("part") == "train").coalesce(1).persist()
-    tests = sets.where(F.col("part") != "train")
-    models = {"Decision Tree": (fit_tree(train), [None]),
-              "Random Forest": (fit_forest(train, forest_trees), [None])}
-    boost, best, _ = fit_boost(train, boost_rounds, folds=boost_folds)
-    models["Boosting (GBM)"] = (boost, list(cuts))
-    metrics, confs, preds = [], [], {}
-    for name, (model, model_cuts) in models.items():
-        scored = model.transform(tests)
-        for cut in model_cuts:
-            lab = _labelled(scored, cut).withColumn("model", F.lit(name)).withColumn(
-                "cut", F.lit(cut).cast("double"))
-            preds[(name, cut)] = lab
-            m = (lab.groupBy("model", "cut", "part")
-                    .agg(F.count(F.lit(1)).alias("n"),
-                         (F.count_if(F.col("predicted_spike") == F.col("next_day_spike")) / F.count(F.lit(1)))
-                         .alias("accuracy"),
-                         F.try_divide(F.count_if((F.col("predicted_spike") == "High") & (F.col("next_day_spike") == "High")).cast("double"),
-                                      F.count_if(F.col("predicted_spike") == "High").cast("double")).alias("precision"),
-                         F.try_divide(F.count_if((F.col("predicted_spike") == "High") & (F.col("next_day_spike") == "High")).cast("double"),
-                                      F.count_if(F.col("next_day_spike") == "High").cast("double")).alias("recall"),
-                         F.avg((F.col("label") - F.col("p_high")) ** 2).alias("brier")))
-            metrics.append(m)
-            confs.append(lab.groupBy("model", "cut", "part", F.col("predicted_spike").alias("predicted"),
-                                     F.col("next_day_spike").alias("actual")).agg(F.count(F.lit(1)).alias("n")))
-    comparison = metrics[0]
-    for m in metrics[1:]:
-        comparison = comparison.unionByName(m)
-    conf = confs[0]
-    for c in confs[1:]:
-        conf = conf.unionByName(c)
-    names = [f"f_{c}" for c in MODEL_COLUMNS]
-    imp_rows = []
-    for name, (model, _) in models.items():
-        for feat, v in impurity_importance(model.stages[-1], names):
-            imp_rows.append((name, feat[2:], float(v)))
-    importance = spark.createDataFrame(imp_rows, "model string, feature string, importance double")
-    weeks = (preds[("Boosting (GBM)", cuts[0])].where(F.col("part") == "uk_test")
-             .where(F.col("predicted_spike") == "High").groupBy("week_of_the_year")
-             .agg(F.count(F.lit(1)).alias("predicted_spike_days"))
-             .orderBy(F.col("predicted_spike_days").desc(), "week_of_the_year"))
-    rounds = spark.createDataFrame([(best, boost_rounds, boost_folds)],
-                                   "best_rounds int, max_rounds int, folds int")
-    return {"comparison": comparison, "confusion": conf, "importance": importance, "spike_weeks": weeks,
-            "boost_rounds": rounds}
+def saved_stage(spark, path: str) -> str:
+    """The folder of the saved pipeline's stage that has data of its own: its tree model."""
+    found = spark.read.parquet(f"{path}/stages/*/data").select("_metadata.file_path").first()
+    return found.file_path.rsplit("/data/", 1)[0]
+
+
+class SpikeModels:
+    """The three models of one set of training rows, each fitted or loaded when first asked for."""
+
+    def __init__(self, sets: DataFrame, forest_trees: int = S.SPIKE_FOREST_TREES, boost_rounds: int = S.BOOST_TREES,
+                 boost_folds: int = S.BOOST_FOLDS, cp: float = S.SPIKE_TREE_CP, cuts: tuple[float, ...] = S.BOOST_CUTS):
+        self.spark, self.cp, self.cuts = sets.sparkSession, cp, cuts
+        self.forest_trees, self.boost_rounds, self.boost_folds = forest_trees, boost_rounds, boost_folds
+        self.train = sets.where(F.col("part") == "train").select("date", "label", *FEATURES)
+        self.tests = sets.where(F.col("part") != "train")
+        self._made: dict[str, object] = {}
+
+    def _once(self, name: str, make):
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
+
+    def key(self, name: str, **params) -> str:
+        rows = self._once("rows", lambda: fingerprint(self.train))
+        return f"{rows[:16]}-" + "-".join(f"{k}{v}" for k, v in sorted(params.items()))
+
+    # ------------------------------------------------------------------ tree
+    def tree_nodes(self) -> DataFrame:
+        """ML-5: the fitted tree's nodes, before pruning."""
+        def make():
+            _, path = stored_pipeline(self.spark, "spike-tree", self.key("tree"), lambda: fit_tree(self.train))
+            return pruning.saved_nodes(self.spark, saved_stage(self.spark, path)).persist()
+        return self._once("nodes", make)
+
+    def pruning_path(self) -> DataFrame:
+        """ML-5: the nested trees of weakest-link pruning."""
+        return self._once("path", lambda: pruning.pruning_path(self.tree_nodes(), S.SPIKE_TREE_DEPTH).persist())
+
+    def pruned_tree(self) -> DataFrame:
+        """ML-5: the tree at complexity ``cp``."""
+        return pruning.pruned_nodes(self.tree_nodes(), self.pruning_path(), self.cp)
+
+    # ---------------------------------------------------------------- forest
+    def forest(self):
+        return self._once("forest", lambda: stored_pipeline(
+            self.spark, "spike-forest", self.key("forest", trees=self.forest_trees),
+            lambda: fit_forest(self.train.coalesce(1), self.forest_trees))[0])  # a row per home day
+
+    def forest_permutation(self, part: str = "uk_test") -> DataFrame:
+        """ML-8: DF[feature, accuracy_drop] of the forest on a test set (MLlib keeps no out-of-bag rows)."""
+        rows = self.tests.where(F.col("part") == part).select("date", "label", *FEATURES)
+        wrong = F.avg((F.col("prediction") != F.col("label")).cast("double"))
+        out = permutation_importance(lambda d: self.forest().transform(_typed(d)), rows, FEATURES, ("date",), wrong, seed=194)
+        return out.select(F.expr("substring(feature, 3)").alias("feature"), F.col("increase").alias("accuracy_drop"))
+
+    # -------------------------------------------------------------- boosting
+    def trees(self) -> DataFrame:
+        """ML-9: the boosted trees of all folds and of the model on all rows."""
+        return self._once("trees", lambda: stored_table(
+            boosting.boost(self.train, FEATURES, "label", "date", self.boost_rounds, S.BOOST_RATE, self.boost_folds, S.BOOST_SPLITS),
+            "spike-boost", self.key("boost", rounds=self.boost_rounds, folds=self.boost_folds)))
+
+    def best_round(self) -> int:
+        return self._once("best", lambda: boosting.best_round(self.trees()))
+
+    # --------------------------------------------------------------- results
+    def scored(self, model: str) -> DataFrame:
+        """The test rows with ``p_high`` and, per cut of the model, ``predicted_spike``."""
+        from pyspark.ml.functions import vector_to_array
+        cuts: tuple[float | None, ...] = (None,)
+        if model == TREE:
+            label, p = pruning.tree_columns(self.pruned_tree(), FEATURES)
+            rows = self.tests.withColumns({"p_high": p, "prediction": label})
+        elif model == FOREST:
+            rows = self.forest().transform(_typed(self.tests)).withColumn("p_high", vector_to_array("probability")[1])
+        else:
+            rows, cuts = boosting.probability(self.tests, self.trees(), FEATURES, self.best_round()), self.cuts
+            rows = rows.withColumn("prediction", F.lit(None).cast("double"))
+        cut = F.array(*[F.lit(c).cast("double") for c in cuts])
+        high = F.when(F.col("cut").isNull(), F.col("prediction") == 1.0).otherwise(F.col("p_high") >= F.col("cut"))
+        return (rows.select(F.lit(model).alias("model"), F.explode(cut).alias("cut"), "part", "date", "week_of_the_year", "next_day_spike",
+                            "p_high", "prediction")
+                .withColumn("predicted_spike", F.when(high, "High").otherwise("Normal")).drop("prediction"))
+
+    def comparison(self, models: tuple[str, ...] = MODELS) -> DataFrame:
+        """EVL-2..4: a row per model, cut and test set."""
+        rows = [classification_metrics(self.scored(m), "predicted_spike", "next_day_spike", by=("model", "cut", "part"),
+                                       probability="p_high").drop("error_rate") for m in models]
+        return _stack(rows)
+
+    def confusion(self, models: tuple[str, ...] = MODELS) -> DataFrame:
+        """EVL-1: counts per model, cut, test set, predicted and actual label."""
+        return _stack([confusion(self.scored(m), "predicted_spike", "next_day_spike", ("model", "cut", "part")) for m in models])
+
+    def importance(self, model: str) -> DataFrame:
+        """ML-7: DF[model, feature, importance], in hundredths of the model's total."""
+        if model == BOOSTING:
+            rows = boosting.relative_influence(self.trees(), MODEL_COLUMNS, self.best_round())
+        elif model == FOREST:
+            pairs = impurity_importance(self.forest().stages[-1], list(MODEL_COLUMNS))
+            rows = self.spark.createDataFrame([(f, float(v)) for f, v in pairs], "feature string, importance double")
+        else:
+            rows = pruning.impurity_drop(self.pruned_tree(), MODEL_COLUMNS)
+        return rows.select(F.lit(model).alias("model"), "feature", "importance")
+
+
+def _stack(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

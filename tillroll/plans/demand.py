@@ -90,11 +90,9 @@ def q_market_means(spark, sf):
 
 
 # ---------------------------------------------------------------------------- models
-def spike_results(spark, sf):
-    from ..operators.spike_models import run_spike_models, spike_sets
-    return fixtures.remember(spark, ("spike_models", sf.rstrip("/")),
-                             lambda: run_spike_models(spike_sets(features(spark, sf)),
-                                                      boost_rounds=S.BOOST_TREES))
+def spike_models(spark, sf):
+    from ..operators.spike_models import SpikeModels, spike_sets
+    return fixtures.remember(spark, ("spike_models", sf.rstrip("/")), lambda: SpikeModels(spike_sets(features(spark, sf)).persist()))
 
 
 @register("spike_split", O.sql("""
@@ -116,24 +114,57 @@ def q_spike_split(spark, sf):
 
 @register("spike_model_comparison", None, ids=("ML-5", "ML-6", "ML-9", "EVL-2", "EVL-3", "EVL-4", "CND-1"))
 def q_spike_model_comparison(spark, sf):
-    return spike_results(spark, sf)["comparison"]
+    return spike_models(spark, sf).comparison()
+
+
+@register("spike_tree", None, ids=("ML-5", "EVL-2"))
+def q_spike_tree(spark, sf):
+    return spike_models(spark, sf).comparison(("Decision Tree",))
+
+
+@register("spike_tree_pruned", None, ids=("ML-5",))
+def q_spike_tree_pruned(spark, sf):
+    """The pruning path; the tree in use is the last one whose cp is within the limit."""
+    from pyspark.sql import functions as F
+    path = spike_models(spark, sf).pruning_path()
+    used = path.where(F.col("cp") <= S.SPIKE_TREE_CP).select(F.max("step")).scalar()
+    return path.select("step", "complexity", "cp", "leaves", "relative_risk", F.array_join("cut", ",").alias("cut_nodes"),
+                       (F.col("step") == used).alias("is_used"))
+
+
+@register("spike_forest", None, ids=("ML-6", "EVL-2"))
+def q_spike_forest(spark, sf):
+    return spike_models(spark, sf).comparison(("Random Forest",))
 
 
 @register("spike_confusion", None, ids=("EVL-1",))
 def q_spike_confusion(spark, sf):
-    return spike_results(spark, sf)["confusion"]
+    return spike_models(spark, sf).confusion()
 
 
 @register("spike_importance", None, ids=("ML-7",))
 def q_spike_importance(spark, sf):
-    return spike_results(spark, sf)["importance"]
+    from ..operators.spike_models import MODELS, _stack
+    models = spike_models(spark, sf)
+    return _stack([models.importance(m) for m in MODELS])
+
+
+@register("spike_permutation_importance", None, ids=("ML-8",))
+def q_spike_permutation_importance(spark, sf):
+    return spike_models(spark, sf).forest_permutation()
 
 
 @register("spike_weeks", None, ids=("AGG-27",))
 def q_spike_weeks(spark, sf):
-    return spike_results(spark, sf)["spike_weeks"]
+    from pyspark.sql import functions as F
+    boosted = spike_models(spark, sf).scored("Boosting (GBM)")
+    return D.spike_weeks(boosted.where((F.col("part") == "uk_test") & (F.col("cut") == S.BOOST_CUTS[0])))
 
 
-@register("spike_boost_rounds", None, ids=("ML-9",))
+@register("spike_boost_rounds", None, ids=("ML-9", "EVL-4"))
 def q_spike_boost_rounds(spark, sf):
-    return spike_results(spark, sf)["boost_rounds"]
+    """The cross-validated loss after every round."""
+    from pyspark.sql import functions as F
+    from ..operators import boosting as B
+    models = spike_models(spark, sf)
+    return B.cv_loss(models.trees()).select("round", "cv_loss", (F.col("round") == models.best_round()).alias("is_best"))
