@@ -1,9 +1,8 @@
-import difflib
 import itertools
 
 from pyspark.sql import functions as F
 
-from tillroll.operators.recommend import exact_or_substring, fuzzy_match, recommend, rule_products
+from tillroll.operators.recommend import browse_products, exact_or_substring, recommend, rule_products, similar_match
 from tillroll.operators.rules import association_rules, baskets, rule_holdout_confidence
 
 
@@ -12,6 +11,19 @@ def _lines(spark, baskets_):
     return spark.createDataFrame(rows, "invoice_no string, item string")
 
 
+def dice(a, b):
+    """Dice coefficient of the distinct character pairs of the padded, upper-cased names."""
+    pairs = lambda t: {f" {t.upper()} "[i:i + 2] for i in range(len(t) + 1)}
+    x, y = pairs(a), pairs(b)
+    return 2.0 * len(x & y) / (len(x) + len(y))
+
+
+def best_similar(term, names):
+    """(name, score) of the most similar name at 0.5 or more, ties by name."""
+    scored = sorted((-dice(term, n), n) for n in names)
+    return (scored[0][1], -scored[0][0]) if scored and scored[0][0] <= -0.5 else None
+
+
 TRAIN = [["A", "B", "C"], ["A", "B", "C"], ["A", "B"], ["A", "C"], ["B", "C"], ["D"], ["A", "B", "C", "D"]]
 
 
@@ -52,12 +64,50 @@ def test_matching_against_brute_force(spark):
     assert direct["red mug"] == ("RED MUG", "exact")
     assert direct["MUG"] == ("RED MUG", "substring")      # shortest product containing the term
     assert direct["bowl"] == ("blue bowl", "substring")
-    fz = {r["term"]: r["product"] for r in fuzzy_match(terms, products).collect()}
     names = [r[0] for r in products.collect()]
-    for t in ("gren teapott", "zzzz"):
-        hit = difflib.get_close_matches(t.upper(), [n.upper() for n in names], n=1, cutoff=0.5)
-        want = next((n for n in names if hit and n.upper() == hit[0]), None)
-        assert fz[t] == want
+    fz = {r["term"]: (r["product"], r["score"]) for r in similar_match(terms, products).collect()}
+    assert fz == {t: best for t in ("red mug", "MUG", "bowl", "gren teapott", "zzzz") if (best := best_similar(t, names))}
+    assert fz["gren teapott"][0] == "GREEN TEAPOT" and "zzzz" not in fz
+
+
+def test_lookup_in_long_and_repeated_names(spark):
+    """A 350-character composite name, names that repeat a gram, names in several spellings, short and empty keys."""
+    long = ",".join(f"PART {i:02} OF SET" for i in range(25))
+    assert len(long) > 350
+    names = [long, "Red Mug", "RED MUG", "AAAA", "aaa", "x", "%", "50% OFF", "É", ""]
+    keys = ["part 22 of", "set,part", "red mug", "AAA", "aa", "X", "%", "é", "0%", "", " ", "nothing here", "PART 05 OF SET,PART 07"]
+    products = spark.createDataFrame([(n,) for n in names] * 2 + [(None,)], "product string")
+    terms = spark.createDataFrame([(k,) for k in keys] * 2 + [(None,)], "term string")
+    want = {}
+    for k in keys:
+        hits = sorted((n.upper() != k.upper(), len(n), n) for n in names if k and k.upper() in n.upper())
+        if hits:
+            want[k] = (hits[0][2], "substring" if hits[0][0] else "exact")
+    assert {r.term: (r.product, r.match_type) for r in exact_or_substring(terms, products).collect()} == want
+    found = [tuple(r) for r in browse_products(products, terms.withColumnRenamed("term", "keyword")).collect()]
+    assert found == sorted({(k, n) for k in keys for n in names if k.strip(" ") and k.strip(" ").upper() in n.upper()})
+
+
+def test_posting_rows_are_linear_in_the_name(spark):
+    from tillroll.operators.recommend import gram_postings
+    name = "".join(chr(0x4E00 + i) for i in range(350))
+    assert gram_postings(spark.createDataFrame([(name,)], "product string")).count() <= 3 * len(name)
+
+
+def test_similar_names_match_brute_force(spark):
+    import random
+    rnd = random.Random(2)
+    names = ["".join(rnd.choice("ABCD ") for _ in range(rnd.randint(1, 14))) for _ in range(120)]
+    terms = ["".join(rnd.choice("abcd ") for _ in range(rnd.randint(1, 14))) for _ in range(120)] + ["", "a"]
+    frame = lambda values, c: spark.createDataFrame([(v,) for v in values], f"{c} string").repartition(3)
+    for cutoff in (0.5, 0.8):
+        got = {r.term: (r.product, r.score) for r in similar_match(frame(terms, "term"), frame(names, "product"), cutoff).collect()}
+        want = {}
+        for t in set(terms):
+            best = min((-dice(t, n), n) for n in names)
+            if -best[0] >= cutoff:
+                want[t] = (best[1], -best[0])
+        assert got == want
 
 
 def test_recommend_falls_back_to_rhs(spark):
@@ -81,25 +131,15 @@ def test_recommend_keeps_unmatched_terms(spark):
 
 
 def test_fuzzy_recommendations_try_every_term(spark):
-    import difflib
-
     from tillroll.plans import catalog
     from tillroll.plans.baskets import rules, search_terms
     catalog.load_all()
     sf = "/root/testdata/sf0.001"
-    names = [r[0].upper() for r in rule_products(rules(spark, sf)).collect()]
+    names = [r[0] for r in rule_products(rules(spark, sf)).collect()]
     terms = {r[0] for r in search_terms(spark, sf).collect() if r[0] is not None}
     rows = catalog.QUERIES["recommend_fuzzy"](spark, sf).collect()
     legend = catalog.QUERIES["recommend_legend_fuzzy"](spark, sf).collect()
     assert {r.term for r in rows} == {r.term for r in legend} == terms
     missed = {r.term for r in rows if r.match_type == "no_match"}
-    assert missed == {t for t in terms if not any(t.upper() in n for n in names)
-                      and not difflib.get_close_matches(t.upper(), names, n=1, cutoff=.5)}
+    assert missed == {t for t in terms if not any(t.upper() in n.upper() for n in names) and not best_similar(t, names)}
     assert any(r.match_type == "fuzzy" and r.rank == 1 for r in rows)
-
-
-def test_fuzzy_match_does_not_depend_on_chunks(spark):
-    products = spark.createDataFrame([(x,) for x in ("Red Mug", "RED MUG", "red mug", "Red MUG", "blue plate", "Blue Plate")], "product string")
-    terms = spark.createDataFrame([("red mugg",), ("blu plates",), ("zzzz",)], "term string")
-    got = [{r["term"]: (r["product"], r["score"]) for r in fuzzy_match(terms, products, chunk_rows=n).collect()} for n in (100, 2, 1)]
-    assert got[0]["red mugg"][0] == "RED MUG" and got[0] == got[1] == got[2]

@@ -1,24 +1,31 @@
 """Product lookup and recommendations from rules (REC-1..5, JOI-11, WIN-7, UDF-5).
 
-Matching a batch of search terms against the rule catalogue runs as joins:
-exact and substring hits come from an equi-join against a substring index of
-the catalogue (every substring of every upper-cased product name), so no
-term x product cross product is formed. Only terms without such a hit go to
-the fuzzy ratio, evaluated per term against the catalogue in Arrow batches.
+Matching a batch of search terms against the rule catalogue runs as joins over
+posting tables, never term by term over the catalogue:
+
+* exact and substring hits: every product is posted under its 1- to 3-character
+  grams, at most 3 rows per character of its name; a term looks under its
+  rarest gram only, and what it finds there is tested with ``contains``;
+* terms without such a hit: a set-similarity join on the distinct character
+  pairs of the padded names (Dice coefficient, at least ``cutoff``). Pairs are
+  put in one order, rare ones first; two names that are similar enough share a
+  pair within a prefix of that order, and their sizes lie within a factor, so
+  only those candidates are tested, in Spark expressions.
+
+The Dice coefficient is another measure than the ratio of matching blocks of the
+analysed workflow, with the same form (twice the shared part over both sizes)
+and cutoff; it can be joined on, and needs no comparison of all with all.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schema as S
 
-# Catalogue rows broadcast to the fuzzy matcher in one piece; a larger
-# catalogue is scanned in chunks of this size (one pass per chunk).
-FUZZY_CHUNK_ROWS = 200_000
-
 
 def rule_products(rules: DataFrame) -> DataFrame:
     """REC-1: every product text in a rule (a composite LHS counts as one)."""
@@ -26,25 +33,38 @@ def rule_products(rules: DataFrame) -> DataFrame:
                  .where(F.col("product").isNotNull()).distinct())
 
 
-def substring_index(products: DataFrame) -> DataFrame:
-    """(product, key) for every substring ``key`` of upper(product).
+def _grams(text: F.Column, length: int) -> F.Column:
+    """The distinct substrings of ``length`` characters; none for a shorter text."""
+    last = F.length(text) - length + 1
+    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(length))))
+                  ).otherwise(F.array().cast("array<string>"))
+
 
-    Size is sum(len^2)/2 over the catalogue: bounded by the name length, not by
-    the number of terms looked up.
-    """
+def gram_postings(products: DataFrame) -> DataFrame:
+    """(product, _up, gram) for every gram of 1 to 3 characters of upper(product)."""
     up = F.upper("product")
-    subs = F.expr("flatten(transform(sequence(1, length(upper(product))), i -> "
-                  "transform(sequence(i, length(upper(product))), j -> "
-                  "substring(upper(product), i, j - i + 1))))")
-    return (products.where(F.length("product") > 0)
-                    .select("product", F.explode(subs).alias("key"), up.alias("_up")).distinct())
+    every = F.concat(_grams(up, 1), _grams(up, 2), _grams(up, 3))
+    return products.select("product").distinct().select("product", up.alias("_up"), F.explode(every).alias("gram"))
+
+
+def containing(keys: DataFrame, products: DataFrame) -> DataFrame:
+    """DF[key, product, _up]: the products whose upper-cased name contains the key; ``keys`` holds distinct,
+    upper-cased keys. An empty key finds nothing."""
+    postings = gram_postings(products)
+    parts = keys.select("key", F.explode(_grams(F.col("key"), 3)).alias("gram")).unionByName(
+        keys.where(F.length("key").between(1, 2)).select("key", F.col("key").alias("gram")))
+    sizes = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    # a gram that no product has rules its key out: its n is NULL and sorts first
+    rarest = (parts.join(sizes, "gram", "left").groupBy("key")
+              .agg(F.min(F.struct("n", "gram")).alias("r")).where(F.col("r.n").isNotNull()).select("key", F.col("r.gram").alias("gram")))
+    return rarest.join(postings, "gram").where(F.contains("_up", "key")).select("key", "product", "_up")
 
 
 def exact_or_substring(terms: DataFrame, products: DataFrame) -> DataFrame:
     """REC-2 steps 1-2: exact case-blind match, else the shortest product that
     contains the term (ties by name). DF[term, product, match_type]."""
-    idx = substring_index(products)
-    hits = terms.select("term", F.upper("term").alias("key")).join(idx, "key")
+    keyed = terms.select("term", F.upper("term").alias("key")).where(F.col("term").isNotNull())
+    hits = keyed.join(containing(keyed.select("key").distinct(), products), "key")
     kind = F.when(F.col("_up") == F.col("key"), F.lit(0)).otherwise(F.lit(1))
     best = (hits.groupBy("term")
                 .agg(F.min(F.struct(kind.alias("k"), F.length("product").alias("l"), F.col("product").alias("p")))
@@ -53,59 +73,37 @@ def exact_or_substring(terms: DataFrame, products: DataFrame) -> DataFrame:
                        F.when(F.col("b.k") == 0, "exact").otherwise("substring").alias("match_type"))
 
 
-def _fuzzy_matcher(catalogue: list[str], cutoff: float):
-    import difflib
-
-    import pandas as pd
-
-    uppers = [p.upper() for p in catalogue]
-    first_by_upper: dict[str, str] = {}
-    for p, u in sorted(zip(catalogue, uppers)):
-        first_by_upper.setdefault(u, p)
-
-    def match(batches):
-        for pdf in batches:
-            out = []
-            for term in pdf["term"]:
-                hit = difflib.get_close_matches(term.upper(), uppers, n=1, cutoff=cutoff)
-                if hit:
-                    s = difflib.SequenceMatcher(None, hit[0], term.upper()).ratio()
-                    out.append((term, first_by_upper[hit[0]], s))
-                else:
-                    out.append((term, None, None))
-            yield pd.DataFrame(out, columns=["term", "product", "score"])
-    return match
-
-
-def fuzzy_match(terms: DataFrame, products: DataFrame, cutoff: float = S.FUZZY_CUTOFF,
-                chunk_rows: int = FUZZY_CHUNK_ROWS) -> DataFrame:
-    """REC-2 step 3: best Ratcliff-Obershelp ratio >= cutoff per term.
-
-    The catalogue is shipped to the tasks in chunks of at most ``chunk_rows``
-    (one pass over the terms per chunk, best kept per term across chunks), so
-    the shipped side is bounded whatever the catalogue size.
-    """
-    schema = T.StructType([T.StructField("term", T.StringType()), T.StructField("product", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
-    prod = products.select("product").distinct().persist()
-    n_chunks = max(1, -(-prod.count() // chunk_rows))
-    prod = prod.withColumn("_chunk", F.pmod(F.xxhash64("product"), F.lit(n_chunks)))
-    parts = []
-    for c in range(n_chunks):
-        # one bounded chunk of names at a time (hash buckets, about chunk_rows each)
-        names = [r[0] for r in prod.where(F.col("_chunk") == c).select("product").collect()]
-        if names:
-            parts.append(terms.select("term").mapInPandas(_fuzzy_matcher(names, cutoff), schema))
-    if not parts:
-        return terms.select("term", F.lit(None).cast("string").alias("product"), F.lit(None).cast("double").alias("score"))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    # the smallest spelling of the largest upper-case name with the best ratio, as within a chunk
-    spelt = (allp.groupBy("term", F.coalesce("score", F.lit(-1.0)).alias("s"), F.upper("product").alias("u"))
-                 .agg(F.min("product").alias("p")))
-    best = spelt.groupBy("term").agg(F.max(F.struct("s", "u", "p")).alias("b"))
-    return best.select("term", F.col("b.p").alias("product"), F.when(F.col("b.s") >= 0, F.col("b.s")).alias("score"))
+def pair_set(text: F.Column) -> F.Column:
+    """The distinct character pairs of the upper-cased text with a blank at both ends."""
+    return _grams(F.concat(F.lit(" "), F.upper(text), F.lit(" ")), 2)
+
+
+def similar_match(terms: DataFrame, products: DataFrame, cutoff: float = S.FUZZY_CUTOFF) -> DataFrame:
+    """REC-2 step 3: per term the product with the highest Dice coefficient >= ``cutoff`` of the character pairs
+    (ties by name). DF[term, product, score], terms with a match only.
+
+    With a and b pairs a match shares at least cutoff * (a + b) / 2 of them, so b
+    is at least a * cutoff / (2 - cutoff), and as many are shared at least: one of
+    them stands among the first a - that + 1 pairs of either name."""
+    least = Fraction(str(cutoff)) / (2 - Fraction(str(cutoff)))
+    bound = lambda c: F.ceil(F.col(c) * F.lit(least.numerator) / F.lit(least.denominator))
+    side = lambda df, name: df.select(name).where(F.col(name).isNotNull()).distinct().withColumn("pairs", pair_set(F.col(name)))
+    left, right = side(terms, "term").persist(), side(products, "product").persist()
+    size = (left.select(F.explode("pairs").alias("gram")).unionByName(right.select(F.explode("pairs").alias("gram")))
+            .groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+
+    def prefix(df: DataFrame, name: str) -> DataFrame:
+        ranked = (df.select(name, F.size("pairs").alias("size"), F.explode("pairs").alias("gram")).join(size, "gram")
+                  .withColumn("_rank", F.row_number().over(Window.partitionBy(name).orderBy("n", "gram"))))
+        return ranked.where(F.col("_rank") <= F.col("size") - bound("size") + 1).select(name, "gram", F.col("size").alias(f"{name}_size"))
+
+    near = F.least("term_size", "product_size") * least.denominator >= F.greatest("term_size", "product_size") * least.numerator
+    pairs = (prefix(left, "term").join(prefix(right, "product"), "gram").where(near).select("term", "product").distinct()
+             .join(left.withColumnRenamed("pairs", "a"), "term").join(right.withColumnRenamed("pairs", "b"), "product"))
+    score = 2.0 * F.size(F.array_intersect("a", "b")) / (F.size("a") + F.size("b"))
+    best = (pairs.select("term", "product", score.alias("score")).where(F.col("score") >= cutoff)
+            .groupBy("term").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("product").alias("p"))).alias("b")))
+    return best.select("term", F.col("b.p").alias("product"), (-F.col("b.s")).alias("score"))
 
 
 def match_products(terms: DataFrame, products: DataFrame, cutoff: float = S.FUZZY_CUTOFF,
@@ -116,8 +114,8 @@ def match_products(terms: DataFrame, products: DataFrame, cutoff: float = S.FUZZ
     direct = exact_or_substring(terms, products)
     rest = terms.join(direct.select("term"), "term", "left_anti")
     if fuzzy:
-        fz = fuzzy_match(rest, products, cutoff).select(
-            "term", "product", F.when(F.col("product").isNotNull(), "fuzzy").otherwise("no_match").alias("match_type"))
+        found = rest.join(similar_match(rest, products, cutoff), "term", "left")
+        fz = found.select("term", "product", F.when(F.col("product").isNotNull(), "fuzzy").otherwise("no_match").alias("match_type"))
     else:
         fz = rest.select("term", F.lit(None).cast("string").alias("product"), F.lit("no_match").alias("match_type"))
     return direct.unionByName(fz)
@@ -158,8 +156,7 @@ def recommend_legend(recs: DataFrame) -> DataFrame:
 
 def browse_products(products: DataFrame, keywords: DataFrame) -> DataFrame:
     """REC-4: products whose upper-cased name contains the upper-cased keyword,
-    via the substring index (an equi-join), sorted."""
-    idx = substring_index(products)
+    via the gram postings (an equi-join), sorted."""
     kw = keywords.select("keyword", F.upper(F.trim("keyword")).alias("key"))
-    return (kw.join(idx, "key").select("keyword", "product").distinct()
-              .orderBy("keyword", "product"))
+    hits = containing(kw.select("key").distinct(), products)
+    return kw.join(hits, "key").select("keyword", "product").distinct().orderBy("keyword", "product")

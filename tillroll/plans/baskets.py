@@ -65,7 +65,18 @@ O.CTES["matched"] = ("""
   FROM (SELECT t.term, p.product, CASE WHEN upper(p.product) = upper(t.term) THEN 0 ELSE 1 END AS k
         FROM terms t JOIN products p ON contains(upper(p.product), upper(t.term))) h
   GROUP BY term""", ("terms", "products"))
-O.CTES["recs"] = (f"""
+_PAIRS = "list_distinct(list_transform(range(1, length({0}) + 2), lambda i: substr(' ' || upper({0}) || ' ', i, 2)))"
+O.CTES["alike"] = (f"""
+  SELECT term, arg_min(product, struct_pack(s := -score, p := product)) AS product, 'fuzzy' AS match_type
+  FROM (SELECT term, product, 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS score
+        FROM (SELECT term, {_PAIRS.format('term')} AS a FROM terms WHERE term NOT IN (SELECT term FROM matched)) t
+        CROSS JOIN (SELECT product, {_PAIRS.format('product')} AS b FROM products) p) x
+  WHERE score >= {S.FUZZY_CUTOFF} GROUP BY term""", ("matched", "products"))
+O.CTES["matched_all"] = ("""
+  SELECT term, product, match_type FROM matched UNION ALL SELECT term, product, match_type FROM alike
+  UNION ALL SELECT term, NULL, 'no_match' FROM terms
+  WHERE term NOT IN (SELECT term FROM matched) AND term NOT IN (SELECT term FROM alike)""", ("matched", "alike"))
+_RECS_SQL = f"""
   SELECT * FROM (
     SELECT *, CAST(row_number() OVER (PARTITION BY term ORDER BY lift DESC, LHS, RHS) AS INTEGER) AS rank FROM (
       SELECT m.term, m.product, m.match_type, 'lhs' AS direction, r.RHS AS recommended,
@@ -79,7 +90,10 @@ O.CTES["recs"] = (f"""
   WHERE rank <= {S.RECOMMEND_TOP_N}
   UNION ALL
   SELECT DISTINCT term, NULL, 'no_match', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM terms
-  WHERE term IS NOT NULL AND term NOT IN (SELECT term FROM matched)""", ("matched", "terms"))
+  WHERE term IS NOT NULL AND term NOT IN (SELECT term FROM matched)"""
+O.CTES["recs"] = (_RECS_SQL, ("matched", "terms"))
+O.CTES["found_all"] = ("SELECT * FROM matched_all WHERE product IS NOT NULL", ("matched_all",))
+O.CTES["recs_all"] = (_RECS_SQL.replace("FROM matched", "FROM found_all"), ("found_all", "terms"))
 
 
 def uk_lines(spark, sf):
@@ -200,15 +214,20 @@ def q_match_products_direct(spark, sf):
     return R.exact_or_substring(search_terms(spark, sf), R.rule_products(rules(spark, sf)))
 
 
-@register("match_products", None, ids=("REC-2", "UDF-5"))
+def matches(spark, sf, fuzzy=True):
+    """The matched terms, a row each: every recommendation query starts from them."""
+    return fixtures.memo(spark, ("matches", sf.rstrip("/"), fuzzy), lambda: R.match_products(
+        search_terms(spark, sf), R.rule_products(rules(spark, sf)), fuzzy=fuzzy))
+
+
+@register("match_products", O.sql("SELECT term, product, match_type FROM matched_all", "matched_all"), ids=("REC-2", "UDF-5"))
 def q_match_products(spark, sf):
-    return R.match_products(search_terms(spark, sf), R.rule_products(rules(spark, sf)))
+    return matches(spark, sf)
 
 
 def _recs(spark, sf, fuzzy=False):
-    """Without ``fuzzy``, what SQL can follow: 'no_match' then says that no exact or substring match exists."""
-    matches = R.match_products(search_terms(spark, sf), R.rule_products(rules(spark, sf)), fuzzy=fuzzy)
-    return R.recommend(matches, rules(spark, sf))
+    """Without ``fuzzy`` the first two steps only: 'no_match' then says that no exact or substring match exists."""
+    return R.recommend(matches(spark, sf, fuzzy), rules(spark, sf))
 
 
 @register("recommend", O.sql("SELECT * FROM recs", "recs"), ids=("REC-3", "JOI-11", "WIN-7"))
@@ -216,21 +235,24 @@ def q_recommend(spark, sf):
     return _recs(spark, sf)
 
 
-@register("recommend_legend", O.sql("""
+_LEGEND_SQL = """
 SELECT term, product, recommended, CAST(round_even(confidence * 100, 0) AS INTEGER) AS conf_pct,
        round_even(lift, 1) AS lift_1, round_even(support * 100, 1) AS support_pct_1
-FROM recs WHERE rank = 1 OR rank IS NULL""", "recs"), ids=("REC-5",))
+FROM recs WHERE rank = 1 OR rank IS NULL"""
+
+
+@register("recommend_legend", O.sql(_LEGEND_SQL, "recs"), ids=("REC-5",))
 def q_recommend_legend(spark, sf):
     return R.recommend_legend(_recs(spark, sf))
 
 
-@register("recommend_fuzzy", None, ids=("REC-2", "REC-3", "UDF-5"))
+@register("recommend_fuzzy", O.sql("SELECT * FROM recs_all", "recs_all"), ids=("REC-2", "REC-3", "UDF-5"))
 def q_recommend_fuzzy(spark, sf):
     """Recommendations after all three matching steps."""
     return _recs(spark, sf, fuzzy=True)
 
 
-@register("recommend_legend_fuzzy", None, ids=("REC-5",))
+@register("recommend_legend_fuzzy", O.sql(_LEGEND_SQL.replace("FROM recs", "FROM recs_all"), "recs_all"), ids=("REC-5",))
 def q_recommend_legend_fuzzy(spark, sf):
     return R.recommend_legend(_recs(spark, sf, fuzzy=True))
 
