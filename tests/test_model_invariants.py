@@ -77,9 +77,8 @@ def test_permutation_importance_of_constant_feature_is_zero(spark):
     asm = VectorAssembler(inputCols=["x", "c"], outputCol="features")
     model = RandomForestRegressor(numTrees=10, seed=1, labelCol="y").fit(asm.transform(df))
 
-    def neg_mse(d):
-        return -d.agg(F.avg((F.col("y") - F.col("prediction")) ** 2)).first()[0]
-
-    imp = dict(permutation_importance(model, df, ["x", "c"], "y", neg_mse, seed=3, assembler=asm))
+    squared = F.avg((F.col("y") - F.col("prediction")) ** 2)
+    imp = {r.feature: r.increase for r in permutation_importance(
+        lambda d: model.transform(asm.transform(d)), df, ["x", "c"], ["y"], squared, seed=3).collect()}
     assert abs(imp["c"]) < 1e-9          # zero up to summation order
     assert imp["x"] > 0.0

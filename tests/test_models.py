@@ -80,18 +80,58 @@ def test_feature_kinds_are_named_not_counted(spark):
     assert kinds(2) == kinds(30) == {"f_quarter", "f_is_weekend"}
 
 
-def test_spike_queries_fit_the_workflows_rounds_and_full_depth(spark, monkeypatch):
+def test_spike_queries_fit_the_workflows_rounds_and_full_depth(spark):
     import inspect
 
     from tillroll import schema as S
     from tillroll.operators import season, spike_models
-    from tillroll.plans import demand
-    from tillroll.sources import fixtures
-    seen = {}
-    monkeypatch.setattr(fixtures, "remember", lambda spark, key, make: make())
-    monkeypatch.setattr(demand, "features", lambda spark, sf: None)
-    monkeypatch.setattr(spike_models, "spike_sets", lambda features: None)
-    monkeypatch.setattr(spike_models, "run_spike_models", lambda sets, **how: seen.update(how))
-    demand.spike_results(spark, "x")
-    assert seen["boost_rounds"] == S.BOOST_TREES == 1000
+    how = inspect.signature(spike_models.SpikeModels).parameters
+    assert how["boost_rounds"].default == S.BOOST_TREES == 1000 and how["forest_trees"].default == S.SPIKE_FOREST_TREES == 500
+    assert how["boost_folds"].default == 5 and how["cp"].default == 0.001
     assert all(inspect.signature(f).parameters["depth"].default == 30 for f in (spike_models.fit_forest, season.bulk_forest))
+
+
+def test_spline_cv_equals_direct_fits(spark):
+    """Against least squares on the rows themselves, fold by fold."""
+    from tillroll.operators.season import PM_KEY, spline_cv
+    rng = np.random.default_rng(4)
+    rows = [("uk_train" if i % 5 else "uk_test", f"c{i}", "d", int(rng.integers(1, 13)), "United Kingdom", int(rng.integers(1, 200))) for i in range(400)]
+    df = spark.createDataFrame(rows, "part string, stock_code string, description string, month_num int, country string, total_qty long")
+    got = {r.dof: r for r in spline_cv(df).collect()}
+    train = df.where("part = 'uk_train'").withColumn("_fold", F.pmod(F.xxhash64(*PM_KEY), F.lit(5))).collect()
+    x, y, fold = (np.array([r[c] for r in train], float) for c in ("month_num", "total_qty", "_fold"))
+    for d in (3, 5, 11):
+        knots, m, s = L.knots_for(df.where("part = 'uk_train'"), "month_num", d)
+        assert np.allclose(knots, np.quantile(x, np.arange(1, d - 2) / (d - 2)) if d > 3 else [])
+        design = np.column_stack([np.ones(len(x)), L.spline_values(x, knots, m, s)])
+        error = 0.0
+        for k in range(5):
+            beta = np.linalg.lstsq(design[fold != k], y[fold != k], rcond=None)[0]
+            error += ((y[fold == k] - design[fold == k] @ beta) ** 2).sum()
+        assert abs(got[d].cv_mse - error / len(x)) < 1e-8 * max(1.0, error / len(x))
+    assert [r.is_best for r in got.values()].count(True) == 1
+
+
+def test_additive_model_matches_penalised_least_squares(spark):
+    from tillroll.operators.season import FEATURES, additive_model, additive_model_df
+    rng = np.random.default_rng(5)
+    part = np.array(["uk_train"] * 300 + ["uk_test"] * 60)
+    x = np.column_stack([rng.integers(1, 13, 360), rng.gamma(2.0, 3.0, 360), rng.integers(1, 30, 360)]).astype(float)
+    y = np.round(20 + 5 * np.sin(x[:, 0]) + 3 * x[:, 2] + rng.normal(size=360))
+    df = spark.createDataFrame([(str(p), int(a), float(b), int(c), int(t)) for p, (a, b, c), t in zip(part, x, y)],
+                               "part string, month_num int, avg_price double, num_invoices int, total_qty long")
+    coefs, errors = additive_model(df)
+    rows = coefs.collect()
+    train, blocks, ridge = part == "uk_train", [np.ones(360)], [0.0]
+    for j, f in enumerate(FEATURES):
+        knots, m, s = L.knots_for(df.where("part = 'uk_train'"), f, 11)
+        own = L.spline_values(x[:, j], sorted(set(knots)), m, s)
+        lam = next(r.penalty for r in rows if r.term == f"{f}_1")
+        blocks += list(own.T)
+        ridge += [0.0] * 3 + [lam] * (own.shape[1] - 3)
+    design = np.column_stack(blocks)
+    beta = np.linalg.solve(design[train].T @ design[train] + np.diag(ridge), design[train].T @ y[train])
+    held = float(((y[~train] - design[~train] @ beta) ** 2).mean())
+    got = errors.collect()
+    assert [(r.part, r.n) for r in got] == [("uk_test", 60)] and abs(got[0].mse - held) < 1e-6 * held
+    assert all(abs(r.effective_df - 4.0) < 1e-6 for r in additive_model_df(df).collect())

@@ -50,13 +50,14 @@ def test_rules_csv_roundtrip(spark):
 
 
 def test_write_splits_partitions_by_table(spark):
-    from tillroll.operators.splits import write_splits
+    from tillroll.operators.splits import read_split, write_splits
     from tillroll.plans.stages import cleaned
     df = cleaned(spark, SF)
     base = tempfile.mkdtemp(prefix="tillroll-test-", dir="/tmp")
     write_splits(df, base)
-    back = spark.read.parquet(os.path.join(base, "splits"))
-    want = {r["split"]: r["n"] for r in split_counts(df).collect() if r["n"]}
+    want = {r["split"]: r["n"] for r in split_counts(df).collect() if r["n"]} | {"cleaned_retail_all": df.count()}
+    back = spark.read.parquet(base)
     assert {r["split"]: r["count"] for r in back.groupBy("split").count().collect()} == want
-    assert spark.read.parquet(os.path.join(base, "cleaned_retail_all")).count() == df.count()
-    assert back.where("split = 'free_items'").count() == want["free_items"]
+    assert sorted(map(str, read_split(spark, base, "cleaned_retail_all").select(*df.columns).collect())) == sorted(map(str, df.collect()))
+    assert read_split(spark, base, "free_items").count() == want["free_items"]
+    assert all(len(os.listdir(os.path.join(base, d))) <= 4 for d in os.listdir(base) if d.startswith("split="))  # with checksum files

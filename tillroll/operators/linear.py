@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .order_stats import quantiles
+
 
 def spline_basis(x: Column, knots: Sequence[float], center: float, scale: float, prefix: str) -> list[Column]:
     """Cubic regression-spline columns (truncated power basis on the
@@ -27,18 +29,44 @@ def spline_basis(x: Column, knots: Sequence[float], center: float, scale: float,
     return cols
 
 
-def knots_for(df: DataFrame, col: str, dof: int) -> tuple[list[float], float, float]:
-    """Interior knots at the (1..d-3)/(d-2) quantiles, plus center and scale.
-    One exact aggregate over the (aggregated, bounded) training rows."""
+def knots_for_all(df: DataFrame, cols: Sequence[str], dof: int) -> dict[str, tuple[list[float], float, float]]:
+    """Per column the interior knots at the (1..d-3)/(d-2) quantiles, plus center and scale.
+    The quantiles are exact, by rank (see ``order_stats``), of all columns at once."""
     n_knots = max(dof - 3, 0)
     probs = [(i + 1) / (n_knots + 1) for i in range(n_knots)]
-    x = F.col(col).cast("double")
-    aggs = [F.avg(x).alias("m"), F.stddev_samp(x).alias("s")]
-    if probs:
-        aggs.append(F.percentile(x, probs).alias("q"))
-    row = df.agg(*aggs).first()
-    scale = row["s"] if row["s"] and row["s"] > 0 else 1.0
-    return ([float(v) for v in row["q"]] if probs else []), float(row["m"]), float(scale)
+    x = {c: F.col(c).cast("double") for c in cols}
+    row = df.agg(*[F.avg(x[c]).alias(f"m_{c}") for c in cols], *[F.stddev_samp(x[c]).alias(f"s_{c}") for c in cols]).first()
+    found = quantiles(df, cols, probs).orderBy("p").collect() if probs else []  # columns x knots
+    out = {}
+    for c in cols:
+        scale = row[f"s_{c}"] if row[f"s_{c}"] and row[f"s_{c}"] > 0 else 1.0
+        out[c] = ([float(r.value) for r in found if r.column == c], float(row[f"m_{c}"]), float(scale))
+    return out
+
+
+def knots_for(df: DataFrame, col: str, dof: int) -> tuple[list[float], float, float]:
+    """``knots_for_all`` of one column."""
+    return knots_for_all(df, [col], dof)[col]
+
+
+def knots_of(x: np.ndarray, n: np.ndarray, dof: int) -> tuple[list[float], float, float]:
+    """``knots_for`` of values ``x`` that occur ``n`` times each (a value may be listed more than once)."""
+    order = np.argsort(x, kind="stable")
+    x, ends = x[order], np.cumsum(n[order])
+    total, n_knots = ends[-1], max(dof - 3, 0)
+    rank = lambda r: x[np.searchsorted(ends, r, side="right")]
+    at = (total - 1) * np.arange(1, n_knots + 1) / (n_knots + 1)
+    low = np.floor(at)
+    knots = rank(low) + (rank(np.ceil(at)) - rank(low)) * (at - low)
+    mean = float((x * n[order]).sum() / total)
+    sd = float(np.sqrt((n[order] * (x - mean) ** 2).sum() / max(total - 1, 1.0)))
+    return knots.tolist(), mean, sd if sd > 0 else 1.0
+
+
+def spline_values(x: np.ndarray, knots: Sequence[float], center: float, scale: float) -> np.ndarray:
+    """The columns of ``spline_basis`` at the values ``x``."""
+    z = (x - center) / scale
+    return np.column_stack([z, z ** 2, z ** 3, *[np.maximum(z - (k - center) / scale, 0.0) ** 3 for k in knots]])
 
 
 def gramian(df: DataFrame, x_cols: Sequence[str], y: str, group: str | None = None) -> dict:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.numeric import ratio, sign_bucket, try_numeric
 from ..functions.text import full_match, icontains, invoice_prefix, starts, strip_code, strip_ws
+from .order_stats import quantiles
 
 
 def _n() -> F.Column:
@@ -204,29 +205,38 @@ def split_candidates(df: DataFrame) -> DataFrame:
     )
 
 
-def crosstab_long(df: DataFrame, a, b, name: str) -> DataFrame:
-    """AGG-6: two-way table in long form DF[table, a, b, n] (values as text)."""
-    return (df.select(a.cast("string").alias("a"), b.cast("string").alias("b"))
-              .groupBy("a", "b").agg(_n().alias("n"))
-              .select(F.lit(name).alias("table"), "a", "b", "n"))
+#: The cross tables of the EDA: name -> its two columns.
+EDA_TABLES = {"prefix_x_return": ("prefix", "ret"), "prefix_x_free": ("prefix", "free"), "special_x_return": ("special", "ret"),
+              "special_x_free": ("special", "free"), "prefix_x_special": ("prefix", "special")}
+
+
+def crosstabs(df: DataFrame, columns: dict[str, F.Column], tables: dict[str, tuple[str, str]]) -> DataFrame:
+    """AGG-6: two-way tables in long form DF[table, a, b, n] (values as text), all from one scan.
+
+    Rows are counted once by all columns; the tables are the grouping sets of those counts."""
+    names = list(columns)
+    counted = (df.select(*[c.cast("string").alias(f"_{name}") for name, c in columns.items()])
+               .groupBy(*[f"_{name}" for name in names]).agg(_n().alias("_rows")))
+    sets = [[F.col(f"_{x}") for x in pair] for pair in tables.values()]
+    out = counted.groupingSets(sets, *[F.col(f"_{name}") for name in names]).agg(F.sum("_rows").alias("n"), F.grouping_id().alias("_set"))
+    # a column's bit is set where the grouping set leaves it out, the first column's bit highest
+    code = {t: sum(1 << (len(names) - 1 - i) for i, name in enumerate(names) if name not in pair) for t, pair in tables.items()}
+
+    def pick(of) -> F.Column:
+        expr = None
+        for t, pair in tables.items():
+            hit = F.col("_set") == code[t]
+            expr = F.when(hit, of(t, pair)) if expr is None else expr.when(hit, of(t, pair))
+        return expr
+
+    return out.select(pick(lambda t, _: F.lit(t)).alias("table"), pick(lambda _, p: F.col(f"_{p[0]}")).alias("a"),
+                      pick(lambda _, p: F.col(f"_{p[1]}")).alias("b"), "n")
 
 
 def eda_crosstabs(df: DataFrame) -> DataFrame:
     """The five invoice-type / return / free / special cross tables of the EDA."""
-    e = eda_frame(df)
-    prefix = invoice_prefix("invoice_no")
-    ret = F.col("quantity") < 0
-    free = F.col("price") == 0
-    special = is_special_stock()
-    parts = [crosstab_long(e, prefix, ret, "prefix_x_return"),
-             crosstab_long(e, prefix, free, "prefix_x_free"),
-             crosstab_long(e, special, ret, "special_x_return"),
-             crosstab_long(e, special, free, "special_x_free"),
-             crosstab_long(e, prefix, special, "prefix_x_special")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return crosstabs(eda_frame(df), {"prefix": invoice_prefix("invoice_no"), "ret": F.col("quantity") < 0, "free": F.col("price") == 0,
+                                     "special": is_special_stock()}, EDA_TABLES)
 
 
 def invoice_qty_mismatch(df: DataFrame) -> DataFrame:
@@ -343,20 +353,18 @@ def sample_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
 
 
 def describe(df: DataFrame, cols) -> DataFrame:
-    """AGG-7: count, mean, sample std, min, linear quartiles, max per column."""
-    rows = []
+    """AGG-7: count, mean, sample std, min, linear quartiles, max per column: one aggregate over all columns, and
+    the quartiles by rank."""
+    cols, stats = list(cols), []
     for c in cols:
         x = F.col(c).cast("double")
-        rows.append(df.agg(
-            F.lit(c).alias("column"), F.count(x).alias("count"),
-            F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_samp(x), 6).alias("std"),
-            F.min(x).alias("min"),
-            F.round(F.percentile(x, 0.25), 6).alias("q25"), F.round(F.percentile(x, 0.5), 6).alias("q50"),
-            F.round(F.percentile(x, 0.75), 6).alias("q75"), F.max(x).alias("max")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        stats.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.round(F.avg(x), 6).alias("mean"),
+                              F.round(F.stddev_samp(x), 6).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")))
+    plain = df.agg(F.array(*stats).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+    at = lambda p: F.round(F.max(F.when(F.col("p") == p, F.col("value"))), 6)
+    ranks = quantiles(df, cols, (0.25, 0.5, 0.75)).groupBy("column").agg(
+        at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"))
+    return plain.join(ranks, "column", "left").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def dcgs_paid(df: DataFrame) -> DataFrame:

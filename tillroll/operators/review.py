@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .order_stats import first_rows
 
 REVIEW_KEYS = ("stock_code", "invoice_date", "invoice_no")
 
 
+def review_columns(df: DataFrame, keys=REVIEW_KEYS) -> list[str]:
+    """Total order: the review keys, then every other raw column."""
+    return [*keys, *[c for c in S.RAW_COLUMNS if c not in keys and c in df.columns]]
+
+
 def review_order(df: DataFrame, keys=REVIEW_KEYS) -> list:
-    """Total order: the review keys, then every other raw column (nulls last)."""
-    rest = [c for c in S.RAW_COLUMNS if c not in keys and c in df.columns]
-    return [F.col(c).asc_nulls_last() for c in (*keys, *rest)]
+    """The total order, nulls last."""
+    return [F.col(c).asc_nulls_last() for c in review_columns(df, keys)]
 
 
 def first_per_code(df: DataFrame, keys=REVIEW_KEYS) -> DataFrame:
@@ -38,7 +43,7 @@ def first_per_code(df: DataFrame, keys=REVIEW_KEYS) -> DataFrame:
 
 def changed_rows(df: DataFrame, n: int = S.REVIEW_CHANGED_ROWS) -> DataFrame:
     """TOP-2: the first n rows whose description changed, in the total order."""
-    return df.where(F.col("description_standardized")).orderBy(*review_order(df)).limit(n)
+    return first_rows(df.where(F.col("description_standardized")), review_columns(df), n)
 
 
 def review_sample(df: DataFrame, n: int = S.REVIEW_CHANGED_ROWS) -> DataFrame:
@@ -65,18 +70,12 @@ def review_metrics(df: DataFrame, review: DataFrame, n: int = S.REVIEW_CHANGED_R
         (F.countDistinct("stock_code") + F.max(F.col("stock_code").isNull().cast("int")))
         .cast("long").alias("unique_stock_codes_in_review"),
     )
-    names = ["total_rows", "review_rows_saved", "unique_stock_codes_in_review", "changed_rows_requested",
-             "rows_in_standardization_map", "rows_actually_changed",
-             "missing_descriptions_after_standardization", "is_clean_product_sale_candidate",
-             "is_cancellation_invoice", "is_admin_invoice", "is_inventory_adjustment", "is_free_item",
-             "is_gift_voucher", "is_dcgs", "is_shipping_fee", "is_manual_product_like_sale",
-             "is_other_special_code"]
     def long(one_row: DataFrame) -> DataFrame:
         cols = one_row.columns
         return (one_row.select(*[F.col(c).cast("long").alias(c) for c in cols])
                        .unpivot([], cols, "metric", "value"))
 
-    requested = rev.select(F.lit(n).cast("long").alias("changed_rows_requested"))
+    requested = df.sparkSession.range(1).select(F.lit(n).cast("long").alias("changed_rows_requested"))
     stacked = long(full).unionByName(long(rev)).unionByName(long(requested))
-    order = F.array_position(F.array(*[F.lit(x) for x in names]), F.col("metric"))
+    order = F.array_position(F.array(*[F.lit(x) for x in S.REVIEW_METRICS]), F.col("metric"))
     return stacked.orderBy(order)

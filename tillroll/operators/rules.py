@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from .demand import market
+from .order_stats import quantiles
 
 RULE_COLUMNS = ("LHS", "RHS", "support", "confidence", "lift")
 
@@ -69,12 +70,15 @@ def top_rules(rules: DataFrame, n: int = S.TOP_RULES) -> DataFrame:
 
 
 def rules_summary(rules: DataFrame) -> DataFrame:
-    """ASC-3: rule count and the spread of support, confidence and lift."""
-    aggs = [F.count(F.lit(1)).alias("n_rules")]
-    for m in ("support", "confidence", "lift"):
-        aggs += [F.round(F.min(m), 9).alias(f"min_{m}"), F.round(F.percentile(m, 0.5), 9).alias(f"median_{m}"),
-                 F.round(F.avg(m), 9).alias(f"mean_{m}"), F.round(F.max(m), 9).alias(f"max_{m}")]
-    return rules.agg(*aggs)
+    """ASC-3: rule count and the spread of support, confidence and lift (medians by rank)."""
+    measures = ("support", "confidence", "lift")
+    aggs, columns = [F.count(F.lit(1)).alias("n_rules")], ["n_rules"]
+    for m in measures:
+        aggs += [F.round(F.min(m), 9).alias(f"min_{m}"), F.round(F.avg(m), 9).alias(f"mean_{m}"), F.round(F.max(m), 9).alias(f"max_{m}")]
+        columns += [f"{x}_{m}" for x in ("min", "median", "mean", "max")]
+    medians = quantiles(rules, measures, (0.5,)).agg(*[
+        F.round(F.max(F.when(F.col("column") == m, F.col("value"))), 9).alias(f"median_{m}") for m in measures])
+    return rules.agg(*aggs).join(medians, F.lit(True)).select(*columns)  # two one-row aggregates
 
 
 def rule_lengths(rules: DataFrame) -> DataFrame:

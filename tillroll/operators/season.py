@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.numeric import ratio
 from .demand import market
-from .evaluate import hash_split
+from .evaluate import hash_split, mse
 
 PM_KEY = ("stock_code", "description", "month_num", "country")
 
@@ -36,10 +36,6 @@ def product_month_split(pm: DataFrame, share: float = S.TRAIN_SHARE, home: str =
 FEATURES = ("month_num", "avg_price", "num_invoices")
 
 
-def _mse(df: DataFrame, y: str = "total_qty", p: str = "prediction") -> float:
-    return float(df.agg(F.avg((F.col(y).cast("double") - F.col(p)) ** 2)).first()[0] or 0.0)
-
-
 def bulk_forest(split: DataFrame, n_trees: int = S.BULK_FOREST_TREES, mtry: int = S.BULK_FOREST_MTRY,
                 seed: int = 1, depth: int = S.FOREST_DEPTH, permutation: bool = True):
     """ML-10 / ML-7 / ML-8 / EVL-3: forest regression of monthly quantity on month,
@@ -57,18 +53,15 @@ def bulk_forest(split: DataFrame, n_trees: int = S.BULK_FOREST_TREES, mtry: int
     model = RandomForestRegressor(numTrees=n_trees, featureSubsetStrategy=str(mtry), maxDepth=depth,
                                   minInstancesPerNode=5, seed=seed, labelCol="total_qty").fit(train)
     scored = model.transform(asm.transform(split.where(F.col("part") != "uk_train")))
-    mse = scored.groupBy("part").agg(F.avg((F.col("total_qty").cast("double") - F.col("prediction")) ** 2)
-                                     .alias("mse"), F.count(F.lit(1)).alias("n"))
-    imp = dict(impurity_importance(model, list(FEATURES)))
-    perm = {}
-    if permutation:
-        test = split.where(F.col("part") == "uk_test")
-        perm = dict(permutation_importance(model, test, list(FEATURES), "total_qty",
-                                           lambda d: -_mse(d), seed=seed, assembler=asm))
-    spark = split.sparkSession
-    importance = spark.createDataFrame([(f, float(imp[f]), float(perm.get(f, float("nan")))) for f in FEATURES],
-                                       "feature string, impurity_importance double, mse_increase double")
-    return mse, importance
+    errors = mse(scored, "total_qty", "prediction", ("part",))
+    importance = split.sparkSession.createDataFrame(
+        [(f, float(v)) for f, v in impurity_importance(model, list(FEATURES))], "feature string, impurity_importance double")
+    if not permutation:
+        return errors, importance.withColumn("mse_increase", F.lit(None).cast("double"))
+    squared = F.avg((F.col("total_qty").cast("double") - F.col("prediction")) ** 2)
+    grown = permutation_importance(lambda d: model.transform(asm.transform(d)), split.where(F.col("part") == "uk_test"),
+                                   list(FEATURES), PM_KEY, squared, seed=seed)
+    return errors, importance.join(grown.withColumnRenamed("increase", "mse_increase"), "feature", "left")
 
 
 def _additive_design(df: DataFrame, specs) -> tuple[DataFrame, list[str]]:
@@ -95,10 +88,7 @@ def additive_model(split: DataFrame, dof: int = S.GAM_DF, features=FEATURES, n_k
 
     from . import linear as L
     train = split.where(F.col("part") == "uk_train")
-    specs = {}
-    for f in features:
-        knots, m, sd = L.knots_for(train, f, n_knots + 3)
-        specs[f] = (sorted(set(knots)), m, sd)
+    specs = {f: (sorted(set(knots)), m, sd) for f, (knots, m, sd) in L.knots_for_all(train, features, n_knots + 3).items()}
     design, names = _additive_design(split, specs)
     g = L.gramian(design.where(F.col("part") == "uk_train"), names, "total_qty")[None]
     xtx, xty, _, n = g
@@ -119,14 +109,12 @@ def additive_model(split: DataFrame, dof: int = S.GAM_DF, features=FEATURES, n_k
         col += k
     beta = L.solve(xtx + penalty, xty)
     pred = design.withColumn("prediction", L.linear_column(beta, names))
-    mse = (pred.where(F.col("part") != "uk_train").groupBy("part")
-               .agg(F.avg((F.col("total_qty").cast("double") - F.col("prediction")) ** 2).alias("mse"),
-                    F.count(F.lit(1)).alias("n")))
+    errors = mse(pred.where(F.col("part") != "uk_train"), "total_qty", "prediction", ("part",))
     term_lambda = {n_: lambdas.get(n_.rsplit("_", 1)[0].rsplit("_k", 1)[0], None) for n_ in names}
     rows = [("intercept", float(beta[0]), None)] + [
         (n_, float(b), term_lambda.get(n_)) for n_, b in zip(names, beta[1:])]
     coefs = split.sparkSession.createDataFrame(rows, "term string, estimate double, penalty double")
-    return coefs, mse
+    return coefs, errors
 
 
 def additive_model_df(split: DataFrame, dof: int = S.GAM_DF, features=FEATURES, n_knots: int = 8) -> DataFrame:
@@ -136,8 +124,7 @@ def additive_model_df(split: DataFrame, dof: int = S.GAM_DF, features=FEATURES,
     from . import linear as L
     train = split.where(F.col("part") == "uk_train")
     rows = []
-    for f in features:
-        knots, m, sd = L.knots_for(train, f, n_knots + 3)
+    for f, (knots, m, sd) in L.knots_for_all(train, features, n_knots + 3).items():
         knots = sorted(set(knots))
         design, names = _additive_design(train, {f: (knots, m, sd)})
         xtx, _, _, n = L.gramian(design, names, "total_qty")[None]
@@ -152,30 +139,31 @@ def additive_model_df(split: DataFrame, dof: int = S.GAM_DF, features=FEATURES,
 def spline_cv(split: DataFrame, dofs=S.SPLINE_DFS, folds: int = S.SPLINE_FOLDS, feature: str = "month_num"):
     """ML-12: k-fold CV error of a regression spline of month for each df.
 
-    One aggregate per df yields every fold's Gramian (groupBy fold); the
-    leave-one-fold-out fit is total minus fold, and the held-out error comes
-    from the fold's own sums, so no model is refit over the rows. Knots come
-    from all training rows. Month has 12 distinct values: coinciding knots make
-    collinear columns, solved by minimum-norm least squares.
-    Returns DF[dof, cv_mse, is_best]."""
+    The feature is a calendar month, so (fold, month) with the number of rows,
+    the sum and the sum of squares of the quantity says all that a fit and its
+    held-out error need: one aggregate of 60 rows feeds every df and fold. The
+    leave-one-fold-out fit is total minus fold. Knots come from all training
+    rows. Month has 12 distinct values: coinciding knots make collinear columns,
+    solved by minimum-norm least squares. Returns DF[dof, cv_mse, is_best]."""
+    import numpy as np
+
     from . import linear as L
-    train = split.where(F.col("part") == "uk_train").withColumn(
-        "_fold", F.pmod(F.xxhash64(*PM_KEY), F.lit(folds)))
+    y = F.col("total_qty").cast("double")
+    cells = (split.where((F.col("part") == "uk_train") & F.col(feature).isNotNull() & y.isNotNull())
+             .groupBy(F.pmod(F.xxhash64(*PM_KEY), F.lit(folds)).alias("fold"), F.col(feature).alias("x"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("ss")).collect())  # folds x months
+    fold, x, n, s, ss = (np.array([r[c] for r in cells], float) for c in ("fold", "x", "n", "s", "ss"))
     rows = []
     for d in dofs:
-        knots, m, s = L.knots_for(train, feature, d)
-        cols = L.spline_basis(F.col(feature), knots, m, s, "b")
-        design = train.select("total_qty", "_fold", *cols)
-        names = [c for c in design.columns if c.startswith("b_")]
-        per_fold = L.gramian(design, names, "total_qty", group="_fold")
-        tot_xx = sum(v[0] for v in per_fold.values())
-        tot_xy = sum(v[1] for v in per_fold.values())
-        n_all = sum(v[3] for v in per_fold.values())
-        err = 0.0
-        for xx, xy, yy, n in per_fold.values():
-            beta = L.solve(tot_xx - xx, tot_xy - xy)
-            err += L.sse(beta, xx, xy, yy)
-        rows.append((int(d), err / max(n_all, 1)))
+        knots, m, sd = L.knots_of(x, n, d)
+        design = np.column_stack([np.ones(len(x)), L.spline_values(x, knots, m, sd)])
+        error = 0.0
+        for k in np.unique(fold):
+            fit, held = fold != k, fold == k
+            beta = L.solve((design[fit].T * n[fit]) @ design[fit], design[fit].T @ s[fit])
+            p = design[held] @ beta
+            error += float((ss[held] - 2 * p * s[held] + n[held] * p * p).sum())
+        rows.append((int(d), error / max(float(n.sum()), 1.0)))
     best = min(rows, key=lambda r: r[1])[0]
     return split.sparkSession.createDataFrame([(d, e, d == best) for d, e in rows],
                                               "dof int, cv_mse double, is_best boolean")

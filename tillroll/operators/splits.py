@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.masks import mask_columns
+from ..sources.io import load_table, write_table
 
 
 def add_masks(df: DataFrame, **codes) -> DataFrame:
@@ -48,12 +49,16 @@ def split_overlap(a: DataFrame, b: DataFrame, keys=("invoice_no", "stock_code"))
                      .alias("overlap_count")))
 
 
-def write_splits(df: DataFrame, base_path: str, tables=S.SPLIT_TABLES) -> None:
-    """SNK-2: the full flagged table plus every subset, from one pass over ``df``.
+def write_splits(df: DataFrame, base_path: str, tables=S.SPLIT_TABLES, all_rows: str = S.ALL_ROWS_TABLE) -> None:
+    """SNK-2: the full flagged table plus every subset, from one scan of ``df`` and in one write.
 
-    The subsets are written partitioned by ``split`` so readers prune to one
-    table; the full table is a separate folder next to it.
-    """
-    df.write.mode("overwrite").parquet(f"{base_path.rstrip('/')}/cleaned_retail_all")
-    split_long(df, tables).write.mode("overwrite").partitionBy("split").parquet(
-        f"{base_path.rstrip('/')}/splits")
+    The full table is one more value of ``split``. Rows are rebalanced by split
+    before the write: a small subset ends in one file, a large one in files of
+    the advisory partition size, and none in a file per input task."""
+    every = split_long(df.withColumn("_all", F.lit(True)), (*tables, (all_rows, "_all"))).drop("_all")
+    write_table(every.hint("rebalance", F.col("split")), base_path, partition_by=["split"])
+
+
+def read_split(spark: SparkSession, base_path: str, name: str) -> DataFrame:
+    """One table of ``write_splits``; only its files are read."""
+    return load_table(spark, base_path).where(F.col("split") == name).drop("split")

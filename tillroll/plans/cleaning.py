@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..operators import clean, review, splits
 from ..sources import fixtures
+from ..sources.io import load_table, stage_path
 from . import oracle as O
 from .catalog import register
 from .stages import cleaned, raw_lines
@@ -118,6 +119,20 @@ def q_split_long(spark, sf):
     return splits.split_long(cleaned(spark, sf))
 
 
+@register("split_tables", O.sql(
+    "SELECT split, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(price) AS DECIMAL(38,2)) AS price, "
+    "count(DISTINCT invoice_no) AS invoices FROM ("
+    + " UNION ALL ".join(f"SELECT {O.q(t)} AS split, * FROM cleaned WHERE {m}" for t, m in S.SPLIT_TABLES)
+    + f" UNION ALL SELECT {O.q(S.ALL_ROWS_TABLE)}, * FROM cleaned) t GROUP BY split", "cleaned"), ids=("SNK-1", "SNK-2", "SRC-2"))
+def q_split_tables(spark, sf):
+    """Write the full table and its subsets into the shared folder in one pass, and add up what is read back."""
+    path = stage_path(spark, "split_tables")
+    splits.write_splits(cleaned(spark, sf), path)
+    return load_table(spark, path, ("split", "quantity", "price", "invoice_no")).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"), F.sum("price").cast("decimal(38,2)").alias("price"),
+        F.countDistinct("invoice_no").alias("invoices"))
+
+
 @register("split_overlap", O.sql("""
 SELECT count(*) AS overlap_count
 FROM (SELECT * FROM cleaned WHERE is_clean_product_sale_candidate) cps

@@ -43,13 +43,14 @@ KMEANS_CHOSEN_K = 4
 KMEANS_STARTS = 20
 SPIKE_TREE_DEPTH = 5
 SPIKE_TREE_MIN_SPLIT = 10
+SPIKE_TREE_CP = 0.001
 SPIKE_COST_NORMAL_AS_HIGH = 3.0
 SPIKE_COST_HIGH_AS_NORMAL = 1.0
 SPIKE_FOREST_TREES = 500
 FOREST_DEPTH = 30  # the most that MLlib allows
 BOOST_TREES = 1000
 BOOST_RATE = 0.01
-BOOST_DEPTH = 2
+BOOST_SPLITS = 2
 BOOST_FOLDS = 5
 BOOST_CUTS = (0.5, 0.3)
 BULK_FOREST_TREES = 100
@@ -70,6 +71,8 @@ SPLIT_TABLES = (
     ("shipping_fees", "is_shipping_fee"),
     ("other_special_rows", "is_other_special_code"),
 )
+# The full flagged table beside them.
+ALL_ROWS_TABLE = "cleaned_retail_all"
 MASK_COLUMNS = (
     "is_admin_invoice",
     "is_cancellation_invoice",
@@ -83,6 +86,26 @@ MASK_COLUMNS = (
     "is_other_special_code",
     "is_clean_product_sale_candidate",
 )
+# Rows of the review summary, in their order.
+REVIEW_METRICS = (
+    "total_rows",
+    "review_rows_saved",
+    "unique_stock_codes_in_review",
+    "changed_rows_requested",
+    "rows_in_standardization_map",
+    "rows_actually_changed",
+    "missing_descriptions_after_standardization",
+    "is_clean_product_sale_candidate",
+    "is_cancellation_invoice",
+    "is_admin_invoice",
+    "is_inventory_adjustment",
+    "is_free_item",
+    "is_gift_voucher",
+    "is_dcgs",
+    "is_shipping_fee",
+    "is_manual_product_like_sale",
+    "is_other_special_code",
+)
 # Workbook header names of the raw extract.
 SOURCE_COLUMNS = ("Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price",
                   "Customer ID", "Country")
