@@ -79,8 +79,8 @@ def test_mix_edge_cases(spark):
 
 def test_tokens_are_those_of_the_tokenizer(spark):
     whole = Tokenizer.from_file(BPE)
-    whole.encode_special_tokens = True
-    odd = ["", "  a\n\n b  ", "naïve café — “quote” 中文 <|endoftext|> I'll x\x1cy\xa0\x85 ½²³ ʼn ΑΒΓ 😀", "don't WE'RE 've \r\n\r\n x", "\x1c\x1c a  b　c"]
+    assert whole.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    odd = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>\n y", "<|endoftext| >", "", "  a\n\n b  ", "naïve café — “quote” 中文 <|endoftext|> I'll x\x1cy\xa0\x85 ½²³ ʼn ΑΒΓ 😀", "don't WE'RE 've \r\n\r\n x", "\x1c\x1c a  b　c"]
     texts = list(enumerate(odd)) + [(100 + k, t) for k, (_, t) in enumerate(edge_texts())]
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
     pieces = packing.tokenise(docs, BPE, 1024, 2, with_ids=True).collect()

@@ -72,7 +72,6 @@ def _word_encoder(path: str):
         core = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         return core.encode_ordinary
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     return lambda word: whole.encode(word, add_special_tokens=False).ids
 
 
@@ -80,12 +79,18 @@ class _Encoder:
     """Text -> token ids as little-endian 32-bit bytes."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
         self.encode = _word_encoder(path)
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self.added = [token["content"] for token in json.load(f).get("added_tokens") or []]
         self.latin, self.wide, self.above = _patterns()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
+        if any(token in text for token in self.added):  # read as one id: words are cut around it by its own rules
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = (self.wide if self.above.search(text) else self.latin).findall(text)
         young = self.young
         try:
