@@ -72,12 +72,18 @@ def validate_customer(df: DataFrame, pattern: str = S.CUSTOMER_PATTERN) -> DataF
     )
 
 
+def customer_examples(df: DataFrame, n: int = 10, pattern: str = S.CUSTOMER_PATTERN) -> DataFrame:
+    """VAL-2: the first n rows, in the total row order, whose customer id is present and not of the known form."""
+    bad = df.where(F.col("customer_id").isNotNull() & ~F.coalesce(full_match(customer_text(), pattern), F.lit(False)))
+    return bad.select(*S.RAW_COLUMNS).orderBy(*[F.col(c).asc_nulls_last() for c in S.RAW_COLUMNS]).limit(n)
+
+
 def validate_amounts(df: DataFrame) -> DataFrame:
-    """VAL-3 / NUM-1: non-numeric counts and sign breakdown of quantity and price."""
-    q, p = F.col("quantity"), F.col("price")
+    """VAL-3 / NUM-1: non-numeric counts and sign breakdown of quantity and price, as text or as numbers."""
+    q, p = try_numeric(F.col("quantity").cast("string")), try_numeric(F.col("price").cast("string"))
     return df.agg(
-        F.count_if(try_numeric(q.cast("string")).isNull()).alias("quantity_non_numeric"),
-        F.count_if(try_numeric(p.cast("string")).isNull()).alias("price_non_numeric"),
+        F.count_if(q.isNull()).alias("quantity_non_numeric"),
+        F.count_if(p.isNull()).alias("price_non_numeric"),
         F.count_if(q < 0).alias("quantity_neg"), F.count_if(q == 0).alias("quantity_zero"),
         F.count_if(q > 0).alias("quantity_pos"),
         F.count_if(p < 0).alias("price_neg"), F.count_if(p == 0).alias("price_zero"),
@@ -190,6 +196,14 @@ def shape_profile(df: DataFrame) -> DataFrame:
     return df.agg(_n().alias("n_rows"), F.lit(len(df.columns)).cast("long").alias("n_columns"))
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """VAL-8: position, name, type and number of present values of every column, from one aggregate."""
+    counts = df.agg(_n().alias("n_rows"), F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
+                 F.count(F.col(f"`{f.name}`")).alias("non_null")) for i, f in enumerate(df.schema.fields)]).alias("c"))
+    return counts.select("n_rows", F.inline("c")).select("position", "name", "type", "non_null", "n_rows")
+
+
 # ----------------------------------------------------------------------------- FLT
 def split_candidates(df: DataFrame) -> DataFrame:
     """FLT-1: returns / free / admin counts, shares and pairwise overlaps."""

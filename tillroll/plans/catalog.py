@@ -32,4 +32,4 @@ def register(name: str, sql: str | None = None, ids: tuple[str, ...] = ()):
 
 def load_all() -> None:
     """Import every plan module so their queries register."""
-    from . import cleaning, profiling, customers, baskets, demand, seasonal, hours  # noqa: F401
+    from . import cleaning, profiling, customers, baskets, demand, seasonal, hours, ingest  # noqa: F401
