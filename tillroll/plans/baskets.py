@@ -4,8 +4,9 @@ Rule queries run FP-growth on the home-market baskets. The test tables are too
 sparse for the workflow's own thresholds (support .01 finds no pair at sf0.01,
 whose most frequent pair has support ~.007), so besides the default-threshold
 query the fixture-level queries use support .002 / confidence .05 (FIXTURES.md).
-The DuckDB oracle counts pairs with a self-join on the invoice, which is exact
-here because no itemset of three is frequent at those thresholds.
+Category-level baskets (first words of the descriptions) have rules of several
+items at the workflow's own thresholds. The DuckDB oracle finds the frequent
+itemsets level by level, whatever their length.
 """
 
 from __future__ import annotations
@@ -34,22 +35,38 @@ O.CTES["item_cnt"] = ("SELECT item, count(*) AS c FROM uk_b GROUP BY item", ("uk
 O.CTES["n_baskets"] = ("SELECT count(DISTINCT invoice_no) AS n FROM uk_b", ("uk_b",))
 
 
-def _pair_rules_sql(support: float, confidence: float) -> str:
-    return f"""
-  SELECT p.lhs AS LHS, p.rhs AS RHS,
-         CAST(p.c AS DOUBLE) / (SELECT n FROM n_baskets) AS support,
-         CAST(p.c AS DOUBLE) / ia.c AS confidence,
-         (CAST(p.c AS DOUBLE) / ia.c) / (CAST(ib.c AS DOUBLE) / (SELECT n FROM n_baskets)) AS lift
-  FROM (SELECT a.item AS lhs, b.item AS rhs, count(*) AS c
-        FROM uk_b a JOIN uk_b b ON a.invoice_no = b.invoice_no AND a.item <> b.item GROUP BY 1, 2) p
-  JOIN item_cnt ia ON p.lhs = ia.item JOIN item_cnt ib ON p.rhs = ib.item
-  WHERE CAST(p.c AS DOUBLE) / (SELECT n FROM n_baskets) >= {support}
-    AND CAST(p.c AS DOUBLE) / ia.c >= {confidence}"""
-
-
-O.CTES["rules_default"] = (_pair_rules_sql(S.RULE_MIN_SUPPORT, S.RULE_MIN_CONFIDENCE),
-                           ("uk_b", "item_cnt", "n_baskets"))
-O.CTES["rules_fx"] = (_pair_rules_sql(FIXTURE_SUPPORT, FIXTURE_CONFIDENCE), ("uk_b", "item_cnt", "n_baskets"))
+def _level_ctes(name: str, lines: str, support: float, confidence: float, max_len: int = S.RULE_MAX_LEN) -> None:
+    """CTEs ``occ_<name>`` and ``rules_<name>``: frequent itemsets level by level, each basket's occurrences extended
+    by its larger items and kept where the longer set is still frequent; a rule per set and item of it."""
+    n = f"(SELECT count(DISTINCT invoice_no) FROM {lines})"
+    often = f"CAST(count(*) OVER (PARTITION BY items) AS DOUBLE) / {n} >= {support}"
+    O.CTES[f"occ_{name}"] = (f"""
+  SELECT * FROM (SELECT [item] AS items, item AS last, invoice_no FROM {lines}) s QUALIFY {often}
+  UNION ALL
+  SELECT * FROM (SELECT list_append(o.items, b.item) AS items, b.item AS last, o.invoice_no
+                 FROM occ_{name} o JOIN {lines} b ON b.invoice_no = o.invoice_no AND b.item > o.last
+                 WHERE len(o.items) < {max_len}) s QUALIFY {often}""", (lines,))
+    O.CTES[f"sets_{name}"] = (f"SELECT items, count(*) AS c FROM occ_{name} GROUP BY items", (f"occ_{name}",))
+    O.CTES[f"rules_{name}"] = (f"""
+  SELECT array_to_string(a.items, ',') AS LHS, s.rhs AS RHS, CAST(s.c AS DOUBLE) / {n} AS support,
+         CAST(s.c AS DOUBLE) / a.c AS confidence, (CAST(s.c AS DOUBLE) / a.c) / (CAST(r.c AS DOUBLE) / {n}) AS lift,
+         a.items AS antecedent
+  FROM (SELECT items, c, unnest(items) AS rhs FROM sets_{name} WHERE len(items) > 1) s
+  JOIN sets_{name} a ON a.items = list_filter(s.items, lambda x: x <> s.rhs)
+  JOIN sets_{name} r ON r.items = [s.rhs]
+  WHERE CAST(s.c AS DOUBLE) / a.c >= {confidence}""", (f"sets_{name}", lines))
+
+
+# category level: a description's first word; dense enough for the workflow's own thresholds and for longer sets
+O.CTES["uk_cat_b"] = (f"""
+  SELECT DISTINCT invoice_no, split_part(description, ' ', 1) AS item FROM sales
+  WHERE country = {_HOME} AND description IS NOT NULL""", ("sales",))
+O.CTES["nouk_cat_b"] = (f"""
+  SELECT DISTINCT invoice_no, split_part(description, ' ', 1) AS item FROM sales
+  WHERE country <> {_HOME} AND description IS NOT NULL""", ("sales",))
+_level_ctes("default", "uk_b", S.RULE_MIN_SUPPORT, S.RULE_MIN_CONFIDENCE)
+_level_ctes("fx", "uk_b", FIXTURE_SUPPORT, FIXTURE_CONFIDENCE)
+_level_ctes("cat", "uk_cat_b", S.RULE_MIN_SUPPORT, S.RULE_MIN_CONFIDENCE)
 O.CTES["top50"] = (f"SELECT * FROM rules_fx ORDER BY lift DESC, LHS, RHS LIMIT {S.HOLDOUT_RULES}", ("rules_fx",))
 O.CTES["terms"] = ("""
   SELECT DISTINCT term FROM (
@@ -179,7 +196,7 @@ def q_rules_summary(spark, sf):
     return A.rules_summary(rules(spark, sf))
 
 
-@register("rule_lengths", O.sql("SELECT 2 AS length, count(*) AS n_rules FROM rules_fx HAVING count(*) > 0",
+@register("rule_lengths", O.sql("SELECT CAST(len(antecedent) + 1 AS INTEGER) AS length, count(*) AS n_rules FROM rules_fx GROUP BY 1",
                                 "rules_fx"), ids=("ASC-3",))
 def q_rule_lengths(spark, sf):
     return A.rule_lengths(rules(spark, sf))
@@ -203,6 +220,50 @@ def q_rule_transfer(spark, sf):
     return A.rule_holdout_confidence(top, nouk_lines(spark, sf))
 
 
+def category_lines(spark, sf, market="UK"):
+    lines = A.basket_lines(clean_sales(spark, sf), market, distinct=False)
+    return lines.withColumn("item", F.split("item", " ").getItem(0))
+
+
+def category_rules(spark, sf):
+    return fixtures.memo(spark, ("category_rules", sf.rstrip("/")), lambda: A.association_rules(
+        A.baskets(category_lines(spark, sf)), S.RULE_MIN_SUPPORT, S.RULE_MIN_CONFIDENCE))
+
+
+@register("category_rules", O.sql(f"SELECT {_R} FROM rules_cat", "rules_cat"), ids=("ASC-1", "STR-8"))
+def q_category_rules(spark, sf):
+    """Rules between categories at the workflow's own thresholds, several items on the left side included."""
+    return category_rules(spark, sf).select(*A.RULE_COLUMNS)
+
+
+@register("category_rule_lengths", O.sql("SELECT CAST(len(antecedent) + 1 AS INTEGER) AS length, count(*) AS n_rules FROM rules_cat GROUP BY 1",
+                                         "rules_cat"), ids=("ASC-3",))
+def q_category_rule_lengths(spark, sf):
+    return A.rule_lengths(category_rules(spark, sf))
+
+
+O.CTES["cat_top"] = (f"SELECT * FROM rules_cat ORDER BY lift DESC, LHS, RHS LIMIT {S.HOLDOUT_RULES}", ("rules_cat",))
+O.CTES["cat_hits"] = ("""
+  SELECT t.LHS, t.RHS, count(*) AS lhs_n, count_if(list_contains(b.items, t.RHS)) AS both_n
+  FROM cat_top t JOIN (SELECT invoice_no, list(item) AS items FROM nouk_cat_b GROUP BY invoice_no) b
+    ON list_has_all(b.items, t.antecedent)
+  GROUP BY t.LHS, t.RHS""", ("cat_top", "nouk_cat_b"))
+O.CTES["cat_known"] = ("SELECT list(DISTINCT item) AS items FROM nouk_cat_b", ("nouk_cat_b",))
+
+
+@register("category_rule_transfer", O.sql("""
+SELECT t.LHS, t.RHS, t.support, t.confidence, t.lift, CAST(h.both_n AS DOUBLE) / h.lhs_n AS nouk_confidence,
+       t.confidence - CAST(h.both_n AS DOUBLE) / h.lhs_n AS confidence_drop
+FROM cat_top t LEFT JOIN (
+  SELECT h.* FROM cat_hits h JOIN cat_top u ON u.LHS = h.LHS AND u.RHS = h.RHS, cat_known k
+  WHERE list_has_all(k.items, list_append(u.antecedent, u.RHS))) h ON h.LHS = t.LHS AND h.RHS = t.RHS""",
+    "cat_top", "cat_hits", "cat_known"), ids=("ASC-2", "JOI-9", "UDF-3"))
+def q_category_rule_transfer(spark, sf):
+    """The strongest category rules on foreign baskets; a left side of several items counts where all of them are."""
+    top = A.top_rules(category_rules(spark, sf), S.HOLDOUT_RULES)
+    return A.rule_holdout_confidence(top, category_lines(spark, sf, "Non-UK").distinct(), strict=False)
+
+
 @register("rule_products", O.sql("SELECT product FROM products", "products"), ids=("REC-1", "SET-3"))
 def q_rule_products(spark, sf):
     return R.rule_products(rules(spark, sf))

@@ -138,4 +138,5 @@ def sql(body: str, *ctes: str, extra: dict[str, str] | None = None) -> str:
     """``WITH <ctes and their deps>, <extra> <body>``; extra CTEs go last in order."""
     parts = [f"{n} AS ({CTES[n][0]}\n)" for n in _order(ctes)]
     parts += [f"{n} AS ({text}\n)" for n, text in (extra or {}).items()]
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    head = "WITH RECURSIVE " if any(p.startswith("occ_") for p in parts) else "WITH "
+    return (head + ",\n".join(parts) + "\n" + body) if parts else body
