@@ -416,15 +416,14 @@ def special_code_summary(df: DataFrame, n: int = 20) -> DataFrame:
 
 
 def descriptions_by_code(df: DataFrame, codes: DataFrame | None = None) -> DataFrame:
-    """AGG-11: sorted distinct descriptions per code, as text joined by ' | '."""
+    """AGG-11: DF[stock_code, description, lines], a row per distinct description of a code: however many a code has,
+    no row grows with them."""
     e = eda_frame(df)
     sub = e.where(is_special_stock() & ~icontains("stock_code", S.DCGS_TOKEN)
-                  & ~icontains("stock_code", S.GIFT_TOKEN))
+                  & ~icontains("stock_code", S.GIFT_TOKEN) & F.col("description").isNotNull())
     if codes is not None:
         sub = sub.join(codes.select("stock_code"), "stock_code", "left_semi")
-    return (sub.groupBy("stock_code")
-               .agg(F.array_size(F.collect_set("description")).alias("n_descriptions"),
-                    F.concat_ws(" | ", F.sort_array(F.collect_set("description"))).alias("descriptions")))
+    return sub.groupBy("stock_code", "description").agg(_n().alias("lines"))
 
 
 def code_customer_presence(df: DataFrame, code: str = "DOT") -> DataFrame:

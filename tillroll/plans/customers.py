@@ -107,3 +107,34 @@ def q_segment_agreement(spark, sf):
     seg = customer_segments(spark, sf)
     hc = G.hierarchical_segments(seg.select("customer_id", "features"), k=S.KMEANS_CHOSEN_K)
     return G.crosstab(seg.join(hc.select("customer_id", "hc"), "customer_id"), "segment", "hc")
+
+
+# Segments by fixed bands instead of a fitted model: the steps after the clustering, checked by SQL.
+RECENCY_BANDS = (30, 90, 365)
+_BAND = "CASE " + " ".join(f"WHEN recency <= {d} THEN {i}" for i, d in enumerate(RECENCY_BANDS)) + f" ELSE {len(RECENCY_BANDS)} END"
+O.CTES["banded"] = (f"""
+  SELECT r.*, s.segment FROM (SELECT *, {_BAND} AS band FROM rfm) r
+  JOIN (SELECT band, CAST(row_number() OVER (ORDER BY avg(CAST(monetary AS DOUBLE)) DESC, band) AS INTEGER) AS segment
+        FROM (SELECT *, {_BAND} AS band FROM rfm) b GROUP BY band) s ON s.band = r.band""", ("rfm",))
+
+
+def banded(spark, sf):
+    rfm = customer_rfm(spark, sf)
+    bands = rfm.select("customer_id", F.expr(_BAND).alias("cluster"))
+    return rfm.join(G.relabel_by_spend(bands, rfm), "customer_id")
+
+
+@register("band_profiles", O.sql("""
+SELECT segment, count(*) AS n_customers, round_even(avg(recency), 0) AS avg_recency, round_even(avg(frequency), 1) AS avg_frequency,
+       round_even(avg(CAST(monetary AS DOUBLE)), 0) AS avg_monetary, round_even(avg(avg_order_value), 0) AS avg_order_value,
+       round_even(avg(avg_basket_size), 1) AS avg_basket_size, round_even(avg(n_products), 0) AS avg_n_products
+FROM banded GROUP BY segment""", "banded"), ids=("AGG-18", "JOI-10", "NUM-6"))
+def q_band_profiles(spark, sf):
+    return G.segment_profiles(banded(spark, sf))
+
+
+@register("band_agreement", O.sql("SELECT segment, least(frequency, 10) AS orders, count(*) AS n FROM banded GROUP BY ALL", "banded"),
+          ids=("ML-4", "AGG-6"))
+def q_band_agreement(spark, sf):
+    rows = banded(spark, sf).withColumn("orders", F.least(F.col("frequency"), F.lit(10).cast("long")))
+    return G.crosstab(rows, "segment", "orders")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .. import schema as S
 from ..operators import demand as D
+from ..operators import evaluate as E
 from ..sources import fixtures
 from . import oracle as O
 from .catalog import register
@@ -112,6 +113,53 @@ def q_spike_split(spark, sf):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+# Evaluation of a predictor that needs no fit: tomorrow will be as today.
+O.CTES["persistence"] = ("SELECT *, least(total_quantity / (2 * spike_threshold), 1.0) AS p_high FROM features", ("features",))
+
+
+def persistence(spark, sf):
+    from pyspark.sql import functions as F
+    return features(spark, sf).withColumn("p_high", F.least(F.col("total_quantity") / (2 * F.col("spike_threshold")), F.lit(1.0)))
+
+
+@register("persistence_confusion", O.sql("""
+SELECT market, demand_spike AS predicted, next_day_spike AS actual, count(*) AS n FROM persistence GROUP BY ALL""", "persistence"),
+          ids=("EVL-1",))
+def q_persistence_confusion(spark, sf):
+    return E.confusion(persistence(spark, sf), "demand_spike", "next_day_spike", ("market",))
+
+
+@register("persistence_metrics", O.sql("""
+SELECT market, n, ok / n AS accuracy, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END AS precision,
+       CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END AS recall, (n - ok) / n AS error_rate, round(brier, 9) AS brier
+FROM (SELECT market, count(*) AS n, count_if(demand_spike = next_day_spike) AS ok,
+             count_if(demand_spike = 'High' AND next_day_spike = 'High') AS tp,
+             count_if(demand_spike = 'High' AND next_day_spike <> 'High') AS fp,
+             count_if(demand_spike <> 'High' AND next_day_spike = 'High') AS fn,
+             avg(pow(CASE WHEN next_day_spike = 'High' THEN 1.0 ELSE 0.0 END - p_high, 2)) AS brier
+      FROM persistence GROUP BY market) t""", "persistence"), ids=("EVL-2", "EVL-3"))
+def q_persistence_metrics(spark, sf):
+    from pyspark.sql import functions as F
+    out = E.classification_metrics(persistence(spark, sf), "demand_spike", "next_day_spike", by=("market",), probability="p_high")
+    return out.withColumn("brier", F.round("brier", 9))
+
+
+@register("persistence_mse", O.sql("""
+SELECT market, round(avg(pow(CAST(total_quantity AS DOUBLE) - lag1_quantity, 2)), 3) AS mse, count(*) AS n
+FROM features GROUP BY market""", "features"), ids=("EVL-3",))
+def q_persistence_mse(spark, sf):
+    from pyspark.sql import functions as F
+    return E.mse(features(spark, sf), "total_quantity", "lag1_quantity", ("market",)).withColumn("mse", F.round("mse", 3))
+
+
+@register("persistence_weeks", O.sql("""
+SELECT week_of_the_year, count(*) AS predicted_spike_days FROM persistence
+WHERE market = 'UK' AND demand_spike = 'High' GROUP BY 1""", "persistence"), ids=("AGG-27",))
+def q_persistence_weeks(spark, sf):
+    from pyspark.sql import functions as F
+    return D.spike_weeks(persistence(spark, sf).where(F.col("market") == "UK"), "demand_spike")
+
+
 @register("spike_model_comparison", None, ids=("ML-5", "ML-6", "ML-9", "EVL-2", "EVL-3", "EVL-4", "CND-1"))
 def q_spike_model_comparison(spark, sf):
     return spike_models(spark, sf).comparison()

@@ -372,10 +372,9 @@ def q_special_code_summary(spark, sf):
 
 
 @register("descriptions_by_code", O.sql("""
-SELECT stock_code, count(DISTINCT description) AS n_descriptions,
-       COALESCE(string_agg(DISTINCT description, ' | ' ORDER BY description), '') AS descriptions
-FROM other_special WHERE stock_code IN (SELECT stock_code FROM special_summary)
-GROUP BY stock_code""", "special_summary"), ids=("AGG-11",))
+SELECT stock_code, description, count(*) AS lines
+FROM other_special WHERE stock_code IN (SELECT stock_code FROM special_summary) AND description IS NOT NULL
+GROUP BY stock_code, description""", "special_summary"), ids=("AGG-11",))
 def q_descriptions_by_code(spark, sf):
     raw = raw_lines(spark, sf)
     return P.descriptions_by_code(raw, P.special_code_summary(raw))
