@@ -17,9 +17,15 @@ dd.mm.yyyy and dd/mm/yyyy between 1900-01-01 and 2079-06-05, and mm/dd/yyyy wher
 it can't be dd/mm/yyyy (then the new day is over 12 too); phone numbers in
 the North American form (the last ten digits change, so a country code stays).
 
-In digit groups joined by single spaces or hyphens, a card is whole groups: the
-leftmost that have a right check digit, the fewest first; the search goes on after
-it. Where new digits would move that choice, the cards of the run are permuted again.
+In digit groups joined by single spaces or hyphens, a card is whole groups with a
+right check digit. Groups in the form of a card (``LAYOUTS``, one separator
+throughout) come first, form by form and from the left; what they leave is
+searched for other groups of 13 to 19 digits, from the left and fewest first. So
+the choice does not depend on numbers beside a card in such a form, and its
+pseudonym is the same there as alone. The one exception are further groups of
+four right before it, joined by the same separator: where new digits make those
+and the card's first groups a card themselves, the cards of the run are permuted
+again, which keeps the inverse exact, and get other pseudonyms than alone.
 
 Defined results: NULL text stays NULL and has no match. What fails its
 validation stays as it is. Repeated rows are treated alike. An empty table gives
@@ -49,8 +55,12 @@ ANY = "|".join(pattern for _, pattern in KINDS)
 ROUNDS = 10
 #: How many numbers the two halves of an SSN, a date and an address take (898 areas, 99 groups, 9999 serials).
 SSN, DAYS, ADDRESS = (898 * 99, 9999), (256, 256), (65536, 65536)
-#: The same for dates with a day over 12; how often the cards of a run are permuted at most.
-LATE_DAYS, WALK = (85, 467), 30
+#: The same for dates with a day over 12.
+LATE_DAYS = (85, 467)
+#: How cards are written, the first that fits first: 13 to 19 digits in one group, else these groups.
+LAYOUTS = (None, (4, 4, 4, 4), (4, 6, 5), (4, 4, 4, 4, 3))
+#: How often the cards of a run are permuted before it counts as an error; each time fails with about one in ten.
+WALK = 60
 LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
 
@@ -116,22 +126,44 @@ def _bind(x: Column, f) -> Column:
 
 
 def _cards(m: Column) -> Column:
-    """The cards in a run of digit groups: array<struct<at, n>>, in digits from 0."""
-    def scan(groups: Column) -> Column:
-        def at(i: Column) -> Column:
-            sizes = F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i))
-            windows = F.transform(sizes, lambda k: F.struct(k.alias("k"), F.array_join(F.slice(groups, i + 1, k), "").alias("d")))
-            return F.get(F.filter(windows, lambda x: F.length(x["d"]).between(13, 19) & (
-                _luhn(F.left(x["d"], F.length(x["d"]) - 1)) == F.right(x["d"], F.lit(1)))), F.lit(0))
-
-        empty = F.array().cast("array<struct<at:int,n:int>>")
-        start = F.struct(F.lit(0).alias("free"), F.lit(0).alias("now"), empty.alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, lambda s, i: _bind(
-            F.when(i >= s["free"], at(i)), lambda x: F.struct(
-                F.coalesce(i + x["k"], s["free"]).alias("free"), (s["now"] + F.length(F.get(groups, i))).alias("now"),
-                F.when(x["k"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(F.struct(
-                    s["now"].alias("at"), F.length(x["d"]).alias("n"))))).alias("out"))), lambda s: s["out"])
-    return _bind(F.split(m, "[ -]"), scan)
+    """The cards in a run of digit groups: array<struct<at, n>>, in digits from 0, ordered."""
+    window = "struct<rank:int,i:int,k:int>"
+
+    def scan(groups: Column, marks: Column) -> Column:
+        sizes, n = F.transform(groups, F.length), F.size(groups)
+        digits = lambda i, k: F.array_join(F.slice(groups, i + 1, k), "")
+        right = lambda d: F.length(d).between(13, 19) & (_luhn(F.left(d, F.length(d) - 1)) == F.right(d, F.lit(1)))
+
+        def written(rank: int, shape: tuple[int, ...] | None) -> Column:
+            k = len(shape or (0,))
+            def fits(i: Column) -> Column:
+                if shape is None:
+                    return F.get(sizes, i).between(13, 19)
+                return (F.slice(sizes, i + 1, k) == F.array(*map(F.lit, shape))) & (
+                    F.size(F.array_distinct(F.slice(marks, i + 1, k - 1))) <= 1)
+            at = F.filter(F.sequence(F.lit(0), n - 1), fits)
+            return F.transform(at, lambda i: F.struct(F.lit(rank).alias("rank"), i.alias("i"), F.lit(k).alias("k")))
+
+        def first(out: Column, w: Column) -> Column:
+            meets = F.exists(out, lambda o: (o["i"] < w["i"] + w["k"]) & (w["i"] < o["i"] + o["k"]))
+            return F.when(~meets & right(digits(w["i"], w["k"])), F.concat(out, F.array(w))).otherwise(out)
+
+        def rest(taken: Column) -> Column:
+            def at(s: Column, i: Column) -> Column:
+                end = F.coalesce(F.array_min(F.filter(F.transform(taken, lambda o: o["i"]), lambda x: x >= i)), n)
+                sized = F.filter(F.sequence(F.lit(0), F.least(F.lit(19), end - i)), lambda k: (k > 0) & right(digits(i, k)))
+                inside = F.exists(taken, lambda o: (o["i"] <= i) & (i < o["i"] + o["k"]))
+                return _bind(F.when((i >= s["free"]) & ~inside, F.get(sized, F.lit(0))), lambda k: F.when(k.isNull(), s).otherwise(F.struct(
+                    (i + k).alias("free"), F.concat(s["out"], F.array(F.struct(F.lit(9).alias("rank"), i.alias("i"), k.alias("k")))).alias("out"))))
+            start = F.struct(F.lit(0).alias("free"), taken.alias("out"))
+            return F.aggregate(F.sequence(F.lit(0), n - 1), start, at, lambda s: s["out"])
+
+        windows = F.concat(*[written(rank, shape) for rank, shape in enumerate(LAYOUTS)])
+        chosen = _bind(F.aggregate(windows, F.array().cast(f"array<{window}>"), first), rest)
+        place = lambda i: F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), lambda a, x: a + x)
+        return F.array_sort(F.transform(chosen, lambda w: F.struct(place(w["i"]).alias("at"), F.length(digits(w["i"], w["k"])).alias("n"))))
+    return _bind(F.struct(F.split(m, "[ -]").alias("groups"), F.filter(F.split(m, r"\d+"), lambda c: c != "").alias("marks")),
+                 lambda x: scan(x["groups"], x["marks"]))
 
 
 def _valid(kind: str, m: Column) -> Column:
@@ -203,7 +235,8 @@ def _swap(kind: str, m: Column, key: str, invert: bool) -> Column:
 
     return bind(_cards(m), lambda cards: F.aggregate(
         F.sequence(F.lit(1), F.lit(WALK)), F.struct(m.alias("out"), F.lit(False).alias("done")), lambda s, _: F.when(s["done"], s).otherwise(
-            bind(once(s["out"], cards), lambda w: F.struct(w.alias("out"), (_cards(w) == cards).alias("done")))), lambda s: s["out"]))
+            bind(once(s["out"], cards), lambda w: F.struct(w.alias("out"), (_cards(w) == cards).alias("done")))),
+        lambda s: F.when(s["done"], s["out"]).otherwise(F.raise_error(F.lit("a run of digit groups found no stable pseudonym")).cast("string"))))
 
 
 def _late(y: Column, mo: Column, d: Column, run) -> Column:
