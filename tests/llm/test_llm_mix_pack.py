@@ -14,29 +14,69 @@ from tillroll.llm import mixing, packing, sharding
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def brute_schedule(share):
+def brute_schedule(weight, slots):
     """Slot by slot: the released block with the earliest deadline."""
-    slots, done, out = sum(share), [0] * len(share), []
+    total, done, out = sum(weight), [0] * len(weight), []
     for t in range(slots):
-        ready = [(-(-(done[s] + 1) * slots // w), s) for s, w in enumerate(share) if done[s] * slots // w <= t]
+        ready = [(-(-(done[s] + 1) * total // w), s) for s, w in enumerate(weight) if done[s] * total // w <= t]
         out.append(min(ready)[1])
         done[out[-1]] += 1
     return out
 
 
-@pytest.mark.parametrize("share", [[500, 300, 200], [997, 1, 1, 1], [7], [90] + [1] * 30])
-def test_cycle_is_earliest_deadline_first_and_within_a_block(spark, share):
-    got = [r.pos for r in mixing.cycle(spark, share).orderBy("cycle_slot").collect()]
-    assert got == brute_schedule(share)
-    seen = [0] * len(share)
+def one_phase(weight, slots):
+    total = sum(weight)
+    return [{"phase": 0, "start": 0, "slots": slots, "total": total, "first": [0] * len(weight), "weight": weight,
+             "taken": [slots] * len(weight)}]
+
+
+ZIPF = list(mixing.whole_weights({f"{k:02}": 1 / k for k in range(1, 31)}).values())
+
+
+@pytest.mark.parametrize("weight, slots", [([1, 1, 1], 2500), ([5, 3, 2], 1700), ([997, 1, 1, 1], 3100), ([7], 10), (ZIPF, 3300), ([90] + [1] * 30, 2100)])
+def test_schedule_is_earliest_deadline_first_and_within_a_block(spark, weight, slots):
+    rows = mixing.schedule(spark, one_phase(weight, slots)).orderBy("slot").collect()
+    got = [r.pos for r in rows]
+    assert got == brute_schedule(weight, slots) and all(r.release <= r.slot < r.deadline for r in rows)
+    seen = [0] * len(weight)
     for t, s in enumerate(got, 1):
+        assert rows[t - 1].block == seen[s]
         seen[s] += 1
-        assert all(abs(n - w * t / sum(share)) < 1 for n, w in zip(seen, share))
+        assert all(abs(n * sum(weight) - w * t) < sum(weight) for n, w in zip(seen, weight))
+
+
+def test_zipf_weights_hold_over_fifty_thousand_blocks(spark):
+    """Against the weights 1/k themselves, not their whole parts."""
+    harmonic = sum(1 / k for k in range(1, 31))
+    got = [r.pos for r in mixing.schedule(spark, one_phase(ZIPF, 50_000)).orderBy("slot").collect()]
+    counts = np.cumsum(np.eye(30, dtype=int)[got], axis=0)
+    line = np.outer(np.arange(1, 50_001), [1 / k / harmonic for k in range(1, 31)])
+    assert np.abs(counts - line).max() < 1.01  # rounding to PARTS adds at most 0.003 here
 
 
-def test_shares_add_up():
-    assert mixing.shares({"a": 1, "b": 1, "c": 1}, 1000) in ({"a": 334, "b": 333, "c": 333},)
-    assert sum(mixing.shares({str(i): 10.0**-i for i in range(20)}, 1000).values()) == 1000
+def test_cycles_with_a_short_start_are_made_again(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CYCLE", 50)
+    weight = [31, 17, 5, 3]
+    got = [r.pos for r in mixing.schedule(spark, one_phase(weight, 400), warm=1).orderBy("slot").collect()]
+    assert got == brute_schedule(weight, 400)
+
+
+def test_weights_become_whole_numbers():
+    assert mixing.whole_weights({"a": 1, "b": 1.0, "c": 0}) == {"a": 1, "b": 1}
+    assert mixing.whole_weights({"a": 0.5, "b": 0.3, "c": 0.2}) == {"a": 5, "b": 3, "c": 2}
+    odd = mixing.whole_weights({"a": 2 ** 0.5, "b": 1e-12})
+    assert odd["b"] == 1 and abs(odd["a"] - mixing.PARTS) <= 1 and mixing.whole_weights({}) == {}
+
+
+def test_phases_use_every_block_once():
+    rnd = random.Random(3)
+    for _ in range(200):
+        n = rnd.randint(1, 12)
+        blocks, weight = [rnd.randint(1, 60) for _ in range(n)], [rnd.randint(1, 40) for _ in range(n)]
+        out = mixing.phases(blocks, weight)
+        assert len(out) <= n and [sum(p["taken"][s] for p in out) for s in range(n)] == blocks
+        for p in out:
+            assert all(t <= w * p["slots"] / p["total"] for t, w in zip(p["taken"], p["weight"]))
 
 
 def test_mix_follows_its_weights(spark):
@@ -49,6 +89,7 @@ def test_mix_follows_its_weights(spark):
         if r.scheduled:
             plan[r.slot][r.source] += 1
     assert sorted(plan) == list(range(len(plan))) and all(len(x) == 1 for x in plan.values())
+    assert len(plan) >= 125 / 0.5 - 2  # source a has 125 blocks
     seen = Counter()
     for t in range(len(plan)):
         seen[next(iter(plan[t]))] += 1
@@ -68,6 +109,28 @@ def test_pipeline_mix_keeps_every_document(spark):
     assert sum(sources[i] == "hot" for i in got[ended:]) > 100
 
 
+def test_first_sequences_follow_the_mix(spark):
+    """Whatever the documents' stored order, the sequences' sources follow the target from the first one on."""
+    from tillroll.llm.common import stage
+    rnd = random.Random(6)
+    sources = ["hot"] * 6000 + ["b"] * 3000 + ["c"] * 3000
+    docs = spark.createDataFrame([(i, " ".join("word" for _ in range(rnd.randint(150, 250))), s) for i, s in enumerate(sources)],
+                                 "doc_id long, text string, source string")
+    mixed = stage(corpus_pipeline.mix_stage(spark, docs.orderBy("source"), ""), "test-mixed")
+    packed = corpus_pipeline.pack_stage(spark, mixed, "").collect()
+    assert sorted(r.doc_id for r in packed) == list(range(12_000))
+    order = [r.doc_id for r in mixed.select("doc_id", "_metadata.file_name", "_metadata.row_index").orderBy("file_name", "row_index").collect()]
+    place = {d: k for k, d in enumerate(order)}
+    by_sequence = [place[r.doc_id] for r in sorted(packed, key=lambda r: (r.sequence_id, r.offset))]
+    assert max(abs(a - b) for a, b in enumerate(by_sequence)) <= 2 * 4096
+    total = 6000 ** 0.7 + 2 * 3000 ** 0.7
+    ids = sorted({r.sequence_id for r in packed})
+    head = set(ids[:800])
+    first = Counter(sources[r.doc_id] for r in packed if r.sequence_id in head)
+    n = sum(first.values())
+    assert abs(first["hot"] / n - 6000 ** 0.7 / total) < 0.03 and abs(first["b"] / n - 3000 ** 0.7 / total) < 0.03
+
+
 def test_mix_edge_cases(spark):
     rows = mixing.mix(edge_docs(spark)).collect()
     assert len(rows) == len(edge_texts())

@@ -1,50 +1,61 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 A source's documents, in the order of a seeded hash, form blocks of
-``block_rows``. Weights are whole shares a of a cycle of H slots. Block i of a
-source may run from slot floor(i H / a) and is due by ceil((i + 1) H / a); the
-slot goes to the released block with the earliest deadline. The shares add up
-to H, so every deadline is met, and at every slot each source is within less
-than one block of its target. The schedule repeats after H slots: one cycle is
-folded over the slots in SQL, and block i has slot (i div a) H + its slot in the
-cycle. Nothing else is sequential.
-
-The mix lasts until a source with at least ``least_share`` of the target has no
-block left; ``scheduled`` rows lie before that. Smaller sources may end
-earlier. Rows beyond keep their (later) slots: in the order of slots, where those
-of exhausted sources are passed over, the remaining sources go on in proportion
-to their weights. ``mixed_rows`` gives the mix alone or, with ``whole``, these
-rows after it.
+``block_rows`` documents. A source's target weight w is a ratio of whole numbers. Its block i
+may run from slot floor(i / w) and is due by ceil((i + 1) / w); every slot goes
+to the released block with the earliest deadline. The weights add up to 1, so
+every deadline is met, and at every slot each source is within less than one
+block of its target, over the whole stream.
+
+The schedule is made in cycles of ``CYCLE`` slots, each folded over its slots in
+SQL and all side by side. What a cycle needs to know is how many blocks each
+source had before it. It finds that out by itself: it starts ``warm`` slots early
+from an apportioned guess, whose difference the deadlines iron out. Every seam is
+checked: if the state that a cycle begins with isn't the one that the cycle before ended with,
+all are made again from twice as far back (from slot 0 at the latest), so the
+result is the one schedule that a single pass over all slots would give.
+
+Once a source has run out, the others go on by their weights: a phase ends where
+the first of its sources does, and the next has the windows of those left.
+``scheduled`` rows lie in the first phase, before the first slot that could miss
+a block. ``mixed_rows`` gives these alone or, with ``whole``, all rows.
 
 Defined results: a NULL source is a source of its own. A source with weight 0
 or none has NULL slots and is not scheduled; one without rows is left out and
 the others' weights scaled up. Repeated rows and NULL ids count as rows like
 others. An empty table gives an empty result. Only id and source are read.
+Blocks count documents, not bytes or tokens. More than MAX_SOURCES sources raise
+an error.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import math
+from fractions import Fraction
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stage
 from .ranks import positions
 
-#: Slots of a cycle (at least four a source), rows that one window sorts on average, most sources.
-RESOLUTION, BUCKET_ROWS, MAX_SOURCES = 1000, 1024, 10_000
+#: Slots of a cycle, slots that it starts early, rows that one window sorts on average, most sources.
+CYCLE, WARM, BUCKET_ROWS, MAX_SOURCES = 1000, 250, 1024, 2_000
+#: Weights that aren't whole numbers or simple ratios are rounded to so many parts in all.
+PARTS = 1 << 24
 
 
-def shares(weights: dict[str, float], slots: int) -> dict[str, int]:
-    """Whole shares that add up to ``slots``, by largest remainder; at least 1 for a weight above 0."""
-    total = sum(weights.values())
-    exact = {s: w / total * slots for s, w in weights.items() if w > 0}
-    whole = {s: max(1, int(x)) for s, x in exact.items()}
-    while (gap := slots - sum(whole.values())):
-        step = 1 if gap > 0 else -1
-        pool = [s for s in whole if whole[s] + step >= 1]
-        for s in sorted(pool, key=lambda s: (-step * (exact[s] - whole[s]), s))[:abs(gap)]:
-            whole[s] += step
-    return whole
+def whole_weights(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in the ratio of the weights above 0: exact where so many parts are enough, else rounded to PARTS."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items() if w > 0}
+    scale = math.lcm(*(f.denominator for f in exact.values()))
+    whole = {s: int(f * scale) for s, f in exact.items()}
+    common = math.gcd(*whole.values())
+    if sum(whole.values()) <= PARTS * common:
+        return {s: x // common for s, x in whole.items()}
+    total = sum(exact.values())
+    return {s: max(1, round(f / total * PARTS)) for s, f in exact.items()}
 
 
 def power_weights(counts: dict[str, int], power: float) -> dict[str, float]:
@@ -52,26 +63,86 @@ def power_weights(counts: dict[str, int], power: float) -> dict[str, float]:
     return {s: n**power for s, n in counts.items()}
 
 
-def _local(spark: SparkSession, rows: list[Column]) -> DataFrame:
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
-def cycle(spark: SparkSession, share: list[int]) -> DataFrame:
-    """(pos, nth, cycle_slot): earliest-deadline-first over one cycle, folded in SQL."""
-    slots = sum(share)
-    arr = f"array({', '.join(map(str, share))})"
-    ready = (f"filter(transform({arr}, (w, s) -> named_struct('due', ((state.n[s] + 1) * {slots} + w - 1) div w, "
-             f"'pos', s, 'from', (state.n[s] * {slots}) div w)), x -> x.from <= t)")
-    step = (f"aggregate(array(array_min({ready}).pos), state, (a, p) -> named_struct("
-            "'n', transform(a.n, (c, s) -> if(s = p, c + 1, c)), 'picks', concat(a.picks, array(p))))")
-    fold = (f"aggregate(sequence(0, {slots - 1}), named_struct('n', array_repeat(0, {len(share)}), "
-            f"'picks', cast(array() AS array<int>)), (state, t) -> {step}).picks")
-    one = spark.range(1).select(F.posexplode(F.expr(fold)).alias("cycle_slot", "pos"))
-    return one.selectExpr("pos", "row_number() OVER (PARTITION BY pos ORDER BY cycle_slot) - 1 AS nth", "cycle_slot")
+def phases(blocks: list[int], weight: list[int]) -> list[dict]:
+    """The stretches between the ends of sources: first slot, slots, and per source its first block and number of blocks.
+
+    A source takes part while it has blocks left; a phase ends with the first of its sources."""
+    left, start, first, out = list(blocks), 0, [0] * len(blocks), []
+    while any(left):
+        total = sum(w for w, n in zip(weight, left) if n)
+        slots = min(-(-n * total // w) for w, n in zip(weight, left) if n)
+        taken = [min(n, w * slots // total) if n else 0 for w, n in zip(weight, left)]
+        out.append({"phase": len(out), "start": start, "slots": slots, "total": total, "first": list(first), "taken": taken,
+                    "weight": [w if n else 0 for w, n in zip(weight, left)]})
+        left = [n - t for n, t in zip(left, taken)]
+        first = [f + t for f, t in zip(first, taken)]
+        start += slots
+    return out
+
+
+def _table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A small table from the driver, as one literal."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
+PHASES = "phase:int,start:bigint,slots:bigint,total:bigint,first:array<bigint>,taken:array<bigint>,weight:array<bigint>"
+
+#: A source without weight in its phase takes no part.
+_BLOCKS = ("transform(weight, (w, s) -> if(w = 0, NULL, named_struct('due', ((x.n[s] + 1) * total + w - 1) div w, 'pos', s, "
+           "'from', (x.n[s] * total) div w)))")
+
+
+def _fold(first: str, last: str, state: str, keep: bool) -> str:
+    """EDF over the slots first .. last - 1 from ``state``; ``keep``: with the picks (slot, pos, block)."""
+    ready = f"array_min(filter({_BLOCKS}, b -> b.from <= t))"
+    # from a wrong guess no block may be released: then the earliest of all goes
+    pick = f"coalesce({ready}, array_min(filter({_BLOCKS}, b -> b IS NOT NULL))).pos"
+    picks = "concat(a.picks, array(named_struct('slot', t, 'pos', p, 'block', a.n[p])))" if keep else "a.picks"
+    step = (f"aggregate(array({pick}), x, (a, p) -> named_struct('n', transform(a.n, (c, s) -> if(s = p, c + 1, c)), 'picks', {picks}))")
+    begin = f"named_struct('n', {state}, 'picks', cast(array() AS array<struct<slot:bigint,pos:int,block:bigint>>))"
+    return f"if({first} >= {last}, {begin}, aggregate(sequence({first}, {last} - 1), {begin}, (x, t) -> {step}))"
+
+
+def _guess(slot: str) -> str:
+    """Blocks per source before ``slot``: whole parts, and one more for those that are due first."""
+    base = f"transform(weight, w -> (w * {slot}) div total)"
+    late = (f"transform(array_sort(filter(transform(weight, (w, s) -> if(w = 0 OR (w * {slot}) % total = 0, NULL, "
+            f"named_struct('due', ((((w * {slot}) div total) + 1) * total + w - 1) div w, 'pos', s))), b -> b IS NOT NULL)), b -> b.pos)")
+    more = f"slice({late}, 1, cast({slot} - aggregate({base}, 0L, (a, x) -> a + x) AS int))"
+    return f"transform({base}, (n, s) -> if(array_contains({more}, s), n + 1, n))"
+
+
+def cycles(spark: SparkSession, stretches: list[dict], warm: int = WARM) -> DataFrame:
+    """(phase, cycle, before, picks, after): every cycle's schedule with the blocks per source before and after it."""
+    rows = _table(spark, stretches, PHASES).select("*", F.explode(F.expr(f"sequence(0L, (slots - 1) div {CYCLE})")).alias("cycle"))
+    rows = rows.repartition("phase", "cycle").withColumns({
+        "begin": F.col("cycle") * CYCLE, "end": F.least((F.col("cycle") + 1) * CYCLE, "slots"),
+        "early": F.greatest(F.col("cycle") * CYCLE - warm, F.lit(0).cast("long"))})
+    rows = rows.withColumn("guess", F.expr(_guess("early")))
+    rows = rows.withColumn("before", F.expr(_fold("early", "begin", "guess", False)).getField("n"))
+    rows = rows.withColumn("made", F.expr(_fold("begin", "end", "before", True)))
+    return rows.select("phase", "cycle", "before", F.col("made.picks").alias("picks"), F.col("made.n").alias("after"))
+
+
+def schedule(spark: SparkSession, stretches: list[dict], warm: int = WARM) -> DataFrame:
+    """(pos, block, slot, release, deadline): the slot of every block in the whole stream."""
+    longest = max(p["slots"] for p in stretches)
+    while True:
+        made = stage(cycles(spark, stretches, warm), "mix-cycles")
+        next_one = made.select("phase", (F.col("cycle") - 1).alias("cycle"), F.col("before").alias("expected"))
+        if warm >= longest or not made.join(next_one, ["phase", "cycle"]).filter("after <> expected").limit(1).count():
+            break
+        warm *= 2
+    of = _table(spark, stretches, PHASES)
+    rows = made.select("phase", F.inline("picks")).join(F.broadcast(of), "phase").filter("block < taken[pos]")
+    window = lambda text: (F.col("start") + F.expr(text)).alias
+    return rows.select("pos", (F.expr("first[pos]") + F.col("block")).alias("block"), (F.col("start") + F.col("slot")).alias("slot"),
+                       window("(block * total) div weight[pos]")("release"),
+                       window("((block + 1) * total + weight[pos] - 1) div weight[pos]")("deadline"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.7, block_rows: int = 4,
-        least_share: float = 0.01, seed: int = 7, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+        seed: int = 7, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """Per row: id, source, block, release, deadline, slot, place (in the whole stream), scheduled."""
     spark = docs.sparkSession
     named = F.when(F.col(source_col).isNull(), "null").otherwise(F.concat(F.lit("="), F.col(source_col).cast("string")))
@@ -81,41 +152,28 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     if len(counted) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources: map them to fewer first")
     counts = {r.mix_source: r.n for r in counted}
-    own = power_weights(counts, power) if weights is None else {
-        s: weights.get(None if s == "null" else s[1:], 0.0) for s in counts}
-    share = shares(own, max(RESOLUTION, 4 * len(counts))) if any(own.values()) else {}
-    names, slots = sorted(share), sum(share.values())
-    schema = "id long, source string, block long, release long, deadline long, slot long, place long, scheduled boolean"
+    own = whole_weights(power_weights(counts, power) if weights is None else {
+        s: weights.get(None if s == "null" else s[1:], 0.0) for s in counts})
+    names = sorted(own)
     if not counts:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "id long, source string, block long, release long, deadline long, slot long, place long, scheduled boolean")
 
-    table = _local(spark, [F.struct(
-        F.lit(s).alias("mix_source"), F.lit(names.index(s) if s in share else -1).alias("pos"),
-        F.lit(share.get(s)).cast("long").alias("share"), F.lit(1 + n // BUCKET_ROWS).alias("buckets"))
-        for s, n in counts.items()])
+    table = _table(spark, [{"mix_source": s, "pos": names.index(s) if s in own else -1, "buckets": 1 + n // BUCKET_ROWS}
+                           for s, n in counts.items()], "mix_source:string,pos:int,buckets:bigint")
     ranked = positions(rows.join(F.broadcast(table), "mix_source"), ["mix_source"],
                        F.pmod(F.col("h"), F.col("buckets")), ["h", "id"], "rank")
-    block = F.floor(F.col("rank") / block_rows)
-    ranked = ranked.withColumn("block", block).withColumn("nth", F.col("block") % F.col("share"))
-    if not share:
-        pattern = spark.range(0).selectExpr("cast(id AS int) AS pos", "id AS nth", "cast(id AS int) AS cycle_slot")
-        end = 0
+    ranked = ranked.withColumn("block", F.floor(F.col("rank") / block_rows))
+    if names:
+        stretches = phases([-(-counts[s] // block_rows) for s in names], [own[s] for s in names])
+        one = stretches[0]  # a source's first block beyond its part of the phase can't run earlier than this
+        end = min(t * one["total"] // w for t, w in zip(one["taken"], one["weight"]) if w)
+        made = schedule(spark, stretches)
     else:
-        pattern = cycle(spark, [share[s] for s in names])
-        at = {(r.pos, r.nth): r.cycle_slot for r in pattern.collect()}  # one cycle
-        ends = {}
-        for s in names:
-            blocks = -(-counts[s] // block_rows)
-            ends[s] = blocks // share[s] * slots + at[names.index(s), blocks % share[s]]
-        main = [s for s in names if share[s] >= least_share * slots] or names
-        end = min(ends[s] for s in main)
-    slot = F.floor(F.col("block") / F.col("share")) * slots + F.col("cycle_slot")
-    return (ranked.join(F.broadcast(pattern), ["pos", "nth"], "left").withColumn("slot", slot).select(
+        end, made = 0, spark.range(0).selectExpr("cast(id AS int) AS pos", "id AS block", "id AS slot", "id AS release", "id AS deadline")
+    return ranked.join(made, ["pos", "block"], "left").select(
         "id", F.when(F.col("mix_source") != "null", F.expr("substring(mix_source, 2)")).alias("source"), "block",
-        F.floor(F.col("block") * slots / F.col("share")).alias("release"),
-        F.ceil((F.col("block") + 1) * slots / F.col("share")).alias("deadline"), "slot",
-        (F.col("slot") * block_rows + F.col("rank") % block_rows).alias("place"),
-        F.coalesce(F.col("slot") < end, F.lit(False)).alias("scheduled")))
+        "release", "deadline", "slot", (F.col("slot") * block_rows + F.col("rank") % block_rows).alias("place"),
+        F.coalesce(F.col("slot") < end, F.lit(False)).alias("scheduled"))
 
 
 def mixed_rows(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.7, block_rows: int = 4,

@@ -6,7 +6,8 @@ sequence are cut, into full pieces; the first piece takes the remainder.
 
 Pieces are dealt at random into groups of about ``group_pieces`` rows, packed
 independently and in parallel: a group's memory is bounded, and it wastes at
-most about one sequence. In a group, a bin takes the longest piece, then the
+most about one sequence. Where the documents have an order to keep, groups are
+runs of neighbours in it. In a group, a bin takes the longest piece, then the
 longest that still fits, and so on. If room is left, the bin's smallest piece is
 replaced by two unpacked pieces that fit the expanded gap more tightly.
 
@@ -25,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_of
+from .common import partitions, stage, text_of
 
 #: The byte-level vocabulary's pre-token pattern, for texts with no character above U+024F
 #: (letters, numbers and white space of that range), and for others.
@@ -119,30 +121,36 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
     return ([(0, first)] if first else []) + [(s, size) for s in range(first, n, size)]
 
 
-def _tokenise(path: str, size: int, end_id: int, with_ids: bool):
+def _tokenise(path: str, size: int, end_id: int, with_ids: bool, order: list[str]):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, tail = _encoder(path), int(end_id).to_bytes(4, "little")
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            of: list[int] = []
+            for at, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 coded = encoder.ids(text) + tail
                 for k, (start, length) in enumerate(cut(len(coded) // 4, size)):
                     own = coded[4 * start:4 * (start + length)]
                     rows.append((doc, k, start, length, zlib.crc32(own), own if with_ids else None))
+                    of.append(at)
             cols = list(zip(*rows)) if rows else [[]] * 6
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             keep = 6 if with_ids else 5
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols[:keep], types)], names=names[:keep])
+            along = [batch.column(2 + i).take(pa.array(of, pa.int64())) for i in range(len(order))]
+            yield pa.record_batch([*(pa.array(c, t) for c, t in zip(cols[:keep], types)), *along], names=names[:keep] + order)
     return pieces
 
 
 def tokenise(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, id_col: str = "doc_id",
-             text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Pieces of every document: doc_id, piece, start, length, ids_crc32 and, if asked, the ids (32-bit, little-endian)."""
+             text_col: str = "text", with_ids: bool = False, order: dict[str, Column] | None = None) -> DataFrame:
+    """Pieces of every document: doc_id, piece, start, length, ids_crc32 and, if asked, the ids (32-bit, little-endian);
+    the columns of ``order`` go along."""
+    order = order or {}
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), *[c.alias(n) for n, c in order.items()])
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-            .mapInArrow(_tokenise(tokenizer, size, end_id, with_ids), schema))
+    schema += "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return rows.mapInArrow(_tokenise(tokenizer, size, end_id, with_ids, list(order)), schema)
 
 
 def best_two_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,7 +226,44 @@ def pack(pieces: DataFrame, size: int = 1024, group_pieces: int = 4096) -> DataF
     return dealt.groupBy("pack_group").applyInArrow(_pack(size), schema)
 
 
+def _pack_runs(size: int, group_pieces: int, dropped: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of ``group_pieces`` rows of a sorted partition, packed each; sequences are numbered in order."""
+        held, rows, at = [], 0, TaskContext.get().partitionId() << 32
+
+        def packed(run: pa.Table) -> list[pa.RecordBatch]:
+            nonlocal at
+            bins, offset = best_two_fit(run.column("length").to_numpy(), size)
+            out = run.drop_columns(dropped).append_column("sequence_id", pa.array(bins + at, pa.int64())).append_column(
+                "offset", pa.array(offset, pa.int64()))
+            at += int(bins.max()) + 1
+            return out.to_batches()
+
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            while rows >= group_pieces:
+                whole = pa.Table.from_batches(held)
+                yield from packed(whole.slice(0, group_pieces))
+                held, rows = whole.slice(group_pieces).to_batches(), rows - group_pieces
+        if rows:
+            yield from packed(pa.Table.from_batches(held))
+    return run
+
+
+def pack_in_order(pieces: DataFrame, order: list[str], size: int = 1024, group_pieces: int = 4096) -> DataFrame:
+    """As ``pack``, but groups are runs of neighbours in ``order`` and sequence ids follow it, so that what the order
+    mixes stays mixed; the order's columns are dropped."""
+    keys = [*order, "piece"]
+    kept = [f for f in pieces.schema if f.name not in order]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, offset long"
+    return (pieces.repartitionByRange(partitions(pieces.sparkSession), *keys).sortWithinPartitions(*keys)
+            .mapInArrow(_pack_runs(size, group_pieces, order), schema))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, id_col: str = "doc_id",
-                   text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Tokenise, cut and pack: one row per piece with its place."""
-    return pack(stage(tokenise(docs, tokenizer, size, end_id, id_col, text_col, with_ids), "pack-pieces"), size)
+                   text_col: str = "text", with_ids: bool = False, order: dict[str, Column] | None = None) -> DataFrame:
+    """Tokenise, cut and pack: one row per piece with its place. With ``order`` (name -> column, in turn; no name of a
+    piece's column) sequences follow that order of the documents, else documents are dealt at random."""
+    pieces = stage(tokenise(docs, tokenizer, size, end_id, id_col, text_col, with_ids, order), "pack-pieces")
+    return pack_in_order(pieces, list(order), size) if order else pack(pieces, size)
