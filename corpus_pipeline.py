@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from tillroll.llm.common import stage, table
@@ -41,9 +42,10 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece with its sequence and place."""
+    """A row per piece with its sequence and place; sequences follow the order in which the mix wrote its documents."""
     import public_tokenizers
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE, END_ID)
+    written = {"mix_file": F.col("_metadata.file_name"), "mix_row": F.col("_metadata.row_index")}
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE, END_ID, order=written)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
