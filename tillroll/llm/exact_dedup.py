@@ -155,9 +155,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns; one row per id and text."""
+    """The rows of ``docs`` that stay, with their own columns; one row per id and text. Where an id and text repeat
+    with other values in other columns, the row whose other columns come first as JSON stays."""
     gone = exact_dedup(docs, id_col, text_col).filter("not kept").select(
         F.col("id").alias("_gone_id"), F.unhex("text_sha256").alias("_gone_sha")).distinct()
     same = (F.col(id_col).cast("long").eqNullSafe(F.col("_gone_id"))
             & (F.unhex(F.sha2(text_of(text_col), 256)) == F.col("_gone_sha")))
-    return docs.join(gone, same, "left_anti").dropDuplicates([id_col, text_col])
+    kept = docs.join(gone, same, "left_anti")
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    if not rest:
+        return kept.dropDuplicates([id_col, text_col])
+    others = F.struct(*[F.col(f"`{c}`") for c in rest])
+    one = kept.groupBy(id_col, text_col).agg(F.min_by(others, F.to_json(others)).alias("_others"))
+    return one.select(*[F.col(f"`{c}`") if c in (id_col, text_col) else F.col(f"_others.`{c}`") for c in docs.columns])
