@@ -342,6 +342,13 @@ def family_profile(df: DataFrame, families=("DCGS", "GIFT")) -> DataFrame:
     return top.unionByName(distinct_codes)
 
 
+def code_families(df: DataFrame) -> DataFrame:
+    """FLT-5: rows, distinct codes and distinct invoices per code family."""
+    e = eda_frame(df)
+    return e.groupBy(code_family().alias("family")).agg(
+        _n().alias("n_rows"), F.countDistinct("stock_code").alias("n_codes"), F.countDistinct("invoice_no").alias("n_invoices"))
+
+
 def paid_family_checks(df: DataFrame) -> DataFrame:
     """AGG-9: description presence on paid gift/DCGS rows, ebay/update, zero-price DCGS."""
     e = eda_frame(df)

@@ -306,6 +306,14 @@ def q_family_profile(spark, sf):
     return P.family_profile(raw_lines(spark, sf))
 
 
+@register("code_families", O.sql(f"""
+SELECT CASE WHEN {_dcgs} THEN 'DCGS' WHEN {_gift} THEN 'GIFT' WHEN {_wide_special} THEN 'OTHER_SPECIAL' ELSE 'NORMAL' END AS family,
+       count(*) AS n_rows, count(DISTINCT stock_code) AS n_codes, count(DISTINCT invoice_no) AS n_invoices
+FROM eda GROUP BY 1""", "eda"), ids=("FLT-5",))
+def q_code_families(spark, sf):
+    return P.code_families(raw_lines(spark, sf))
+
+
 @register("paid_family_checks", O.sql(f"""
 SELECT count_if(g AND paid) AS gift_paid_rows, count_if(g AND paid AND blank) AS gift_paid_blank_description,
        count_if(d AND paid) AS dcgs_paid_rows, count_if(d AND paid AND blank) AS dcgs_paid_blank_description,
