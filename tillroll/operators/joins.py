@@ -4,20 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup side is broadcast only when its counted size stays below this many
-# rows; above it the join falls back to a shuffle join (sort-merge, with AQE's
+# A lookup side is broadcast only when its values take at most this many bytes;
+# above it the join falls back to a shuffle join (sort-merge, with AQE's
 # skew-join splitting a hot key).
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def sized_broadcast(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Persist a lookup table, count it, and hint a broadcast only if small.
+def row_bytes(df: DataFrame) -> F.Column:
+    """About what a row takes in a hash table: 16 bytes a column and the length of its texts."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
+             if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    return sum(texts, F.lit(16 * len(df.columns))).cast("long")
+
+
+def sized_broadcast(side: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Persist a lookup table, measure it, and hint a broadcast only if small.
 
     The side is derived data (one row per stock code, hour, rule ...), so its
-    row count does not follow the fact table; the count is a cheap action on an
-    already persisted aggregate and reuses the blocks for the join itself.
+    size does not follow the fact table; measuring is a cheap action on an
+    already persisted aggregate and reuses the blocks for the join itself. The
+    planner's own estimate of an aggregate is its input's size, far too large.
     """
     side = side.persist()
-    n = side.count()
-    return F.broadcast(side) if n <= max_rows else side
+    size = side.agg(F.sum(row_bytes(side))).first()[0] or 0
+    return F.broadcast(side) if size <= max_bytes else side

@@ -94,11 +94,11 @@ def rule_holdout_confidence(rules: DataFrame, holdout_lines: DataFrame, strict:
     workflow, otherwise its items must all be in the basket. The rule side is
     broadcast only when its counted size is small (a top-n list is).
     """
-    from .joins import DEFAULT_MAX_BROADCAST_ROWS
+    from .joins import MAX_BROADCAST_BYTES, row_bytes
     r = rules.withColumn("_rid", F.concat_ws("\u0001", "LHS", "RHS")).persist()
-    # rule-side tables hold at most rules x (max_len + 1) rows: broadcast them
-    # only when that counted bound is small, else plain shuffle joins
-    small = r.count() * (S.RULE_MAX_LEN + 1) <= DEFAULT_MAX_BROADCAST_ROWS
+    # rule-side tables hold a rule's id at most max_len + 1 times: broadcast them
+    # only when that measured bound is small, else plain shuffle joins
+    small = (r.agg(F.sum(row_bytes(r))).first()[0] or 0) * (S.RULE_MAX_LEN + 1) <= MAX_BROADCAST_BYTES
     bc = F.broadcast if small else (lambda d: d)
     ante = r.select("_rid", F.explode("antecedent").alias("item"), F.size("antecedent").alias("_k"))
     lhs_hits = (holdout_lines.join(bc(ante), "item")
