@@ -37,7 +37,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import partitions, stage
 from .ranks import positions
 
 #: Slots of a cycle, slots that it starts early, rows that one window sorts on average, most sources.
@@ -115,7 +115,8 @@ def _guess(slot: str) -> str:
 def cycles(spark: SparkSession, stretches: list[dict], warm: int = WARM) -> DataFrame:
     """(phase, cycle, before, picks, after): every cycle's schedule with the blocks per source before and after it."""
     rows = _table(spark, stretches, PHASES).select("*", F.explode(F.expr(f"sequence(0L, (slots - 1) div {CYCLE})")).alias("cycle"))
-    rows = rows.repartition("phase", "cycle").withColumns({
+    # few bytes but long to make: a number of partitions keeps them from being put together in one task
+    rows = rows.repartition(partitions(spark), "phase", "cycle").withColumns({
         "begin": F.col("cycle") * CYCLE, "end": F.least((F.col("cycle") + 1) * CYCLE, "slots"),
         "early": F.greatest(F.col("cycle") * CYCLE - warm, F.lit(0).cast("long"))})
     rows = rows.withColumn("guess", F.expr(_guess("early")))
