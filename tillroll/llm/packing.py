@@ -81,9 +81,8 @@ class _Encoder:
     """Text -> token ids as little-endian 32-bit bytes."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        self.path, self.whole = path, None
         self.encode = _word_encoder(path)
-        self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             self.added = [token["content"] for token in json.load(f).get("added_tokens") or []]
         self.latin, self.wide, self.above = _patterns()
@@ -92,6 +91,9 @@ class _Encoder:
 
     def ids(self, text: str) -> bytes:
         if any(token in text for token in self.added):  # read as one id: words are cut around it by its own rules
+            if self.whole is None:  # few workers ever see such a text
+                from tokenizers import Tokenizer
+                self.whole = Tokenizer.from_file(self.path)
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = (self.wide if self.above.search(text) else self.latin).findall(text)
         young = self.young
