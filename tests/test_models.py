@@ -135,3 +135,28 @@ def test_additive_model_matches_penalised_least_squares(spark):
     got = errors.collect()
     assert [(r.part, r.n) for r in got] == [("uk_test", 60)] and abs(got[0].mse - held) < 1e-6 * held
     assert all(abs(r.effective_df - 4.0) < 1e-6 for r in additive_model_df(df).collect())
+
+
+def test_kmeans_starts_share_their_passes(spark):
+    """20 starts of three K take a job per round, not per start and round, and end where MLlib's own fits end."""
+    from pyspark.ml.clustering import KMeans
+
+    from tillroll.operators.segments import kmeans_many
+    rng = np.random.default_rng(8)
+    data = np.concatenate([rng.normal(c, 0.6, size=(60, 2)) for c in ((0, 0), (3, 0), (0, 3), (3, 3))])
+    pts = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(data)], "customer_id long, features vector").repartition(3).persist()
+    sc = spark.sparkContext
+    tracked = sc.statusTracker()
+    sc.setJobGroup("kmeans", "kmeans")
+    fits = kmeans_many(pts, (2, 3, 4), n_start=6, parallelism=1)
+    jobs = len(tracked.getJobIdsForGroup("kmeans"))
+    sc.setJobGroup("other", "other")
+    for k, fit in fits.items():
+        whole = [KMeans(k=k, initMode="random", seed=197000 + i, maxIter=200, tol=1e-4).fit(pts).summary for i in range(6)]
+        assert abs(fit.summary.trainingCost - min(m.trainingCost for m in whole)) < 1e-6
+        if k == 4:
+            alone = sum(m.numIter for m in whole)
+    drawn = 18 * 6  # jobs that draw the starts, at most
+    assert jobs <= drawn + 60 and alone > 6
+    near = ((data[:, None, :] - np.array(fits[4].clusterCenters())[None]) ** 2).sum(2).argmin(1)
+    assert [r.cluster for r in fits[4].transform(pts).orderBy("customer_id").collect()] == near.tolist()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -119,26 +120,103 @@ def first_components(scores: DataFrame, m: int, col: str = "scores", out: str =
     return scores.withColumn(out, array_to_vector(F.slice(vector_to_array(col), 1, m)))
 
 
-def kmeans_best(points: DataFrame, k: int, n_start: int = S.KMEANS_STARTS, seed: int = 197,
-                features: str = "features", max_iter: int = 200, tol: float = 1e-4, parallelism: int = 8):
-    """ML-2: the MLlib K-means with the least within SS of ``n_start`` random starts (the first of equals).
-
-    Every start runs until no centre moves by ``tol``; one that ``max_iter`` ends before is
-    told apart by ``model.summary.numIter == max_iter``. The workflow's own K-means
-    updates centres in another way, so local optima can differ. ``parallelism`` starts
-    submit their jobs at a time."""
+class KMeansFit:
+    """Centres of the best start with its within SS and number of rounds (``summary``, as MLlib's model has them)."""
+
+    def __init__(self, centers, cost: float, rounds: int, features: str):
+        self._centers, self._features = centers, features
+        self.summary = SimpleNamespace(trainingCost=cost, numIter=rounds)
+
+    def clusterCenters(self) -> list:
+        return list(self._centers)
+
+    def transform(self, points: DataFrame) -> DataFrame:
+        """``points`` with the number of the nearest centre, ``cluster`` (the first of equals)."""
+        from pyspark.ml.functions import vector_to_array
+        v = vector_to_array(self._features)
+        far = F.array(*[sum(((v[i] - F.lit(float(x))) * (v[i] - F.lit(float(x))) for i, x in enumerate(c)), F.lit(0.0))
+                        for c in self._centers])
+        return points.withColumn("_far", far).withColumn(
+            "cluster", (F.array_position("_far", F.array_min("_far")) - 1).cast("int")).drop("_far")
+
+
+def _round_sums(centers: dict):
+    """Per task and start: rows, within SS and sum of the points of every cluster."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        total: dict = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+            for start, c in centers.items():
+                far = ((x[:, None, :] - c[None]) ** 2).sum(2)
+                near = far.argmin(1)
+                sums = np.zeros((len(c), x.shape[1] + 2))
+                sums[:, 0] = np.bincount(near, minlength=len(c))
+                sums[:, 1] = np.bincount(near, far[np.arange(len(x)), near], len(c))
+                for i in range(x.shape[1]):
+                    sums[:, i + 2] = np.bincount(near, x[:, i], len(c))
+                total[start] = total.get(start, 0.0) + sums
+        yield pa.record_batch([pa.array([s[0] for s in total], pa.int32()), pa.array([s[1] for s in total], pa.int32()),
+                               pa.array([sums.tobytes() for sums in total.values()], pa.binary())], names=["k", "start", "sums"])
+    return run
+
+
+def kmeans_many(points: DataFrame, ks: Iterable[int], n_start: int = S.KMEANS_STARTS, seed: int = 197,
+                features: str = "features", max_iter: int = 200, tol: float = 1e-4, parallelism: int = 8) -> dict[int, KMeansFit]:
+    """ML-2: per K the K-means (Lloyd) with the least within SS of ``n_start`` random starts (the first of equals).
+
+    MLlib draws the centres of every start. All starts of all K then move in the
+    same pass over the points, a job per round instead of one per start and
+    round; a start leaves when no centre moves by ``tol``; one that ``max_iter``
+    ends before is told apart by ``summary.numIter == max_iter``. A task sends a
+    row per start to the driver, and tasks are bounded by the cores. The
+    workflow's own K-means updates centres in another way, so local optima can
+    differ. ``parallelism`` starts are drawn at a time."""
     from multiprocessing.pool import ThreadPool
 
+    import numpy as np
     from pyspark import inheritable_thread_target
     from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import vector_to_array
 
-    def fit(start: int):
-        return KMeans(k=k, initMode="random", seed=seed * 1000 + start, maxIter=max_iter, tol=tol,
-                      featuresCol=features, predictionCol="cluster").fit(points)
-
-    with ThreadPool(min(parallelism, n_start)) as pool:
-        models = pool.map(inheritable_thread_target(points.sparkSession)(fit), range(n_start))
-    return min(models, key=lambda model: model.summary.trainingCost)
+    spark = points.sparkSession
+
+    def draw(start: tuple[int, int]):
+        return np.array(KMeans(k=start[0], initMode="random", seed=seed * 1000 + start[1], maxIter=0,
+                               featuresCol=features, predictionCol="cluster").fit(points).clusterCenters())
+
+    starts = [(k, i) for k in sorted(ks) for i in range(n_start)]
+    with ThreadPool(min(parallelism, len(starts))) as pool:
+        centers = dict(zip(starts, pool.map(inheritable_thread_target(spark)(draw), starts)))
+    arrays = points.select(vector_to_array(features).alias("v")).coalesce(2 * spark.sparkContext.defaultParallelism)
+    moving, costs, rounds = set(starts), dict.fromkeys(starts, 0.0), dict.fromkeys(starts, 0)
+    for _ in range(max_iter):
+        if not moving:
+            break
+        found = arrays.mapInArrow(_round_sums({s: centers[s] for s in sorted(moving)}), "k int, start int, sums binary").collect()
+        total: dict = {}
+        for r in found:  # tasks x starts, in the order of the partitions
+            s = (r.k, r.start)
+            total[s] = total.get(s, 0.0) + np.frombuffer(r.sums).reshape(len(centers[s]), -1)
+        for s, sums in total.items():
+            new, held = centers[s].copy(), sums[:, 0] > 0
+            new[held] = sums[held, 2:] / sums[held, :1]
+            rounds[s] += 1
+            costs[s] = float(sums[:, 1].sum())
+            if (((new - centers[s]) ** 2).sum(1) <= tol * tol).all():
+                moving.remove(s)
+            centers[s] = new
+    best = {k: min((s for s in starts if s[0] == k), key=costs.get) for k in sorted(ks)}
+    return {k: KMeansFit(centers[s], costs[s], rounds[s], features) for k, s in best.items()}
+
+
+def kmeans_best(points: DataFrame, k: int, *args, **kwargs) -> KMeansFit:
+    """``kmeans_many`` of one K."""
+    return kmeans_many(points, (k,), *args, **kwargs)[k]
 
 
 def assign_clusters(points: DataFrame, model) -> DataFrame:
@@ -159,12 +237,12 @@ def total_ss(points: DataFrame, features: str = "features") -> float:
 
 
 def kmeans_sweep(points: DataFrame, ks=S.KMEANS_KS, n_start: int = S.KMEANS_STARTS, seed: int = 197,
-                 features: str = "features", max_iter: int = 200, fit=kmeans_best):
+                 features: str = "features", max_iter: int = 200, fit=kmeans_many):
     """ML-2: within / between / total SS for each K; returns (table DF, {k: model}).
 
     ``converged`` is false where the best start was ended by ``max_iter``."""
     tot = total_ss(points, features)
-    models = {k: fit(points, k, n_start, seed, features, max_iter) for k in sorted(ks)}
+    models = fit(points, sorted(ks), n_start, seed, features, max_iter)
     rows = []
     for k, model in models.items():
         within = float(model.summary.trainingCost)

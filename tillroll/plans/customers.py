@@ -73,14 +73,17 @@ def customer_points(spark, sf):
     return fixtures.memo(spark, ("points", sf.rstrip("/")), build)
 
 
-def segment_model(spark, sf, k: int = S.KMEANS_CHOSEN_K):
-    """ML-2: the best K-means of one K, fitted once for the queries that use it."""
-    return fixtures.memo(spark, ("kmeans", sf.rstrip("/"), k), lambda: G.kmeans_best(customer_points(spark, sf), k))
+def segment_models(spark, sf, ks):
+    """ML-2: the best K-means of every K, fitted once for the queries that use it; those not yet fitted share their passes."""
+    key = lambda k: ("kmeans", sf.rstrip("/"), k)
+    rest = [k for k in ks if not fixtures.known(spark, key(k))]
+    fits = G.kmeans_many(customer_points(spark, sf), rest) if rest else {}
+    return {k: fixtures.memo(spark, key(k), lambda k=k: fits[k]) for k in ks}
 
 
 def customer_segments(spark, sf):
     """ML-1 -> ML-2: PCA scores on log-RFM, the chosen K's clusters relabelled by spend."""
-    assigned = G.assign_clusters(customer_points(spark, sf), segment_model(spark, sf))
+    assigned = G.assign_clusters(customer_points(spark, sf), segment_models(spark, sf, (S.KMEANS_CHOSEN_K,))[S.KMEANS_CHOSEN_K])
     return G.relabel_by_spend(assigned, customer_rfm(spark, sf))
 
 
@@ -92,7 +95,7 @@ def q_customer_pca_variance(spark, sf):
 
 @register("kmeans_sweep", None, ids=("ML-2",))
 def q_kmeans_sweep(spark, sf):
-    table, _ = G.kmeans_sweep(customer_points(spark, sf), fit=lambda points, k, *_: segment_model(spark, sf, k))
+    table, _ = G.kmeans_sweep(customer_points(spark, sf), fit=lambda points, ks, *_: segment_models(spark, sf, ks))
     return table
 
 
