@@ -144,7 +144,7 @@ def test_kmeans_starts_share_their_passes(spark):
     from tillroll.operators.segments import kmeans_many
     rng = np.random.default_rng(8)
     data = np.concatenate([rng.normal(c, 0.6, size=(60, 2)) for c in ((0, 0), (3, 0), (0, 3), (3, 3))])
-    pts = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(data)], "customer_id long, features vector").repartition(3).persist()
+    pts = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(data)], ["customer_id", "features"]).repartition(3).persist()
     sc = spark.sparkContext
     tracked = sc.statusTracker()
     sc.setJobGroup("kmeans", "kmeans")

@@ -143,3 +143,30 @@ def test_fuzzy_recommendations_try_every_term(spark):
     missed = {r.term for r in rows if r.match_type == "no_match"}
     assert missed == {t for t in terms if not any(t.upper() in n.upper() for n in names) and not best_similar(t, names)}
     assert any(r.match_type == "fuzzy" and r.rank == 1 for r in rows)
+
+
+def test_itemsets_count_without_a_tree_and_are_mined_once(spark):
+    """Wide and copied baskets, empty ones too: every rule up to the longest set, read from stored itemsets."""
+    import random
+    from unittest import mock
+
+    from pyspark.ml.fpm import FPGrowth
+    rnd = random.Random(4)
+    rows = [rnd.sample("ABCDEFGHIJ", rnd.randint(1, 7)) for _ in range(150)] * 2
+    frame = spark.createDataFrame([(b,) for b in rows] + [([],), (None,)], "items array<string>").repartition(5)
+    n = len(rows) + 1
+    sup = lambda s: sum(1 for b in rows if set(s) <= set(b))
+    want = {}
+    for size in range(2, 6):
+        for items in itertools.combinations("ABCDEFGHIJ", size):
+            for rhs in items if sup(items) >= 0.05 * n else ():
+                lhs = [i for i in items if i != rhs]
+                if sup(items) / sup(lhs) >= 0.4:
+                    want[",".join(lhs), rhs] = (sup(items) / n, sup(items) / sup(lhs), sup(items) / sup(lhs) / (sup([rhs]) / n))
+    with mock.patch.object(FPGrowth, "fit", side_effect=AssertionError("a tree of baskets")):
+        rules = association_rules(frame, 0.05, 0.4, max_len=5)
+    got = {(r.LHS, r.RHS): (r.support, r.confidence, r.lift) for r in rules.collect()}
+    assert got.keys() == want.keys() and any(k[0].count(",") > 1 for k in want)
+    assert all(abs(x - y) < 1e-12 for k in want for x, y in zip(got[k], want[k]))
+    # the rules read the stored itemsets, not the baskets
+    assert all("/stages/itemsets-" in f for f in rules.inputFiles()) and rules.inputFiles()
