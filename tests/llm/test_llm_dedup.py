@@ -90,3 +90,23 @@ def test_estimate_is_close_and_registers_follow_sets():
         j, error = near_dedup.estimate(near_dedup.registers(a)[None], near_dedup.registers(b)[None], np.array([float(n)]), np.array([float(n)]))
         assert abs(j[0] - shared / (2 * n - shared)) < 6 * error[0]
         assert (near_dedup.registers(a) == near_dedup.registers(a.copy())).all()
+
+
+def test_near_dedup_sends_python_bounded_batches(spark, tmp_path):
+    """Full sets go to Python in small batches, in every step; the session's own number of rows stands afterwards."""
+    from unittest import mock
+
+    from tillroll.llm import near_dedup
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, stage = spark.conf.get(key), [], near_dedup.stage
+
+    def watched(df, name):
+        seen.append(int(spark.conf.get(key)))
+        return stage(df, name)
+
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join([*words, f"end{i}"])) for i in range(40)] + [(99, "alone")], "doc_id long, text string")
+    with mock.patch.object(near_dedup, "stage", watched):
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert seen and max(seen) <= 256 and spark.conf.get(key) == before
+    assert got == {**dict.fromkeys(range(40), 0), 99: 99}

@@ -32,11 +32,12 @@ An empty table gives an empty result. Only the id and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stage, text_of
@@ -47,6 +48,8 @@ REGISTERS, BANDS, ROWS, ERRORS = 256, 51, 5, 6.0
 MANTISSA = 10
 #: Nodes whose ids may be broadcast to fetch their texts (24 bytes each); beyond it Spark shuffles.
 BROADCAST_NODES = 200_000
+#: Rows of a batch that Spark sends a Python worker: two full sets a row, so the default of 10,000 would be hundreds of megabytes.
+PIECE_ROWS = 256
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S31, _S33, _S29 = np.uint64(31), np.uint64(33), np.uint64(29)
@@ -107,8 +110,8 @@ def _sketch(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, regs = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingles(text, words)
+            for text in batch.column(1):
+                s = shingles(text.as_py(), words)
                 sizes.append(len(s))
                 key = np.array([len(s), _scramble(s).sum(dtype=np.uint64), _scramble(s ^ _A).sum(dtype=np.uint64)], "<u8")
                 keys.append(key.tobytes())
@@ -118,14 +121,27 @@ def _sketch(words: int):
     return run
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most ``PIECE_ROWS`` rows for the steps run inside; the session's own number stands again afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(key)
+    rows = int(held)
+    spark.conf.set(key, str(min(rows, PIECE_ROWS) if rows > 0 else PIECE_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, held)
+
+
 def _full_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, keep, sets = batch.column(0).to_pylist(), [], []
-            for k, (key, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                s = shingles(text, words)
+            for k, (key, text) in enumerate(zip(batch.column(1), batch.column(2))):
+                s = shingles(text.as_py(), words)
                 own = np.array([len(s), _scramble(s).sum(dtype=np.uint64), _scramble(s ^ _A).sum(dtype=np.uint64)], "<u8")
-                if own.tobytes() == key:  # an id may stand for several texts
+                if own.tobytes() == key.as_py():  # an id may stand for several texts
                     keep.append(node[k])
                     sets.append(s.astype("<u8").tobytes())
             yield pa.record_batch([pa.array(keep, pa.int64()), pa.array(sets, pa.binary())], names=["node", "members"])
@@ -148,8 +164,8 @@ def _linked(part: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+            for a, b in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= part * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
@@ -236,8 +252,8 @@ class _Classes:
         """Pairs of open nodes in different components that share a prefix shingle (exact)."""
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for node, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    s = np.frombuffer(held, "<i8")
+                for node, held in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    s = np.frombuffer(held.as_buffer(), "<i8")
                     yield pa.record_batch([pa.array(np.full(len(s), node)), pa.array(s)], names=["node", "shingle"])
 
         tokens = sets.mapInArrow(spread, "node long, shingle long")
@@ -286,7 +302,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     """Per row: doc_id, n_shingles, component_id, kept."""
     if not 50 <= percent <= 100:
         raise ValueError("the bands are set for similarities of 50 percent or more")
-    return _Classes(docs, words, percent, id_col, text_col).run()
+    with _small_batches(docs.sparkSession):  # every step that sends rows to Python is written inside
+        return _Classes(docs, words, percent, id_col, text_col).run()
 
 
 def keep_rows(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
