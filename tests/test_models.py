@@ -160,3 +160,46 @@ def test_kmeans_starts_share_their_passes(spark):
     assert jobs <= drawn + 60 and alone > 6
     near = ((data[:, None, :] - np.array(fits[4].clusterCenters())[None]) ** 2).sum(2).argmin(1)
     assert [r.cluster for r in fits[4].transform(pts).orderBy("customer_id").collect()] == near.tolist()
+
+
+def test_bulk_forest_is_mllibs_forest_whatever_the_partitions(spark):
+    """The error of MLlib's trees on the same rows, each tree's sums right, and one result for all orders and partitions."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from tillroll.operators import forest
+    from tillroll.operators.season import FEATURES, PM_KEY, bulk_forest
+    rng = np.random.default_rng(6)
+    rows = [(p, f"c{i}", "d", "UK", int(a), float(b), int(c), int(30 + 8 * a + 5 * c + b + rng.integers(0, 20)))
+            for i, (p, a, b, c) in enumerate(zip(np.repeat(["uk_train", "uk_test", "nouk_test"], (3000, 600, 300)), rng.integers(1, 13, 3900),
+                                                  rng.gamma(2.0, 3.0, 3900), rng.geometric(0.3, 3900)))]
+    df = spark.createDataFrame(rows, "part string, stock_code string, description string, country string, month_num int, "
+                                     "avg_price double, num_invoices int, total_qty long")
+    some = [bulk_forest(d, n_trees=20) for d in (df.repartition(7, "total_qty"), df.coalesce(1))]
+    (errors, weights), again = [[{r[0]: r[1:] for r in t.collect()} for t in x] for x in some]
+    for a, b in ((errors, again[0]), (weights, again[1])):
+        assert all(np.allclose(a[k], b[k], rtol=1e-9) for k in a | b)
+    wide = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
+    model = RandomForestRegressor(numTrees=20, featureSubsetStrategy="2", maxDepth=30, minInstancesPerNode=5, seed=1,
+                                  labelCol="total_qty").fit(wide.where("part = 'uk_train'"))
+    theirs = {r.part: r.mse for r in model.transform(wide).groupBy("part").agg(F.avg((F.col("total_qty") - F.col("prediction")) ** 2).alias("mse")).collect()}
+    assert all(abs(errors[p][0] - theirs[p]) < 0.08 * theirs[p] for p in ("uk_test", "nouk_test")), (errors, theirs)
+    shares = 100 * model.featureImportances.toArray()
+    assert all(abs(weights[f][0] - v) < 4 for f, v in zip(FEATURES, shares)) and all(weights[f][1] > 0 for f in FEATURES)
+    train = df.where("part = 'uk_train'")
+    cuts = forest.cut_points(train, FEATURES)
+    assert cuts["month_num"] == [m + 0.5 for m in range(1, 12)] and len(cuts["avg_price"]) == 31
+    n_cells = int(np.prod([len(c) + 1 for c in cuts.values()]))
+    bag = forest.bagged_cells(train.select(forest.cell(cuts).alias("_cell"), F.col("total_qty").cast("double").alias("_y"),
+                                           F.xxhash64(*PM_KEY, F.lit(1)).alias("_h")), 20, n_cells).collect()
+    drawn = np.bincount([r.tree for r in bag], [sum(r.rows) for r in bag])
+    assert len(drawn) == 20 and np.all(np.abs(drawn - 3000) < 5 * 3000 ** 0.5) and len(set(drawn)) > 5
+
+
+def test_tree_of_cells_takes_the_best_cut():
+    from tillroll.operators.forest import grow
+    n, y = np.full((4, 3), 10.0), np.array([[1, 1, 5], [1, 1, 5], [9, 9, 9], [9, 9, 9]], float)
+    found, drop = grow(n, n * y, 2, 30, 5, np.random.default_rng(0))
+    assert np.allclose(found, y) and abs(drop.sum() - (n * (y - y.mean()) ** 2).sum()) < 1e-9 and np.all(drop > 0)
+    found, _ = grow(n, n * y, 2, 30, 70, np.random.default_rng(0))  # no cut leaves 70 rows on both sides
+    assert np.allclose(found, y.mean())

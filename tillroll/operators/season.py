@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.numeric import ratio
+from ..sources.io import materialize
 from .demand import market
 from .evaluate import hash_split, mse
 
@@ -41,26 +42,29 @@ def bulk_forest(split: DataFrame, n_trees: int = S.BULK_FOREST_TREES, mtry: int
     """ML-10 / ML-7 / ML-8 / EVL-3: forest regression of monthly quantity on month,
     mean price and invoice count (``mtry`` features per split), trained on
     uk_train; MSE on uk_test and nouk_test; impurity importance and the MSE
-    increase when one feature is permuted (on uk_test, MLlib has no OOB rows).
+    increase when one feature is permuted (on uk_test, as the spike forest).
+    The trees are MLlib's (32 bins, 5 rows a leaf), grown from sums per cell, see ``forest``.
     Returns (mse DF[part, mse, n], importance DF[feature, impurity, mse_increase])."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-
-    from .evaluate import impurity_importance, permutation_importance
-
-    asm = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    train = asm.transform(split.where(F.col("part") == "uk_train"))
-    model = RandomForestRegressor(numTrees=n_trees, featureSubsetStrategy=str(mtry), maxDepth=depth,
-                                  minInstancesPerNode=5, seed=seed, labelCol="total_qty").fit(train)
-    scored = model.transform(asm.transform(split.where(F.col("part") != "uk_train")))
-    errors = mse(scored, "total_qty", "prediction", ("part",))
-    importance = split.sparkSession.createDataFrame(
-        [(f, float(v)) for f, v in impurity_importance(model, list(FEATURES))], "feature string, impurity_importance double")
+    from . import forest
+    from .evaluate import permutation_importance
+
+    train = split.where(F.col("part") == "uk_train")
+    if train.isEmpty():
+        raise ValueError("no training rows")
+    cuts = forest.cut_points(train, FEATURES)
+    trees = materialize(forest.fit_trees(train, "total_qty", cuts, PM_KEY, n_trees, mtry, depth, 5, seed), "bulk_trees")
+    # a row per cell of the grid, bounded by forest.MAX_CELLS
+    cells = F.broadcast(materialize(forest.cell_predictions(trees), "bulk_cells"))
+
+    def score(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_cell", forest.cell(cuts)).join(cells, "_cell").drop("_cell")
+
+    errors = mse(score(split.where(F.col("part") != "uk_train")), "total_qty", "prediction", ("part",))
+    importance = forest.importance(trees, FEATURES)
     if not permutation:
         return errors, importance.withColumn("mse_increase", F.lit(None).cast("double"))
     squared = F.avg((F.col("total_qty").cast("double") - F.col("prediction")) ** 2)
-    grown = permutation_importance(lambda d: model.transform(asm.transform(d)), split.where(F.col("part") == "uk_test"),
-                                   list(FEATURES), PM_KEY, squared, seed=seed)
+    grown = permutation_importance(score, split.where(F.col("part") == "uk_test"), list(FEATURES), PM_KEY, squared, seed=seed)
     return errors, importance.join(grown.withColumnRenamed("increase", "mse_increase"), "feature", "left")
 
 
