@@ -61,3 +61,18 @@ def test_write_splits_partitions_by_table(spark):
     assert sorted(map(str, read_split(spark, base, "cleaned_retail_all").select(*df.columns).collect())) == sorted(map(str, df.collect()))
     assert read_split(spark, base, "free_items").count() == want["free_items"]
     assert all(len(os.listdir(os.path.join(base, d))) <= 4 for d in os.listdir(base) if d.startswith("split="))  # with checksum files
+
+
+def test_extracts_are_compressed_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    """Both extracts hold every line; a compressed file goes to one task, so its rows are bounded."""
+    from rows import lines
+
+    from tillroll.sources import extracts
+    monkeypatch.setattr(extracts, "FILE_ROWS", 50)
+    raw = lines(spark, [(str(536365 + i), f"{10000 + i}", ' a "quoted", name ' if i % 2 else None, i, "1.25") for i in range(220)]).coalesce(1)
+    folders = extracts.write_extracts(raw, str(tmp_path / "x"))
+    files = [f for folder in folders for f in (tmp_path / "x" / folder.rsplit("/", 1)[1]).glob("part-*")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files) and len(files) >= 5
+    back = extracts._clean_names(extracts.read_raw(spark, folders, extracts.TEXT_SCHEMA, "csv"))
+    want = extracts.extract_rows(raw)
+    assert back.count() == 220 and back.select(*want.columns).exceptAll(want).isEmpty()

@@ -29,6 +29,8 @@ FAULTS: dict[str, dict[str, str | None]] = {
 }
 #: Lines up to this date go to the first extract, all others to the second.
 FIRST_UNTIL = "1995-01-01"
+#: Rows of a file at most: a compressed file is read by one task.
+FILE_ROWS = 1_000_000
 TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in S.SOURCE_COLUMNS])
 CORRUPT = "_corrupt_record"
 _TEXT = {"invoice_date": ("date_format(invoice_date, 'yyyy-MM-dd HH:mm:ss')", "strftime(invoice_date, '%Y-%m-%d %H:%M:%S')"),
@@ -51,13 +53,14 @@ def extract_rows(raw: DataFrame) -> DataFrame:
 
 
 def write_extracts(raw: DataFrame, path: str) -> list[str]:
-    """Write the two extracts as CSV with a header; their folders."""
+    """Write the two extracts as compressed CSV with a header; their folders."""
     rows = extract_rows(raw)
     folders = [f"{path}/sheet{i}" for i in (0, 1)]
     for i, folder in enumerate(folders):
         (rows.where(F.col("extract") == i).select(*[F.col(c).alias(s) for c, s in zip(S.RAW_COLUMNS, S.SOURCE_COLUMNS)])
          .write.option("header", True).option("quoteAll", True).option("nullValue", "")
-         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder))
+         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression="gzip",
+                  maxRecordsPerFile=FILE_ROWS).csv(folder))
     return folders
 
 
