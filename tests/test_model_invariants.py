@@ -82,3 +82,14 @@ def test_permutation_importance_of_constant_feature_is_zero(spark):
         lambda d: model.transform(asm.transform(d)), df, ["x", "c"], ["y"], squared, seed=3).collect()}
     assert abs(imp["c"]) < 1e-9          # zero up to summation order
     assert imp["x"] > 0.0
+
+
+def test_product_months_shuffle_their_lines_once(spark, tmp_path):
+    """Both levels of the distinct invoice count use one exchange of the lines; the counts are right."""
+    from rows import lines
+
+    from tillroll.operators.season import product_month
+    raw = lines(spark, [(f"5363{i % 7}", f"1000{i % 3}", "CUP", 2, "1.50") for i in range(60)])
+    out = product_month(raw)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert sorted(tuple(r)[4:] for r in out.collect()) == [(40, 1.5, 7)] * 3
