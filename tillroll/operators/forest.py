@@ -62,9 +62,10 @@ def cell(cuts: dict[str, list[float]]) -> Column:
     """The number of a row's cell in the grid, the last feature running fastest."""
     at = F.lit(0)
     for f, points in cuts.items():
+        # a comparison a cut, written out, makes a method too long for the JIT compiler
         x = F.col(f).cast("double")
-        bin_ = sum(((x > F.lit(p)).cast("int") for p in points), F.lit(0))
-        at = at * F.lit(len(points) + 1) + bin_
+        below = F.filter(F.array(*[F.lit(float(p)) for p in points]).cast("array<double>"), lambda p: p < x)
+        at = at * F.lit(len(points) + 1) + F.size(below)
     return at
 
 
