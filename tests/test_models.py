@@ -203,3 +203,20 @@ def test_tree_of_cells_takes_the_best_cut():
     assert np.allclose(found, y) and abs(drop.sum() - (n * (y - y.mean()) ** 2).sum()) < 1e-9 and np.all(drop > 0)
     found, _ = grow(n, n * y, 2, 30, 70, np.random.default_rng(0))  # no cut leaves 70 rows on both sides
     assert np.allclose(found, y.mean())
+
+
+def test_spike_models_score_their_days_in_one_task(spark):
+    """A task a cached partition loaded the forest hundreds of times for a few thousand rows."""
+    from pyspark.sql import functions as F
+
+    from tillroll.operators.spike_models import FEATURES, FOREST, SpikeModels
+    days = spark.range(120).select(
+        F.when(F.col("id") % 3 > 0, "train").when(F.col("id") % 2 > 0, "uk_test").otherwise("nouk_test").alias("part"),
+        F.expr("date_add(date '2011-01-01', cast(id as int))").alias("date"), F.lit(1).alias("week_of_the_year"),
+        F.when(F.col("id") % 5 > 2, "High").otherwise("Normal").alias("next_day_spike"), (F.col("id") % 5 > 2).cast("double").alias("label"),
+        *[(F.col("id") % (2 + i % 7) % (2 if f == "f_is_weekend" else 5)).cast("double").alias(f) for i, f in enumerate(FEATURES)])
+    models = SpikeModels(days.repartition(16), forest_trees=3)
+    tests = days.where("part <> 'train'")
+    scored = models.scored(FOREST).select("date", "part", "p_high", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in scored}) == 1
+    assert {(r.date, r.part) for r in scored} == {(r.date, r.part) for r in tests.collect()} and len(scored) == 40

@@ -94,7 +94,8 @@ class SpikeModels:
         self.spark, self.cp, self.cuts = sets.sparkSession, cp, cuts
         self.forest_trees, self.boost_rounds, self.boost_folds = forest_trees, boost_rounds, boost_folds
         self.train = sets.where(F.col("part") == "train").select("date", "label", *FEATURES)
-        self.tests = sets.where(F.col("part") != "train")
+        # a row per market and trading day: split into more tasks, each would only load the models again
+        self.tests = sets.where(F.col("part") != "train").coalesce(1)
         self._made: dict[str, object] = {}
 
     def _once(self, name: str, make):
@@ -110,7 +111,7 @@ class SpikeModels:
     def tree_nodes(self) -> DataFrame:
         """ML-5: the fitted tree's nodes, before pruning."""
         def make():
-            _, path = stored_pipeline(self.spark, "spike-tree", self.key("tree"), lambda: fit_tree(self.train))
+            _, path = stored_pipeline(self.spark, "spike-tree", self.key("tree"), lambda: fit_tree(self.train.coalesce(1)))
             return pruning.saved_nodes(self.spark, saved_stage(self.spark, path)).persist()
         return self._once("nodes", make)
 
